@@ -237,13 +237,13 @@ class Codec(dict):
         return " ".join(map(self.bpe.tokens.__getitem__, memoryview(ids).cast("I")))
 
 
-def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 32_768) -> list[str]:
+def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 65_536) -> list[str]:
     """The ``most`` most frequent words over all texts, ties in word order."""
     counted = word_counts(docs, lambda t: split_words(normalise(t)), text_col)
     return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).select("word").collect()]
 
 
-def ship_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = 32_768) -> str:
+def ship_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = 65_536) -> str:
     """Compile the lexicon of ``docs``, write it to the shared folder and send it to the executors; returns its file name."""
     spark = docs.sparkSession
     bpe = WordBpe(tokenizer_path)
@@ -268,7 +268,7 @@ def _codec(name: str, tokenizer_path: str) -> Codec:
     return _CODEC[name, tokenizer_path]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 32_768) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 65_536) -> DataFrame:
     """(id, ids binary, decoded string) for each row: the ids of the whole text and the text decoded from them.
 
     Null and empty texts have no ids. Repeated rows give repeated results; a null id stays null.

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.tokens import kept_table, slices, words_with_blank
+from allelon.llm.tokens import ByteIds, kept, slices
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -73,7 +73,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, used = kept_table("ids", tokenizer_path), TaskContext.get().partitionId() << 40
+        own_ids, used = kept(ByteIds, tokenizer_path), TaskContext.get().partitionId() << 40
         end = end_id.to_bytes(4, "little")
         own, held, tokens = [], [], 0
 
@@ -94,11 +94,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         for batch in batches:
             names = batch.column(0).to_pylist()
             for at, texts in slices(batch):
-                split = [words_with_blank(t) for t in texts]
-                ids = table.fill(set().union(*split))
-                for i, words in enumerate(split):
+                for i, text in enumerate(texts):
                     own.append(names[at + i])
-                    held.append(b"".join(map(ids.__getitem__, words)) + end)
+                    held.append(own_ids.encode(text) + end)
                     tokens += len(held[-1]) // 4
                 if tokens >= window_tokens:
                     yield from out()

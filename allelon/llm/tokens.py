@@ -1,8 +1,8 @@
 """Batch encoding in Arrow functions: token counts, and the ids that packing needs.
 
-A tokenizer whose pieces never cross white space (or never cross a single blank between two
-other characters) gives a text the same tokens as its words one by one. Texts are split at those safe boundaries; each word
-is encoded once and remembered in a bounded table, and what isn't remembered goes to the library in batches of equal bytes.
+A tokenizer whose pieces never cross white space gives a text the same tokens as its words one by one. Texts
+are split at those safe boundaries; each word is encoded once and remembered in a bounded table, and what isn't
+remembered goes to the library in batches of equal bytes.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,9 +22,9 @@ from allelon.llm.lexicon import byte_letters
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
-#: A blank beside other white space, or at either end: there the blank may belong to a piece of white space.
-_WIDE_SPACE = re.compile(r"\s | \s|\A | \Z")
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+#: Longer texts are encoded in parts.
+LONG = 1 << 20
 
 
 def words_at_space(text: str) -> list[str]:
@@ -33,12 +34,13 @@ def words_at_space(text: str) -> list[str]:
     return text.split()
 
 
-def words_with_blank(text: str) -> list[str]:
-    """Words with the blank before them, cut where a blank stands alone between two other characters."""
-    if not text:
-        return []
-    first, *rest = _LONE_BLANK.split(text) if _WIDE_SPACE.search(text) else text.split(" ")
-    return [first, *[" " + w for w in rest]]
+def safe_parts(text: str, size: int = LONG) -> Iterator[str]:
+    """Parts of about ``size`` characters, each but the first starting at a blank between two other characters."""
+    at = 0
+    while len(text) - at > size and (cut := _LONE_BLANK.search(text, at + size)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 class WordTable:
@@ -74,38 +76,43 @@ def length_table(path: str, most: int = 300_000) -> WordTable:
     return WordTable(lambda part: [len(e) for e in own.encode_batch_fast(part, add_special_tokens=False)], most)
 
 
-def id_table(path: str, most: int = 300_000) -> WordTable:
-    """Ids as little-endian 32-bit integers for a byte-level file whose token ids are in merge order.
+class ByteIds:
+    """Whole texts to ids for a byte-level file whose token ids are in merge order.
 
-    Words with a special string go to the tokenizers library itself, all others to the same merges in tiktoken,
-    which is faster for single words; both give the same ids.
+    Texts with a special string go to the tokenizers library itself, all others to the same merges in tiktoken, which
+    gives the same ids several times faster.
     """
-    import public_tokenizers
-    import tiktoken
 
-    own = library_encoder(path)
-    with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
-    byte = {c: b for b, c in enumerate(byte_letters())}
-    ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items()}
-    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    pack = lambda ids: pa.array(ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(ids)] if ids else b""
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
 
-    def make(part: list[str]) -> list[bytes]:
-        return [pack(own.encode(w, add_special_tokens=False).ids if "<|" in w else fast.encode_ordinary(w)) for w in part]
+        self.library = library_encoder(path)
+        with open(path, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items()}
+        self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    return WordTable(make, most)
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers; a long text is cut at lone blanks, where no token crosses."""
+        if "<|" in text:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(text) > LONG:
+            return b"".join(self.fast.encode_to_numpy(part, disallowed_special=()).tobytes() for part in safe_parts(text))
+        return self.fast.encode_to_numpy(text, disallowed_special=()).tobytes()
 
 
-#: Tables that a Python worker keeps between tasks.
-_TABLES: dict[tuple, WordTable] = {}
+#: What a Python worker keeps between tasks.
+_KEPT: dict[tuple, object] = {}
 
 
-def kept_table(kind: str, path: str) -> WordTable:
-    if (kind, path) not in _TABLES:
-        _TABLES.clear()
-        _TABLES[kind, path] = (length_table if kind == "lengths" else id_table)(path)
-    return _TABLES[kind, path]
+def kept(make: Callable, path: str):
+    """``make(path)``, made once in a Python worker."""
+    if (make.__name__, path) not in _KEPT:
+        _KEPT.clear()
+        _KEPT[make.__name__, path] = make(path)
+    return _KEPT[make.__name__, path]
 
 
 def slices(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[tuple[int, list[str]]]:
@@ -124,7 +131,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept_table("lengths", tokenizer_path)
+        table = kept(length_table, tokenizer_path)
         for batch in batches:
             for at, texts in slices(batch):
                 split = [words_at_space(t) for t in texts]
