@@ -161,7 +161,7 @@ class WordScores:
 
     def score(self, texts: list[str], evidence: int = 20) -> list[tuple[str, float]]:
         """(language, score) of each text; the score is the language's share if the text had at most ``evidence`` letter runs."""
-        split = [t.split() for t in texts]
+        split = [t.lower().split() for t in texts]
         self.fill(set().union(*split))
         found = []
         for words in split:
