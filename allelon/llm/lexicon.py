@@ -31,6 +31,8 @@ from allelon.llm.wordcount import word_counts
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPLIT_SPACE = re.compile(f"[{_SPACE}]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Above all ranks.
+NEVER = 1 << 60
 
 
 def split_words(text: str) -> list[str]:
@@ -68,50 +70,52 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
+        #: Pair of ids -> rank and merged id in one number, so that the least number is the pair to merge.
+        self.rank = {(self.vocab[a], self.vocab[b]): r << 20 | self.vocab[a + b] for r, (a, b) in enumerate(pairs)}
         self.piece = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.letters = byte_letters()
+        self.inner = [self.vocab.get(c) for c in byte_letters()]
+        self.last = [self.vocab.get(c + self.suffix) for c in byte_letters()]
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def merge_piece(self, piece: str) -> list[int]:
         """Token ids of one piece: the pair of lowest rank is merged, leftmost first, until none is left."""
-        s = [self.letters[b] for b in piece.encode()]
-        s[-1] += self.suffix
-        ids = [self.vocab[x] for x in s]
-        rank = self.rank
+        data = piece.encode()
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.last[data[-1]]
+        get = self.rank.get
         if len(ids) > 48:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best, at = None, 0
-            for i in range(len(ids) - 1):
-                r = rank.get((ids[i], ids[i + 1]))
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        ranks = [get(p, NEVER) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NEVER:
+            at = ranks.index(best)
+            ids[at : at + 2] = [best & 0xFFFFF]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((ids[at - 1], ids[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = get((ids[at], ids[at + 1]), NEVER)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same for long pieces, with a heap over a linked list."""
-        n, rank = len(ids), self.rank
+        n, get = len(ids), self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank.get((ids[i], ids[i + 1])))]
-        heap = [(r, i, new, a, b) for r, new, i, a, b in heap]
+        heap = [(r, i, *p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if (r := get(p))]
         heapq.heapify(heap)
         alive = [True] * n
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i] if alive[i] else n
             if j >= n or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], after[i] = new, False, after[j]
+            new = ids[i] = r & 0xFFFFF
+            alive[j], after[i] = False, after[j]
             if after[j] < n:
                 before[after[j]] = i
-                if r := rank.get((new, ids[after[j]])):
-                    heapq.heappush(heap, (r[0], i, r[1], new, ids[after[j]]))
-            if (p := before[i]) >= 0 and (r := rank.get((ids[p], new))):
-                heapq.heappush(heap, (r[0], p, r[1], ids[p], new))
+                if r := get((new, ids[after[j]])):
+                    heapq.heappush(heap, (r, i, new, ids[after[j]]))
+            if (p := before[i]) >= 0 and (r := get((ids[p], new))):
+                heapq.heappush(heap, (r, p, ids[p], new))
         return [x for x, a in zip(ids, alive, strict=True) if a]
 
     def merge_word(self, word: str) -> list[int]:
