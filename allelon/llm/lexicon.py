@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import shared_dir, texts_of
+from allelon.llm.common import shared_dir, store, texts_of
 from allelon.llm.wordcount import word_counts
 
 #: White space as the tokenizer's own pattern knows it, without the four separators that only Python counts.
@@ -242,9 +242,19 @@ class Codec(dict):
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 65_536) -> list[str]:
-    """The ``most`` most frequent words over all texts, ties in word order."""
+    """The most frequent words over all texts, ``most`` at most: all whose count reaches a bound.
+
+    The bound comes from a histogram of counts in sixteenths of an octave, so that no more than ``most`` words ever come to the driver.
+    """
     counted = word_counts(docs, lambda t: split_words(normalise(t)), text_col)
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(most).select("word").collect()]
+    counted = store(counted.select("word", F.floor(F.log2("n") * 16).cast("int").alias("level")), "word-levels")
+    total, bound = 0, 1 << 30
+    for r in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"]):  # a thousand levels at most
+        total += r["count"]
+        if total > most:
+            break
+        bound = r["level"]
+    return sorted(r["word"] for r in counted.where(F.col("level") >= bound).select("word").collect())
 
 
 def ship_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = 65_536) -> str:
