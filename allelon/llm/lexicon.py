@@ -17,6 +17,7 @@ import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyarrow import fs
@@ -24,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import shared_dir, store, texts_of
+from allelon.llm.common import by_bytes, shared_dir, store, texts_of
 from allelon.llm.wordcount import word_counts
 
 #: White space as the tokenizer's own pattern knows it, without the four separators that only Python counts.
@@ -75,6 +76,7 @@ class WordBpe:
         self.piece = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.inner = [self.vocab.get(c) for c in byte_letters()]
         self.last = [self.vocab.get(c + self.suffix) for c in byte_letters()]
+        self.pair_keys, self.pair_ranks = self._pair_table()
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
     def merge_piece(self, piece: str) -> list[int]:
@@ -125,6 +127,72 @@ class WordBpe:
             out += self.merge_piece(piece)
         return out
 
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of ids as sorted numbers, and their entries in ``rank``."""
+        keys = np.array([a << 32 | b for a, b in self.rank], np.int64)
+        order = np.argsort(keys)
+        return keys[order], np.fromiter(self.rank.values(), np.int64, len(keys))[order]
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NEVER)
+
+    def _merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces of one length each: in each round, every piece merges its pair of lowest rank, leftmost first."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        ids = np.array(self.inner, np.int64)[data]
+        ends = np.cumsum(sizes) - 1
+        ids[ends] = np.array(self.last, np.int64)[data[ends]]
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        ranks = np.full(len(ids), NEVER)  # of each symbol with the next one of its piece
+        inside = np.flatnonzero(owner[:-1] == owner[1:])
+        ranks[inside] = self._pair_ranks(ids[inside], ids[inside + 1])
+        while True:
+            starts = np.searchsorted(owner, np.arange(len(pieces)))
+            best = np.minimum.reduceat(ranks, starts)[owner]
+            at = np.flatnonzero((ranks == best) & (best != NEVER))
+            if not len(at):
+                break
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]
+            ids[at] = ranks[at] & 0xFFFFF
+            gone = np.ones(len(ids), bool)
+            gone[at + 1] = False
+            ids, owner, ranks = ids[gone], owner[gone], ranks[gone]
+            at -= np.arange(len(at))  # each merge before has taken one symbol away
+            near = np.concatenate([at, at[at > 0] - 1])
+            near = near[near < len(ids) - 1]
+            same = owner[near] == owner[near + 1]
+            ranks[at[at == len(ids) - 1]] = NEVER
+            ranks[near] = np.where(same, self._pair_ranks(ids[near], ids[near + 1]), NEVER)
+        cuts = [*(4 * np.searchsorted(owner, np.arange(len(pieces)))).tolist(), 4 * len(ids)]
+        flat = ids.astype("<u4").tobytes()
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def merge_words(self, words: list[str], together: int = 4096) -> list[bytes]:
+        """Ids of many words, each as little-endian 32-bit integers; pieces of like lengths are merged together."""
+        split = [self.piece.findall(w) for w in words]
+        flat = [p.encode() for own in split for p in own]
+        order = sorted(range(len(flat)), key=lambda i: len(flat[i]))
+        found: list[bytes] = [b""] * len(flat)
+        for a in range(0, len(order), together):
+            part = order[a : a + together]
+            if len(flat[part[-1]]) > 48:
+                long = [i for i in part if len(flat[i]) > 48]
+                part = part[: len(part) - len(long)]
+                for i in long:
+                    ids = self.merge_piece(flat[i].decode())
+                    found[i] = struct.pack(f"<{len(ids)}I", *ids)
+            if part:
+                for i, ids in zip(part, self._merge_many([flat[i] for i in part]), strict=True):
+                    found[i] = ids
+        out, at = [], 0
+        for own in split:
+            out.append(found[at] if len(own) == 1 else b"".join(found[at : at + len(own)]))
+            at += len(own)
+        return out
+
 
 def compile_lexicon(words: Iterable[str], ids_of) -> bytes:
     """The transducer of ``words`` as one block of bytes: header, state and arc tables, id offsets, ids."""
@@ -184,57 +252,87 @@ class Lexicon:
         with open(path, "rb") as f:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         self.root, n_states, n_arcs, *sizes = struct.unpack_from("<8I", self.map)
-        view, at = memoryview(self.map), 32
+        at = 32
         tables = []
         for n in sizes:
-            tables.append(view[at : at + 4 * n].cast("I"))
+            tables.append(np.frombuffer(self.map, "<u4", n, at))
             at += 4 * n
-        self.first, self.target, self.skip, self.offsets, _ = tables
+        first, self.target, self.skip, self.offsets, _ = tables
         self.ids_at = at - 4 * sizes[-1]
-        self.labels = at
-        self.final = at + n_arcs + -n_arcs % 4
+        labels = np.frombuffer(self.map, np.uint8, n_arcs, at)
+        self.final = np.frombuffer(self.map, np.uint8, n_states, at + n_arcs + -n_arcs % 4)
+        #: State and byte of each arc as one number; the tables hold arcs in this order.
+        self.arcs = np.repeat(np.arange(n_states, dtype=np.int64), np.diff(first)) << 8 | labels
 
     def ids(self, word: str) -> bytes | None:
-        state, rank, find = self.root, 0, self.map.find
-        for b in word.encode():
-            arc = find(b.to_bytes(1), self.labels + self.first[state], self.labels + self.first[state + 1])
-            if arc < 0:
-                return None
-            arc -= self.labels
-            rank += self.skip[arc]
-            state = self.target[arc]
-        if not self.map[self.final + state]:
-            return None
-        return self.map[self.ids_at + 4 * self.offsets[rank] : self.ids_at + 4 * self.offsets[rank + 1]]
-
-
-class Codec(dict):
-    """word -> ids as bytes: from a bounded cache, else from the lexicon, else by exact merges."""
+        return self.lookup([word])[0]
+
+    def lookup(self, words: list[str]) -> list[bytes | None]:
+        """The ids of each word; all words take a step along their bytes at a time."""
+        data = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        starts = np.cumsum(sizes) - sizes
+        text = np.frombuffer(b"".join(data) or b"\0", np.uint8)
+        state, rank = np.full(len(data), self.root, np.int64), np.zeros(len(data), np.int64)
+        ended = np.zeros(len(data), bool)
+        on, step = np.arange(len(data)), 0
+        while len(on):
+            done = sizes[on] == step
+            ended[on[done]] = True
+            on = on[~done]
+            if not len(on) or not len(self.arcs):
+                break
+            keys = state[on] << 8 | text[starts[on] + step]
+            arc = np.minimum(np.searchsorted(self.arcs, keys), len(self.arcs) - 1)
+            known = self.arcs[arc] == keys
+            on, arc = on[known], arc[known]
+            rank[on] += self.skip[arc]
+            state[on] = self.target[arc]
+            step += 1
+        out: list[bytes | None] = [None] * len(data)
+        held = np.flatnonzero(ended & (self.final[state] > 0))
+        for i, a, b in zip(held.tolist(), self.offsets[rank[held]].tolist(), self.offsets[rank[held] + 1].tolist(), strict=True):
+            out[i] = self.map[self.ids_at + 4 * a : self.ids_at + 4 * b]
+        return out
+
+
+class Codec:
+    """word -> ids as bytes in a bounded table, filled from the lexicon or else by exact merges."""
 
     def __init__(self, lexicon: Lexicon | None, bpe: WordBpe, most: int = 300_000):
-        super().__init__()
         self.lexicon, self.bpe, self.most = lexicon, bpe, most
+        #: A special string's key has a blank before it, which no word has.
+        self.special = {" " + s: struct.pack("<I", i) for s, i in bpe.special.items()}
+        self.held = dict(self.special)
+
+    def fill(self, words: set[str]) -> dict[str, bytes]:
+        """The table, with all of ``words`` in it."""
+        new = [w for w in words if w not in self.held]
+        if len(self.held) + len(new) > self.most:
+            self.held = self.special | {w: self.held[w] for w in words if w in self.held}
+        for at in range(0, len(new), 1 << 14):
+            part = new[at : at + (1 << 14)]
+            found = self.lexicon.lookup(part) if self.lexicon else [None] * len(part)
+            unseen = [w for w, ids in zip(part, found, strict=True) if ids is None]
+            self.held.update(zip(part, found, strict=True))
+            self.held.update(zip(unseen, self.bpe.merge_words(unseen), strict=True))
+        return self.held
+
+    def words(self, text: str) -> list[str]:
+        """The table's keys for a whole text, in order."""
+        if self.bpe.cut and "<|" in text:
+            parts = ([" " + part] if part in self.bpe.special else split_words(normalise(part)) for part in self.bpe.cut.split(text))
+            return [w for own in parts for w in own]
+        return split_words(normalise(text))
 
-    def __missing__(self, word: str) -> bytes:
-        found = self.lexicon.ids(word) if self.lexicon else None
-        if found is None:
-            ids = self.bpe.merge_word(word)
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = found
-        return found
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers; special strings inside become their own ids."""
+        split = [self.words(t) for t in texts]
+        held = self.fill(set().union(*split))
+        return [b"".join(map(held.__getitem__, own)) for own in split]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers; special strings inside become their own ids."""
-        if self.bpe.cut and "<|" in text:
-            return b"".join(
-                struct.pack("<I", self.bpe.special[part]) if part in self.bpe.special else self._plain(part) for part in self.bpe.cut.split(text) if part
-            )
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, split_words(normalise(text))))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The token strings, separated by blanks: the file names no decoder."""
@@ -293,9 +391,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, tokenizer_path)
         for batch in batches:
-            texts = texts_of(batch, "text")
-            for at in range(0, len(texts), 100):  # so that ids and decoded texts of a few documents are held at once
-                ids = [codec.encode(t) for t in texts[at : at + 100]]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 100], pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=schema)
+            at = 0
+            for texts in by_bytes(texts_of(batch, "text"), 1 << 22):  # so that few ids and decoded texts are held at once
+                ids = codec.encode_all(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(texts)], pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=schema)
+                at += len(texts)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, ids binary, decoded string").withColumnRenamed("id", id_col)
