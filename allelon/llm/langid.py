@@ -43,29 +43,49 @@ class Unigrams:
 
     def __init__(self, pieces: list[str], probabilities: np.ndarray, languages: list[str]):
         self.languages = languages
-        self.number = {p: i for i, p in enumerate(pieces)}
-        self.longest = max(map(len, pieces), default=1)
+        self.pieces = pieces
         n, k = len(pieces), len(languages)
         self.none, self.unknown = n, n + 1
         self.p = np.vstack([probabilities, np.zeros((1, k)), np.full((1, k), UNKNOWN)])
+        #: A tree of the pieces: (state, letter) as one sorted number, the state that follows, and the piece that ends in a state.
+        tree: dict[int, int] = {}
+        ends = {}
+        for i, piece in enumerate(pieces):
+            state = 0
+            for c in piece:
+                state = tree.setdefault(state << 21 | ord(c), len(tree) + 1)
+            ends[state] = i
+        self.arcs = np.array(sorted(tree), np.int64)
+        self.target = np.array([tree[x] for x in sorted(tree)], np.int64)
+        self.piece_of = np.array([ends.get(x, self.none) for x in range(len(tree) + 1)], np.int64)
 
     def _steps(self, words: list[str]):
-        """(i, j, rows of p) for all spans of marked words of one length that some word has a piece for."""
-        marked = ["▁" + w for w in words]
-        n, get = len(marked[0]), self.number.get
-        for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
-                other = self.unknown if j == i + 1 else self.none
-                found = [get(w[i:j], other) for w in marked]
-                if other == self.unknown or any(x != other for x in found):
-                    yield i, j, np.array(found)
+        """(i, j, at, rows of p) for all spans of marked words of one length: the words ``at`` have those pieces there, by their start."""
+        text = np.frombuffer("".join("▁" + w for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.int64)
+        n = text.shape[1]
+        for i in range(n):
+            on, state = np.arange(len(words)), np.zeros(len(words), np.int64)
+            for j in range(i, n):
+                keys = state << 21 | text[on, j]
+                arc = np.searchsorted(self.arcs, keys)
+                known = self.arcs.take(arc, mode="clip") == keys if len(self.arcs) else np.zeros(len(on), bool)
+                on, state = on[known], self.target[arc[known]]
+                rows = self.piece_of[state]
+                if j == i:
+                    single = np.full(len(words), self.unknown)
+                    single[on] = np.where(rows == self.none, self.unknown, rows)
+                    yield i, j + 1, slice(None), single
+                elif (hit := rows != self.none).any():
+                    yield i, j + 1, on[hit], rows[hit]
+                if not len(on):
+                    break
 
     def forward(self, words: list[str]) -> tuple[list[np.ndarray], list[tuple]]:
         """Sums over all segmentations of each prefix (for words of one length), and the steps that were summed."""
         n, steps = len(words[0]) + 1, list(self._steps(words))
         sums = [np.ones((len(words), len(self.languages)))] + [np.zeros((len(words), len(self.languages))) for _ in range(n)]
-        for i, j, rows in steps:
-            sums[j] += sums[i] * self.p[rows]
+        for i, j, at, rows in steps:
+            sums[j][at] += sums[i][at] * self.p[rows]
         return sums, steps
 
     def log_likelihoods(self, words: list[str]) -> np.ndarray:
@@ -94,10 +114,10 @@ class Unigrams:
                 ahead = [s[rng, col] for s in sums]
                 back = [np.zeros(len(part)) for _ in ahead]
                 back[-1] = times[part] / ahead[-1]
-                for i, j, rows in sorted(steps, key=lambda s: -s[1]):
-                    use = self.p[rows, col] * back[j]
-                    np.add.at(out, (rows, col), ahead[i] * use)
-                    back[i] += use
+                for i, j, here, rows in sorted(steps, key=lambda s: -s[1]):
+                    use = self.p[rows, col[here]] * back[j][here]
+                    np.add.at(out, (rows, col[here]), ahead[i][here] * use)
+                    back[i][here] += use
         return out[:-2]
 
 
@@ -185,7 +205,7 @@ def predict(docs: DataFrame, model: Unigrams, id_col: str = "doc_id", text_col:
     The model's size is bounded by the fixed vocabulary and the number of languages. Ties go to the first language in order.
     """
     name = uuid.uuid4().hex
-    shipped = docs.sparkSession.sparkContext.broadcast((list(model.number), model.p[:-2].astype(np.float32), model.languages))
+    shipped = docs.sparkSession.sparkContext.broadcast((model.pieces, model.p[:-2].astype(np.float32), model.languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _SCORERS:
