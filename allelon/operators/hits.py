@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelon.functions.sequence import protein_table11, reverse_complement, subsequence, translate_dna, ungapped
-from allelon.operators.alignment import local_align
+from allelon.operators.alignment import local_align, local_scores, most_scores
 
 
 def filter_hits(hits: DataFrame, min_identity: float = 80.0, min_coverage: float = 80.0) -> DataFrame:
@@ -90,27 +90,56 @@ def six_frames(contigs: DataFrame, keys: list[str], seq: str = "seq", window: in
     return strands.select(*keys, "start", F.explode(frames).alias("f")).select(*keys, "start", "f.frame", "f.protein")
 
 
-def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, k: int = 5, min_seeds: int = 2, band: int = 16, per_gene: int = 5) -> DataFrame:
+def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, k: int = 5, min_seeds: int = 2) -> DataFrame:
     """Best local alignment of each reference protein in each genome's six-frame translation, by k-mer seeds.
 
-    Seeds are an equi-join of k-mers with those of the references; a diagonal band with ``min_seeds`` seeds or more is a candidate, of which
-    the ``per_gene`` best for each genome and gene are aligned (BLOSUM62, gap 11 and 1) in Arrow batches.
+    Seeds are an equi-join of k-mers with those of the references. Each protein with ``min_seeds`` seeds of a gene or more, on whatever
+    diagonals, is a candidate, and the best of all candidates of a genome and gene is found (BLOSUM62, gap 11 and 1) in Arrow batches: the
+    one with the highest bound is scored first, then all whose bound isn't below that score.
     """
     # Overlapping k-mers in one pass over the text.
     kmers = lambda c: F.posexplode(F.regexp_extract_all(c, F.lit(f"(?=(.{{{k}}}))"), F.lit(1)))
-    frames = six_frames(contigs, keys)
-    seeds = frames.select(*keys, "start", "frame", kmers(F.col("protein")).alias("at", "kmer"))
-    own = refs.select("gene", kmers(F.col("seq")).alias("rat", "kmer"))
-    votes = seeds.join(own, "kmer").groupBy(*keys, "start", "frame", "gene", F.floor((F.col("at") - F.col("rat")) / band).alias("diagonal")).agg(F.count("*").alias("seeds"), F.min("at").alias("at"))
-    ranked = votes.where(F.col("seeds") >= min_seeds).withColumn("__rn", F.row_number().over(Window.partitionBy(genome, "gene").orderBy(F.desc("seeds"), *keys, "start", "frame", "diagonal")))
-    chosen = ranked.where(F.col("__rn") <= per_gene).drop("__rn").join(frames, [*keys, "start", "frame"]).join(refs.select("gene", F.col("seq").alias("ref")), "gene")
+    part = [*keys, "start", "frame"]
+    ref = refs.select("gene", F.col("seq").alias("ref"))
+    own = refs.select("gene", kmers(F.col("seq")).alias("rat", "kmer")).groupBy("kmer").agg(F.collect_list(F.struct("gene", "rat")).alias("own"))
+    seeds = six_frames(contigs, keys).select(*part, kmers(F.col("protein")).alias("at", "kmer")).join(F.broadcast(own), "kmer")
+    votes = seeds.select(*part, F.explode("own").alias("o")).groupBy(*part, "o.gene").agg(F.count("*").alias("seeds"), F.collect_set("o.rat").alias("rats"))
+    chosen = votes.where(F.col("seeds") >= min_seeds).join(F.broadcast(ref), "gene").select(*part, "gene", "rats", "ref")
+    kinds = ", ".join(f"`{c}` {t}" for c, t in chosen.select(*part, "gene").dtypes)
+
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            most = np.zeros(len(pdf))
+            for r, rows in pdf.groupby("ref").indices.items():
+                most[rows] = most_scores(r, k, pdf["rats"].iloc[rows].tolist())
+            yield pdf[[*part, "gene"]].assign(most=most)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pairs = [(g["gene"], g["ref"], i) for i, own in enumerate(pdf["own"]) for g in own]
+            flat = pd.DataFrame(pairs, columns=["gene", "ref", "i"])
+            found = np.zeros(len(flat))
+            for r, rows in flat.groupby("ref").indices.items():
+                found[rows] = local_scores(r, pdf["protein"].iloc[flat["i"].iloc[rows]].tolist())
+            yield pdf[part].iloc[flat["i"]].reset_index(drop=True).assign(gene=flat["gene"], score=found)
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [local_align(r, p) for r, p in zip(pdf["ref"], pdf["protein"], strict=True)]
-            yield pdf.assign(score=np.array([f[0] for f in found], float), seq=[f[1] for f in found])[[*keys, "gene", "start", "frame", "score", "seq"]]
+            yield pdf[[*part, "gene", "score"]].assign(seq=[local_align(r, p)[1] for r, p in zip(pdf["ref"], pdf["protein"], strict=True)])
+
+    def with_proteins(rows: DataFrame) -> DataFrame:
+        """Only the contigs of these rows are translated."""
+        return rows.join(six_frames(contigs.join(rows.select(*keys).distinct(), keys, "left_semi"), keys), part)
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        own = pairs.select(*part, "gene").join(F.broadcast(ref), "gene").groupBy(*part).agg(F.collect_list(F.struct("gene", "ref")).alias("own"))
+        return with_proteins(own).select(*part, "own", "protein").mapInPandas(score, f"{kinds}, score double")
+
+    def best(rows: DataFrame, by: str) -> DataFrame:
+        order = F.struct((-F.col(by)).alias("__by"), *(c for c in part if c != genome))
+        return rows.groupBy(genome, "gene").agg(F.min(order).alias("__b")).select(genome, "gene", "__b.*").withColumn(by, -F.col("__by")).drop("__by")
 
-    kinds = ", ".join(f"`{c}` {t}" for c, t in chosen.select(*keys, "gene", "start", "frame").dtypes)
-    aligned = chosen.select(*keys, "gene", "start", "frame", "ref", "protein").mapInPandas(align, f"{kinds}, score double, seq string")
-    best = Window.partitionBy(genome, "gene").orderBy(F.desc("score"), *keys, "start", "frame")
-    return aligned.withColumn("__rn", F.row_number().over(best)).where("__rn = 1").drop("__rn")
+    bounds = chosen.mapInPandas(bound, f"{kinds}, most double").persist()
+    least = scored(best(bounds, "most")).select(genome, "gene", F.col("score").alias("least"))
+    found = best(scored(bounds.join(F.broadcast(least), [genome, "gene"]).where("most >= least")).persist(), "score")
+    return with_proteins(found).join(F.broadcast(ref), "gene").select(*part, "gene", "score", "ref", "protein").mapInPandas(align, f"{kinds}, score double, seq string")
