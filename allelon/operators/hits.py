@@ -80,14 +80,12 @@ def extraction_stats(wanted: DataFrame, genome: str, value: str = "protein") ->
     return wanted.groupBy(genome).agg(got.alias("extracted"), (F.count("*") - got).alias("failed"), (F.count("*") == got).alias("complete"))
 
 
-def six_frames(contigs: DataFrame, keys: list[str], seq: str = "seq", window: int = 6000, overlap: int = 3000) -> DataFrame:
-    """(keys, frame, start, protein) of overlapping windows in all six frames; frames 3 to 5 are of the other strand."""
-    n = F.length(seq)
-    starts = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(window - overlap)))
-    cut = contigs.select(*keys, F.explode(starts).alias("start"), F.col(seq).alias("__s")).withColumn("__s", F.expr(f"substring(__s, start + 1, {window})"))
-    strands = cut.select(*keys, "start", F.explode(F.array(F.struct(F.lit(0).alias("s"), F.col("__s").alias("d")), F.struct(F.lit(3).alias("s"), reverse_complement(F.col("__s")).alias("d")))).alias("x"))
+def six_frames(contigs: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
+    """(keys, frame, protein) of whole contigs in all six frames; frames 3 to 5 are of the other strand."""
+    strand = lambda s, d: F.struct(F.lit(s).alias("s"), d.alias("d"))
+    strands = contigs.where(F.length(seq) > 0).select(*keys, F.explode(F.array(strand(0, F.col(seq)), strand(3, reverse_complement(F.col(seq))))).alias("x"))
     frames = F.array(*(F.struct((F.col("x.s") + k).alias("frame"), translate_dna(F.col("x.d"), k).alias("protein")) for k in range(3)))
-    return strands.select(*keys, "start", F.explode(frames).alias("f")).select(*keys, "start", "f.frame", "f.protein")
+    return strands.select(*keys, F.explode(frames).alias("f")).select(*keys, "f.frame", "f.protein")
 
 
 def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, k: int = 5, min_seeds: int = 2) -> DataFrame:
@@ -95,11 +93,11 @@ def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], geno
 
     Seeds are an equi-join of k-mers with those of the references. Each protein with ``min_seeds`` seeds of a gene or more, on whatever
     diagonals, is a candidate, and the best of all candidates of a genome and gene is found (BLOSUM62, gap 11 and 1) in Arrow batches: the
-    one with the highest bound is scored first, then all whose bound isn't below that score.
+    one with the highest bound is scored first, then all whose bound isn't below that score. Frames are aligned whole, so no match is cut.
     """
     # Overlapping k-mers in one pass over the text.
     kmers = lambda c: F.posexplode(F.regexp_extract_all(c, F.lit(f"(?=(.{{{k}}}))"), F.lit(1)))
-    part = [*keys, "start", "frame"]
+    part = [*keys, "frame"]
     ref = refs.select("gene", F.col("seq").alias("ref"))
     own = refs.select("gene", kmers(F.col("seq")).alias("rat", "kmer")).groupBy("kmer").agg(F.collect_list(F.struct("gene", "rat")).alias("own"))
     seeds = six_frames(contigs, keys).select(*part, kmers(F.col("protein")).alias("at", "kmer")).join(F.broadcast(own), "kmer")

@@ -57,3 +57,23 @@ def test_best_hit_behind_many_repeats(spark):
     contigs += [("h", "w", dna(core[:12] + "HHH" + core[12:])[::-1].translate(str.maketrans(*complement_letters())))]
     got = search(spark, contigs, refs)
     assert got == brute(contigs, refs) and got["g", "rep"][1] == "z"
+
+
+def test_long_match_is_not_cut(spark):
+    """1,100 residues, from base 2,901 to 6,200."""
+    rng = random.Random(7)
+    ref = "".join(rng.choices(RESIDUES, k=1100))
+    contigs = [("g", "c", "".join(rng.choices("ACGT", k=2900)) + dna(ref) + "".join(rng.choices("ACGT", k=3000)))]
+    got = search(spark, contigs, [("long", ref)])
+    assert got == {("g", "long"): (sum(alignment.matrix()[alignment.LETTERS.index(c)][alignment.LETTERS.index(c)] for c in ref), "c", 2, ref)}
+
+
+def test_alignment_in_a_part_of_the_query():
+    """The part that is searched back equals the one from the whole table."""
+    rng = random.Random(8)
+    for _ in range(60):
+        ref = "".join(rng.choices("ARNDC", k=rng.randint(3, 25)))
+        query = "".join(rng.choices("ARNDC", k=40)) + ref[:10] + "".join(rng.choices("ARNDC", k=rng.randint(0, 20))) + ref[10:] + "".join(rng.choices("ARNDC", k=40))
+        best = alignment._tables(alignment.coded(ref), alignment.coded(query), 12.0, 1.0, local=True)[0]
+        score, part = alignment.local_align(ref, query)
+        assert score == best.max() and part in query and alignment.local_scores(ref, [part])[0] == score
