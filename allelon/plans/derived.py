@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allelon.functions.sequence import translate_dna
+
 RES, MUT = "ARNDCQEGHILKMFPSTWYV", "ARNDCQEGHILKMFPSTWYV*X"
 GENE = "CASE l_suppkey % 5 WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' WHEN 2 THEN 'tolC' WHEN 3 THEN 'acrR' ELSE 'marR' END"
 CODE = f"concat(substr('{RES}', cast((l_partkey % 40) % 20 + 1 AS int), 1), cast(10 + l_partkey % 40 AS string), substr('{MUT}', cast(((l_partkey % 40) * 7 + 3) % 22 + 1 AS int), 1))"
@@ -23,16 +25,31 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr("cast(l_orderkey AS string) AS Accession", f"{GENE} AS Gene", f"{CODE} AS Mutation", "l_linenumber AS ord", "l_partkey", "l_suppkey")
 
 
+def _letters() -> Column:
+    return F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+
+
+def _dna() -> Column:
+    return F.translate(_letters(), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTNN")
+
+
 def contigs(spark: SparkSession, sf: str) -> DataFrame:
     """A contig for each document, an assembly for each source."""
-    letters = F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+    letters = _letters()
     return table(spark, sf, "documents").select(
         F.col("source").alias("genome_id"), F.concat("source", F.lit(".fna")).alias("file_name"), F.lit(0).cast("long").alias("file_size"), F.col("doc_id").alias("contig_ord"),
         F.col("doc_id").cast("string").alias("contig_id"), F.concat(F.lit("contig "), F.col("doc_id").cast("string")).alias("header"),
-        F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTNN").alias("seq"), F.length(letters).cast("long").alias("seq_len"),
+        _dna().alias("seq"), F.length(letters).cast("long").alias("seq_len"),
     )
 
 
+def searched_proteins(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole proteins to search for: every benchmark passage and three contigs, translated."""
+    passages = table(spark, sf, "benchmark").select(F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("gene"), translate_dna(_dna()).alias("seq"))
+    own = contigs(spark, sf).where("contig_ord IN (1, 2, 4)").select(F.concat(F.lit("gene"), F.col("contig_ord").cast("string")).alias("gene"), translate_dna(F.col("seq")).alias("seq"))
+    return passages.unionByName(own).where("seq <> ''")
+
+
 def blast_hits(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey AS string) AS qseqid", f"{GENE} AS sseqid", "cast(75 + l_partkey % 25 AS double) AS pident", "cast(50 + l_quantity AS bigint) AS length",

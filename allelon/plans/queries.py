@@ -291,10 +291,9 @@ def select_reference(spark, sf):
 
 @query
 def translated_search(spark, sf):
-    """Each genome is searched for proteins that are translated parts of its first contigs."""
-    own = X.contigs(spark, sf)
-    known = own.where("contig_ord IN (1, 2, 4)").select(F.concat(F.lit("gene"), F.col("contig_ord").cast("string")).alias("gene"), F.substring(translate_dna(F.col("seq")), 1, 60).alias("seq"))
-    found = hits.translated_search(own.select("genome_id", "contig_id", "seq"), known, ["genome_id", "contig_id"], "genome_id")
+    """Each genome is searched for the translated benchmark passages and for the proteins of three contigs, all whole."""
+    own = X.contigs(spark, sf).select("genome_id", "contig_id", "seq")
+    found = hits.translated_search(own, X.searched_proteins(spark, sf), ["genome_id", "contig_id"], "genome_id")
     return found.select("genome_id", "gene", "contig_id", "frame", "score", "seq")
 
 

@@ -77,3 +77,17 @@ def test_alignment_in_a_part_of_the_query():
         best = alignment._tables(alignment.coded(ref), alignment.coded(query), 12.0, 1.0, local=True)[0]
         score, part = alignment.local_align(ref, query)
         assert score == best.max() and part in query and alignment.local_scores(ref, [part])[0] == score
+
+
+def test_query_searches_whole_proteins(spark, monkeypatch):
+    """Every benchmark passage and the three contigs, none of them cut."""
+    from allelon.plans import derived, queries
+
+    sf, asked = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(hits, "translated_search", lambda contigs, refs, *a, **b: asked.append((refs, a, b)) or contigs.selectExpr("genome_id", "'' gene", "contig_id", "0 frame", "0 score", "seq"))
+    queries.QUERIES["translated_search"](spark, sf)
+    refs, _, more = asked[0]
+    text = {f"item{r['item_id']}": r["text"] for r in derived.table(spark, sf, "benchmark").collect()}
+    text |= {f"gene{r['doc_id']}": r["text"] for r in derived.table(spark, sf, "documents").where("doc_id IN (1, 2, 4)").collect()}
+    bases = lambda t: "".join("ACGT"[(ord(c) - 97) % 4] if c < "y" else "N" for c in t.lower() if "a" <= c <= "z")
+    assert {r["gene"]: r["seq"] for r in refs.collect()} == {g: next(six(bases(t)))[1] for g, t in text.items()} and not more
