@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from allelon.functions.sequence import translate_dna
@@ -94,11 +94,14 @@ def atoms(spark: SparkSession, sf: str, scale: float) -> DataFrame:
 
 def affinities(spark: SparkSession, sf: str) -> DataFrame:
     """A run and network for each user: the first two values in time, divided by 100."""
-    rows = table(spark, sf, "events").groupBy("user_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))), 1, 2).alias("v"))
-    value = lambda i: (F.get("v", F.lit(i))["value"] / 100)
+    # Spark keeps the first two of a user in each task before the shuffle.
+    first = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id", "value"))
+    two = table(spark, sf, "events").select("user_id", "ts", "event_id", "value").withColumn("rn", first).where("rn <= 2")
+    value = lambda i: F.max(F.when(F.col("rn") == i, F.col("value") / 100))
+    rows = two.groupBy("user_id").agg(value(1).alias("wt_affinity"), value(2).alias("mut_affinity"))
     return rows.select(
         F.concat(F.lit("run"), (F.col("user_id") % 4).cast("string")).alias("run"), F.format_string("%s:S%sL", F.when(F.col("user_id") % 3 == 0, "acrR").otherwise("acrB"), F.col("user_id")).alias("Node_1"),
-        F.when(F.col("user_id") % 5 == 0, F.format_string("tolC:A%sV", F.col("user_id"))).alias("Node_2"), value(0).alias("wt_affinity"), value(1).alias("mut_affinity"), "user_id",
+        F.when(F.col("user_id") % 5 == 0, F.format_string("tolC:A%sV", F.col("user_id"))).alias("Node_2"), "wt_affinity", "mut_affinity", "user_id",
     )
 
 
