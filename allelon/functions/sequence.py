@@ -80,5 +80,6 @@ def ungapped(seq: Column) -> Column:
 def residue_positions(ref: Column, query: Column) -> Column:
     """Array of substitutions (wild type, position, mutant) of two aligned strings; the position counts residues of ``ref``."""
     letters = F.arrays_zip(F.split(ref, "").alias("wt"), F.split(query, "").alias("mut"))
-    own = F.transform(letters, lambda x, i: F.struct(x["wt"].alias("wt"), (i + 1 - F.length(F.substring(ref, F.lit(1), i + 1)) + F.length(F.replace(F.substring(ref, F.lit(1), i + 1), F.lit("-"), F.lit("")))).alias("position"), x["mut"].alias("mut")))
-    return F.filter(own, lambda r: (r["wt"] != r["mut"]) & (r["wt"] != "-") & (r["mut"] != "-") & (r["wt"] != "") & (r["mut"] != ""))
+    # Without the gaps of ref, a place in the array is the position.
+    own = F.transform(F.filter(letters, lambda x: x["wt"] != "-"), lambda x, i: F.struct(x["wt"].alias("wt"), (i + 1).alias("position"), x["mut"].alias("mut")))
+    return F.filter(own, lambda r: (r["wt"] != r["mut"]) & (r["mut"] != "-") & (r["wt"] != "") & (r["mut"] != ""))
