@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import store
+from allelon.storage import discard, store
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -17,7 +17,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
 
     Every round uses minimum aggregates (combined before the shuffle) and equi-joins that adaptive
     execution can split, so a node with very many links isn't gathered in a task. Each round's links are stored in the
-    shared folder. Self links are dropped; an empty table gives an empty result.
+    shared folder, and those before them deleted. Self links are dropped; an empty table gives an empty result.
     """
     edges = store(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     before = _mark(edges)
@@ -28,7 +28,9 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         large = store(large.distinct(), "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = store(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        old, edges = edges, store(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        discard(old)
+        discard(large)
         if (now := _mark(edges)) == before:
             break
         before = now

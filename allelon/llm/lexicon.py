@@ -14,7 +14,6 @@ import json
 import mmap
 import re
 import struct
-import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,8 +24,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import by_bytes, shared_dir, store, texts_of
+from allelon.llm.common import parts, texts_of
+from allelon.llm.tokens import KEPT_LETTERS, byte_letters, library_encoder
 from allelon.llm.wordcount import word_counts
+from allelon.storage import shared_dir, store
 
 #: White space as the tokenizer's own pattern knows it, without the four separators that only Python counts.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -37,32 +38,32 @@ NEVER = 1 << 60
 
 
 def split_words(text: str) -> list[str]:
-    """White-space separated words of a normalised text."""
+    """White-space separated words of a text."""
     if _SEPARATORS.search(text):
         return [w for w in _SPLIT_SPACE.split(text) if w]
     return text.split()
 
 
-def normalise(text: str) -> str:
-    """NFC, then lower case letter by letter (no special form of the last sigma)."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text)
-        if "Σ" in text:
-            text = text.replace("Σ", "σ")
-    return text.lower()
+def word_keys(text: str) -> list[str]:
+    """The words of a text as the lexicon knows them: ASCII words in lower case, others as they stand.
 
-
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte: itself if printable in Latin-1, else the next from 256 on."""
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+    No normal form joins characters across white space, so words are normalised one by one, when they are merged.
+    """
+    if text.isascii():
+        return split_words(text.lower())
+    return [w.lower() if w.isascii() else w for w in split_words(text)]
 
 
 class WordBpe:
-    """Exact merges for a tokenizer file with an end-of-word suffix, and its token strings."""
+    """Exact merges for a tokenizer file with an end-of-word suffix, and its token strings.
+
+    Words with other than ASCII letters are normalised and split by the library's own objects, as its Unicode tables are of
+    another version than Python's.
+    """
 
     def __init__(self, path: str):
+        own = library_encoder(path)
+        self.normaliser, self.splitter = own.normalizer, own.pre_tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -74,14 +75,20 @@ class WordBpe:
         #: Pair of ids -> rank and merged id in one number, so that the least number is the pair to merge.
         self.rank = {(self.vocab[a], self.vocab[b]): r << 20 | self.vocab[a + b] for r, (a, b) in enumerate(pairs)}
         self.piece = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.byte = {c: b for b, c in enumerate(byte_letters())}
         self.inner = [self.vocab.get(c) for c in byte_letters()]
         self.last = [self.vocab.get(c + self.suffix) for c in byte_letters()]
         self.pair_keys, self.pair_ranks = self._pair_table()
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
-    def merge_piece(self, piece: str) -> list[int]:
+    def pieces(self, word: str) -> list[bytes]:
+        """The parts of a word that are merged apart, in UTF-8."""
+        if word.isascii():
+            return [p.encode() for p in self.piece.findall(word)]
+        return [bytes(map(self.byte.__getitem__, p)) for p, _ in self.splitter.pre_tokenize_str(self.normaliser.normalize_str(word))]
+
+    def merge_piece(self, data: bytes) -> list[int]:
         """Token ids of one piece: the pair of lowest rank is merged, leftmost first, until none is left."""
-        data = piece.encode()
         ids = [self.inner[b] for b in data]
         ids[-1] = self.last[data[-1]]
         get = self.rank.get
@@ -121,9 +128,9 @@ class WordBpe:
         return [x for x, a in zip(ids, alive, strict=True) if a]
 
     def merge_word(self, word: str) -> list[int]:
-        """Token ids of a normalised word without white space."""
+        """Token ids of a word without white space."""
         out: list[int] = []
-        for piece in self.piece.findall(word):
+        for piece in self.pieces(word):
             out += self.merge_piece(piece)
         return out
 
@@ -172,8 +179,8 @@ class WordBpe:
 
     def merge_words(self, words: list[str], together: int = 4096) -> list[bytes]:
         """Ids of many words, each as little-endian 32-bit integers; pieces of like lengths are merged together."""
-        split = [self.piece.findall(w) for w in words]
-        flat = [p.encode() for own in split for p in own]
+        split = [self.pieces(w) for w in words]
+        flat = [p for own in split for p in own]
         order = sorted(range(len(flat)), key=lambda i: len(flat[i]))
         found: list[bytes] = [b""] * len(flat)
         for a in range(0, len(order), together):
@@ -182,7 +189,7 @@ class WordBpe:
                 long = [i for i in part if len(flat[i]) > 48]
                 part = part[: len(part) - len(long)]
                 for i in long:
-                    ids = self.merge_piece(flat[i].decode())
+                    ids = self.merge_piece(flat[i])
                     found[i] = struct.pack(f"<{len(ids)}I", *ids)
             if part:
                 for i, ids in zip(part, self._merge_many([flat[i] for i in part]), strict=True):
@@ -297,17 +304,24 @@ class Lexicon:
 
 
 class Codec:
-    """word -> ids as bytes in a bounded table, filled from the lexicon or else by exact merges."""
+    """word -> ids as bytes in a bounded table, filled from the lexicon or else by exact merges.
+
+    Long words are held for the texts at hand only, so that the table is bounded in bytes.
+    """
 
     def __init__(self, lexicon: Lexicon | None, bpe: WordBpe, most: int = 300_000):
         self.lexicon, self.bpe, self.most = lexicon, bpe, most
         #: A special string's key has a blank before it, which no word has.
         self.special = {" " + s: struct.pack("<I", i) for s, i in bpe.special.items()}
         self.held = dict(self.special)
+        self.long: list[str] = []
 
     def fill(self, words: set[str]) -> dict[str, bytes]:
         """The table, with all of ``words`` in it."""
+        for w in self.long:
+            del self.held[w]
         new = [w for w in words if w not in self.held]
+        self.long = [w for w in new if len(w) > KEPT_LETTERS]
         if len(self.held) + len(new) > self.most:
             self.held = self.special | {w: self.held[w] for w in words if w in self.held}
         for at in range(0, len(new), 1 << 14):
@@ -321,9 +335,9 @@ class Codec:
     def words(self, text: str) -> list[str]:
         """The table's keys for a whole text, in order."""
         if self.bpe.cut and "<|" in text:
-            parts = ([" " + part] if part in self.bpe.special else split_words(normalise(part)) for part in self.bpe.cut.split(text))
-            return [w for own in parts for w in own]
-        return split_words(normalise(text))
+            split = ([" " + part] if part in self.bpe.special else word_keys(part) for part in self.bpe.cut.split(text))
+            return [w for own in split for w in own]
+        return word_keys(text)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers; special strings inside become their own ids."""
@@ -344,7 +358,7 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 65_536)
 
     The bound comes from a histogram of counts in sixteenths of an octave, so that no more than ``most`` words ever come to the driver.
     """
-    counted = word_counts(docs, lambda t: split_words(normalise(t)), text_col)
+    counted = word_counts(docs, word_keys, text_col)
     counted = store(counted.select("word", F.floor(F.log2("n") * 16).cast("int").alias("level")), "word-levels")
     total, bound = 0, 1 << 30
     for r in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"]):  # a thousand levels at most
@@ -383,18 +397,16 @@ def _codec(name: str, tokenizer_path: str) -> Codec:
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 65_536) -> DataFrame:
     """(id, ids binary, decoded string) for each row: the ids of the whole text and the text decoded from them.
 
-    Null and empty texts have no ids. Repeated rows give repeated results; a null id stays null.
+    Null and empty texts have no ids. Repeated rows give repeated results; a null id stays null. Only the id and the text are
+    read, whole texts of any length; an empty table gives an empty result.
     """
     name = ship_lexicon(docs, tokenizer_path, text_col, lexicon_words)
     schema = pa.schema([("id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, tokenizer_path)
-        for batch in batches:
-            at = 0
-            for texts in by_bytes(texts_of(batch, "text"), 1 << 22):  # so that few ids and decoded texts are held at once
-                ids = codec.encode_all(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(texts)], pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=schema)
-                at += len(texts)
+        for batch in parts(batches):  # so that few ids and decoded texts are held at once
+            ids = codec.encode_all(texts_of(batch, "text"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=schema)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, ids binary, decoded string").withColumnRenamed("id", id_col)

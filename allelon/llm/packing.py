@@ -10,7 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.tokens import ByteIds, kept, slices
+from allelon.llm.common import parts, texts_of
+from allelon.llm.tokens import ByteIds, kept
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -23,13 +24,56 @@ def cost(length: int, linear: float, quadratic: float) -> float:
     return linear * length + quadratic * length * length
 
 
-def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadratic: float = 1 / 512, tries: int = 64) -> list[tuple[int, int, int, int, int]]:
+class Cheapest:
+    """Open sequences by remaining room; gives the one of lowest cost among those with enough room. Exact.
+
+    A heap for each room, and above the heaps a tree of minima over ranges of rooms.
+    """
+
+    NONE = (float("inf"), -1)
+
+    def __init__(self, capacity: int, sequences: int):
+        self.leaves = 1 << capacity.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(self.leaves)]
+        self.tree = [self.NONE] * (2 * self.leaves)
+        self.heaps[capacity] = [(0.0, s) for s in range(sequences)]
+        self._rise(capacity)
+
+    def _rise(self, room: int) -> None:
+        heap, at, tree = self.heaps[room], room + self.leaves, self.tree
+        tree[at] = heap[0] if heap else self.NONE
+        while at > 1:
+            at >>= 1
+            tree[at] = min(tree[2 * at], tree[2 * at + 1])
+
+    def put(self, room: int, cost: float, sequence: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, sequence))
+        self._rise(room)
+
+    def take(self, least: int, room_of: list[int]) -> tuple[float, int] | None:
+        """The (cost, sequence) of lowest cost with room for ``least``, ties to the first sequence; taken out."""
+        best, at, end, tree = self.NONE, least + self.leaves, 2 * self.leaves, self.tree
+        while at < end:
+            if at & 1:
+                best = min(best, tree[at])
+                at += 1
+            at >>= 1
+            end >>= 1
+        if best is self.NONE:
+            return None
+        room = room_of[best[1]]
+        heapq.heappop(self.heaps[room])
+        self._rise(room)
+        return best
+
+
+def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadratic: float = 1 / 512) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of the pieces of documents with ``lengths`` tokens.
 
     There are as many sequences as all tokens need, so the sequences of a call have less padding than one
     sequence together. Full sequences are cut from longer documents first. The rest, in descending order, each go to
-    the lowest-cost sequence with room for all of it; where none of the ``tries`` cheapest has, the piece is cut
-    to fill the cheapest and its remainder goes on to the next.
+    the lowest-cost sequence with room for all of it; where none has, the piece is cut to fill the lowest-cost
+    sequence with any room and its remainder goes on to the next.
     """
     pieces, rest, n = [], [], 0
     for d, length in enumerate(lengths):
@@ -40,24 +84,15 @@ def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadrati
             rest.append((length % capacity, d, length - length % capacity))
     rest.sort(key=lambda x: (-x[0], x[1]))
     room = [capacity] * -(-sum(x[0] for x in rest) // capacity)
-    heap = [(0.0, s) for s in range(len(room))]
+    open_ = Cheapest(capacity, len(room))
     for length, d, at in rest:
         while length:
-            aside = []
-            while heap and len(aside) < tries:
-                c, s = heapq.heappop(heap)
-                if room[s] >= length:
-                    break
-                aside.append((c, s))
-            else:
-                c, s = aside.pop(0)
-            for x in aside:
-                heapq.heappush(heap, x)
+            c, s = open_.take(length, room) or open_.take(1, room)
             take = min(length, room[s])
             pieces.append((d, at, take, n + s, capacity - room[s]))
             room[s] -= take
             if room[s]:
-                heapq.heappush(heap, (c + cost(take, linear, quadratic), s))
+                open_.put(room[s], c + cost(take, linear, quadratic), s)
             at += take
             length -= take
     return pieces
@@ -69,7 +104,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     A task packs its documents in windows of about ``window_tokens`` tokens without any shuffle, so padding is below one
     sequence a window. Sequence ids are unique over all tasks: the task's partition in the upper bits. Each id of a document is
     in exactly one piece. Null and empty texts are documents of the end id alone; repeated rows and null ids are
-    packed like any other.
+    packed like any other, texts of any length whole. Only the id and the text are read; an empty table gives no pieces.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,15 +126,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             held.clear()
             tokens = 0
 
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            for at, texts in slices(batch):
-                for i, text in enumerate(texts):
-                    own.append(names[at + i])
-                    held.append(own_ids.encode(text) + end)
-                    tokens += len(held[-1]) // 4
-                if tokens >= window_tokens:
-                    yield from out()
+        for batch in parts(batches):
+            for name, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
+                own.append(name)
+                held.append(own_ids.encode(text) + end)
+                tokens += len(held[-1]) // 4
+            if tokens >= window_tokens:
+                yield from out()
         if held:
             yield from out()
 

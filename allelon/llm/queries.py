@@ -43,7 +43,7 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs, PIECES))
+    found = langid.predict(docs, langid.fit(docs, PIECES), keep=("doc_id",))
     return found.select("doc_id", F.coalesce(crc_fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 

@@ -1,8 +1,8 @@
 """Batch encoding in Arrow functions: token counts, and the ids that packing needs.
 
 A tokenizer whose pieces never cross white space gives a text the same tokens as its words one by one. Texts
-are split at those safe boundaries; each word is encoded once and remembered in a bounded table, and what isn't
-remembered goes to the library in batches of equal bytes.
+are split at those safe boundaries, very long words where a letter meets a mark; each word is encoded once and remembered in a
+bounded table, and what isn't remembered goes to the library in batches of equal bytes.
 """
 
 from __future__ import annotations
@@ -17,14 +17,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import by_bytes, texts_of
-from allelon.llm.lexicon import byte_letters
+from allelon.llm.common import by_bytes, parts, texts_of
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
-_LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-#: Longer texts are encoded in parts.
-LONG = 1 << 20
+#: Where a text may be cut: before a lone blank, and (of texts without special strings) between a letter or digit and a mark. Tokenizers that
+#: keep letters, digits and marks apart have no token across such a place, and no normal form joins the two sides.
+_BLANK = re.compile(r"(?<=\S)(?= \S)")
+_SAFE = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z0-9\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5])(?=[\t\n\r -/:-@\[-`{-~\u3001\u3002\uff01\uff0c\uff1f])")
+#: Longer texts are encoded in parts, and words longer than WORD_BYTES as well.
+LONG, WORD_BYTES = 1 << 20, 1 << 16
+#: Longer words aren't kept between batches.
+KEPT_LETTERS = 64
+
+
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte: itself if printable in Latin-1, else the next from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
 def words_at_space(text: str) -> list[str]:
@@ -35,23 +46,26 @@ def words_at_space(text: str) -> list[str]:
 
 
 def safe_parts(text: str, size: int = LONG) -> Iterator[str]:
-    """Parts of about ``size`` characters, each but the first starting at a blank between two other characters."""
-    at = 0
-    while len(text) - at > size and (cut := _LONE_BLANK.search(text, at + size)):
+    """Parts of about ``size`` characters, cut at the first safe place after each; a text without such a place stays whole."""
+    at, place = 0, _BLANK if "<|" in text else _SAFE
+    while len(text) - at > size and (cut := place.search(text, at + size)):
         yield text[at : cut.start()]
         at = cut.start()
     yield text[at:]
 
 
 class WordTable:
-    """word -> what ``make`` gives for it, over at most about ``most`` words."""
+    """word -> what ``make`` gives for it, over at most about ``most`` short words and the long ones of the last call."""
 
     def __init__(self, make: Callable[[list[str]], list], most: int = 300_000, batch_bytes: int = 1 << 16):
-        self.make, self.most, self.batch_bytes, self.held = make, most, batch_bytes, {}
+        self.make, self.most, self.batch_bytes, self.held, self.long = make, most, batch_bytes, {}, []
 
     def fill(self, words: set[str]) -> dict:
         """The table, with all of ``words`` in it."""
+        for w in self.long:
+            del self.held[w]
         new = [w for w in words if w not in self.held]
+        self.long = [w for w in new if len(w) > KEPT_LETTERS]
         if len(self.held) + len(new) > self.most:
             self.held = {w: self.held[w] for w in words if w in self.held}
         for part in by_bytes(new, self.batch_bytes):
@@ -95,11 +109,12 @@ class ByteIds:
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; a long text is cut at lone blanks, where no token crosses."""
+        """Ids as little-endian unsigned 32-bit integers; a long text is encoded in parts that no token crosses."""
+        return b"".join(map(self._part, safe_parts(text)))
+
+    def _part(self, text: str) -> bytes:
         if "<|" in text:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(text) > LONG:
-            return b"".join(self.fast.encode_to_numpy(part, disallowed_special=()).tobytes() for part in safe_parts(text))
         return self.fast.encode_to_numpy(text, disallowed_special=()).tobytes()
 
 
@@ -115,29 +130,26 @@ def kept(make: Callable, path: str):
     return _KEPT[make.__name__, path]
 
 
-def slices(batch: pa.RecordBatch, most: int = 1 << 23) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of parts of a batch with about ``most`` characters each."""
-    texts, at = texts_of(batch, "text"), 0
-    for part in by_bytes(texts, most):
-        yield at, part
-        at += len(part)
-
-
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens) for each row, by a tokenizer file that drops white space; only lengths leave the Arrow function.
+    """(id, n_bytes, n_tokens) for each row, by a tokenizer file that drops white space; only lengths leave the Arrow function.
 
-    Null texts count as empty and have no tokens; a text of any length is encoded whole.
+    Null texts count as empty and have no tokens; a text of any length is encoded whole. Repeated rows give repeated results, a null id
+    stays null, other columns aren't read, and an empty table gives an empty result.
     """
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = kept(length_table, tokenizer_path)
-        for batch in batches:
-            for at, texts in slices(batch):
-                split = [words_at_space(t) for t in texts]
-                held = table.fill(set().union(*split))
-                found = [sum(map(held.__getitem__, words)) for words in split]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + len(texts)], batch.column(1)[at : at + len(texts)], pa.array(found, pa.int64())], schema=schema)
+        for batch in parts(batches):
+            split = []
+            for text in texts_of(batch, "text"):
+                words = words_at_space(text)
+                if words and max(map(len, words)) > WORD_BYTES:
+                    words = [p for w in words for p in safe_parts(w, WORD_BYTES)]
+                split.append(words)
+            held = table.fill(set().union(*split))
+            found = [sum(map(held.__getitem__, words)) for words in split]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], schema=schema)
 
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
     return own.mapInArrow(run, "id long, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)

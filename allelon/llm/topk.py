@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelon.llm.common import store
+from allelon.storage import store
 
 BITS = 64
 
@@ -39,6 +38,7 @@ class SegmentIndex:
             values = self.values(codes, s)
             self.order.append(np.argsort(values, kind="stable"))
             self.start.append(np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << self.width))]))
+        self.seen = np.zeros(len(codes), bool)  # all false between searches
         self.masks = [np.array([sum(1 << b for b in c) for c in combinations(range(self.width), r)], np.int64) for r in range(self.width + 1)]
 
     def values(self, codes, s: int):
@@ -51,8 +51,8 @@ class SegmentIndex:
         rest to r - 1, every code within segments * r + s - 1 bits has been seen, so the search ends as soon as the kth
         verified distance is no larger than that.
         """
-        n = len(self.codes)
-        seen, far = np.zeros(n, bool), np.full(n, BITS + 1, np.int64)
+        seen, hits, distances = self.seen, [], []
+        enough = min(k, len(self.codes))
         own = [int(self.values(code, s)) for s in range(self.segments)]
         within = np.zeros(BITS + 2, np.int64)
         for r in range(self.width + 1):
@@ -66,53 +66,50 @@ class SegmentIndex:
                     new = self.order[s][spots]
                     new = new[~seen[new]]
                     seen[new] = True
-                    far[new] = np.bitwise_count(self.codes[new] ^ code)
-                    within += np.bincount(far[new], minlength=BITS + 2)
-                covered = self.segments * r + s
-                if within[: covered + 1].sum() >= min(k, n):
+                    far = np.bitwise_count(self.codes[new] ^ code).astype(np.int64)
+                    hits.append(new)
+                    distances.append(far)
+                    within += np.bincount(far, minlength=BITS + 2)
+                if within[: self.segments * r + s + 1].sum() >= enough:
                     break
             else:
                 continue
             break
-        found = np.flatnonzero(seen)
-        best = found[np.lexsort((self.ids[found], far[found]))[:k]]
-        return self.ids[best], far[best]
+        found, far = np.concatenate(hits), np.concatenate(distances)
+        seen[found] = False
+        best = np.lexsort((self.ids[found], far))[:k]
+        return self.ids[found[best]], far[best]
 
 
 def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, block_rows: int = 1 << 18, query_rows: int = 1 << 20) -> DataFrame:
     """(query_id, rank, id, distance): the k codes nearest to each query, ties to the smaller id. Exact.
 
-    ``codes`` and ``queries`` have columns (id, code). Codes are dealt into blocks of about ``block_rows``; each task indexes its block
-    and searches it for all queries, and the best k of all blocks are merged, cut to k in each task before the
-    shuffle. Queries are sent out at most ``query_rows`` at a time (16 MB). Ids that repeat count once for each row.
+    ``codes`` and ``queries`` have columns (id, code). Codes are dealt into blocks of about ``block_rows`` and queries into parts of
+    about ``query_rows``; a task indexes a block and searches it for a part of the queries, so that it holds no more than
+    one of each. The best k of all blocks are merged, cut to k in each task before the shuffle. Ids that repeat
+    count once for each row; rows with a null id or code are left out; empty tables give empty results.
     """
-    spark = codes.sparkSession
-    codes = store(codes, "codes")
-    queries = store(queries, "queries")
+    whole = "id IS NOT NULL AND code IS NOT NULL"
+    codes, queries = store(codes.select("id", "code").where(whole), "codes"), store(queries.select("id", "code").where(whole), "queries")
     blocks = max(1, math.ceil(codes.count() / block_rows))
     parts = max(1, math.ceil(queries.count() / query_rows))
     schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("distance", pa.int32())])
-    dealt = codes.withColumn("block", F.pmod(F.xxhash64("id", "code"), F.lit(blocks))).repartition(blocks, "block")
-    out = None
-    for part in range(parts):
-        some = queries.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part).toArrow() if parts > 1 else queries.toArrow()
-        shipped = spark.sparkContext.broadcast((some.column("id").to_numpy(), some.column("code").to_numpy()))
-
-        def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            held = [b for b in batches if b.num_rows]
-            if not held:
-                return
-            ids = np.concatenate([b.column(0).to_numpy() for b in held])
-            own = np.concatenate([b.column(1).to_numpy() for b in held]).view(np.uint64)
-            order = np.argsort(ids, kind="stable")
-            index = SegmentIndex(ids[order], own[order])
-            names, wanted = shipped.value
-            for at in range(0, len(names), 1000):
-                found = [(q, *index.search(c, k)) for q, c in zip(names[at : at + 1000], wanted[at : at + 1000].view(np.uint64), strict=True)]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()), pa.array(np.concatenate([f[1] for f in found]), pa.int64()), pa.array(np.concatenate([f[2] for f in found]), pa.int32())], schema=schema)
-
-        near = dealt.select("id", "code").mapInArrow(search, "query_id long, id long, distance int")
-        out = near if out is None else out.unionByName(near)
+
+    def dealt(rows: DataFrame, own: int, others: int) -> DataFrame:
+        """Each row in its own block (or part), once for each of the others."""
+        return rows.withColumns({"own": F.pmod(F.xxhash64("id", "code"), F.lit(own)), "other": F.explode(F.sequence(F.lit(0), F.lit(others - 1)))})
+
+    def search(block: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not block.num_rows or not wanted.num_rows:
+            return schema.empty_table()
+        order = np.argsort(block.column("id").to_numpy(), kind="stable")
+        index = SegmentIndex(block.column("id").to_numpy()[order], block.column("code").to_numpy()[order].view(np.uint64))
+        names, found = wanted.column("id").to_numpy(), [index.search(c, k) for c in wanted.column("code").to_numpy().view(np.uint64)]
+        ids, far = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        return pa.table([np.repeat(names, [len(f[0]) for f in found]), ids, far.astype(np.int32)], schema=schema)
+
+    left = dealt(codes, blocks, parts).select(F.col("own").alias("block"), F.col("other").cast("long").alias("part"), "id", "code")
+    right = dealt(queries, parts, blocks).select(F.col("other").cast("long").alias("block"), F.col("own").alias("part"), "id", "code")
+    near = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(search, "query_id long, id long, distance int")
     best = Window.partitionBy("query_id").orderBy("distance", "id")
-    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
+    return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")

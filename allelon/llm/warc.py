@@ -20,7 +20,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import new_path, store
+from allelon.llm.common import parts
+from allelon.storage import new_path, store
 
 INDEX_SCHEMA = "file string, offset long, length long, url string, digest string, record_id string, record_type string"
 RECORD_SCHEMA = (
@@ -93,17 +94,18 @@ def write_archives(
     Of the rows with equal payloads of at least ``min_revisit_bytes`` bytes, the one with the smallest id
     is a response and the others are revisits of it. Null payloads count as empty; null urls are left out
     of the header. Rows that repeat the smallest id are all responses; a row with a null id never is the
-    smallest, and is a revisit wherever an equal payload has an id.
+    smallest, and is a revisit wherever an equal payload has an id. Other columns of ``pages`` aren't read; payloads of any length are written whole.
     """
     spark = pages.sparkSession
     rows = pages.select(
         F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("key"), F.col(url_col).alias("url"), F.coalesce(payload_col, F.lit("")).alias("payload")
     ).withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload")})
-    # Counted per map task first, so an often repeated payload costs one row for each task.
-    firsts = (
-        rows.where(F.col("size") >= min_revisit_bytes).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("digest", "first")
-    )
-    marked = rows.join(firsts, "digest", "left").select(
+    # Counted per map task first, so an often repeated payload costs one row for each task. Stored, so that Spark knows how many
+    # repeated payloads there are and sends them to the pages where they are few; else the pages are dealt by digest, short ones at random.
+    counted = rows.where(F.col("size") >= min_revisit_bytes).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+    firsts = store(counted.where("n > 1 AND first IS NOT NULL").select(F.unhex("digest").alias("__key"), "first"), "warc-firsts")
+    at_random = F.substring(F.unhex(F.sha1(F.concat_ws(" ", "id", "url", "digest"))), 1, 8)
+    marked = rows.withColumn("__key", F.when(F.col("size") >= min_revisit_bytes, F.unhex("digest")).otherwise(at_random)).join(firsts, "__key", "left").select(
         "id", "url", "payload", "digest", F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first")).cast("string").alias("refers_to")
     )
     folder = new_path(spark, "warc")
@@ -111,9 +113,7 @@ def write_archives(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
         out, name, at = None, "", 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches, "payload"):
             found = []
             for own, url, payload, digest, refers in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if out is None or at >= max_file_bytes:

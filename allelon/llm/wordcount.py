@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import texts_of
+from allelon.llm.common import parts, texts_of
+
+#: Longer words are passed on at once instead of being held, so that what a task holds is bounded in bytes.
+LONG_WORD = 64
 
 
 def word_counts(docs: DataFrame, words: Callable[[str], list], text_col: str = "text", group_col: str | None = None, most: int = 300_000) -> DataFrame:
@@ -23,19 +26,25 @@ def word_counts(docs: DataFrame, words: Callable[[str], list], text_col: str = "
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str | None, Counter] = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for g, c in held.items():
+        def out(found: dict[str | None, Counter]) -> Iterator[pa.RecordBatch]:
+            for g, c in found.items():
                 yield pa.RecordBatch.from_arrays([pa.array([g] * len(c), pa.string()), pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], schema=schema)
-            held.clear()
+            found.clear()
 
-        for batch in batches:
+        for batch in parts(batches):
+            long: dict[str | None, Counter] = {}
             for g, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
+                own = words(text)
+                if own and max(map(len, own)) > LONG_WORD:
+                    long.setdefault(g, Counter()).update(w for w in own if len(w) > LONG_WORD)
+                    own = [w for w in own if len(w) <= LONG_WORD]
                 if (c := held.get(g)) is None:
                     c = held[g] = Counter()
-                c.update(words(text))
+                c.update(own)
+            yield from out(long)
             if sum(map(len, held.values())) > most:
-                yield from out()
-        yield from out()
+                yield from out(held)
+        yield from out(held)
 
-    parts = docs.select(group.alias("grp"), F.col(text_col).alias("text")).mapInArrow(count, "grp string, word string, n long")
-    return parts.groupBy("grp", "word").agg(F.sum("n").alias("n"))
+    counted = docs.select(group.alias("grp"), F.col(text_col).alias("text")).mapInArrow(count, "grp string, word string, n long")
+    return counted.groupBy("grp", "word").agg(F.sum("n").alias("n"))
