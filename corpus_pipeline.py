@@ -1,7 +1,8 @@
 """The corpus pipeline: language ID, quality rules, near-duplicates, packing.
 
 Every stage works on all rows that the one before it kept; all but the last return the columns of documents.
-A row is kept or dropped whole; packing returns the pieces of all documents that are left.
+A row is kept or dropped whole, with all its columns, whatever their names; packing returns the pieces of all documents that are left.
+An empty table stays empty through all stages. Texts count whole, of any length.
 """
 
 from __future__ import annotations
@@ -12,31 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelon.llm import langid, packing, rules, simhash
-from allelon.llm.common import read_table, store
+from allelon.llm.common import read_table
 from allelon.llm.queries import BYTE_BPE, PIECES
+from allelon.storage import store
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts that are null or have no letters go."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Documents whose language can be told; texts that are null or have no letters go. Repeated rows stay or go together."""
     return langid.keep_identified(docs, PIECES)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, by the verdict on their own row."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Documents that the rules keep, by the verdict on their own row; repeated rows stay or go together, null and empty texts go."""
     return rules.keep_by_rules(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """One document of each group of near-duplicates (4-word shingles, fingerprints linked at 4 bits): that with the smallest id.
+
+    Of rows that repeat an id and a text, one stays; null and empty texts are one group.
+    """
     return simhash.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 tokens."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """Pieces of all documents in sequences of at most 1024 tokens; repeated rows and null ids are packed like any other."""
     found = packing.pack_documents(docs, BYTE_BPE)
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
