@@ -28,11 +28,16 @@ def assembly_qc(contigs: DataFrame, group: tuple[str, ...] = ("genome_id", "file
     t = THRESHOLDS | limits
     keys = list(group)
     slim = contigs.select(*keys, F.length(seq).cast("long").alias("len"), (F.length(seq) - F.length(F.replace(F.upper(seq), F.lit("N"), F.lit("")))).cast("long").alias("n"))
-    # Combined by length before the shuffle, so sequences never move.
-    base = slim.groupBy(*keys).agg(F.sum("len").alias("total_bp"), F.sum(F.when(F.col("len") > 0, 1).otherwise(0)).alias("contigs"), F.sum("n").alias("n_count"))
-    rows = base.join(n50(slim.where("len > 0"), keys, "len"), keys, "left").withColumns(
-        {"n50": F.coalesce("n50", F.lit(0).cast("long")), "frac": F.when(F.col("total_bp") > 0, F.col("n_count") / F.col("total_bp")).otherwise(F.lit(1.0))}
-    )
+    # One scan, combined by length before the shuffle, so sequences never move and a group is as many rows as it has different lengths.
+    counted = slim.groupBy(*keys, "len").agg(F.count("*").alias("times"), F.sum("n").alias("n"))
+    part = Window.partitionBy(*keys)
+    size = F.col("len") * F.col("times")
+    run = counted.withColumns({"run": F.sum(size).over(part.orderBy(F.desc("len"))), "all": F.sum(size).over(part)})
+    base = run.groupBy(*keys).agg(
+        F.sum(size).alias("total_bp"), F.sum(F.when(F.col("len") > 0, F.col("times")).otherwise(0)).alias("contigs"), F.sum("n").alias("n_count"),
+        F.coalesce(F.max(F.when(F.col("run") * 2 >= F.col("all"), F.col("len"))), F.lit(0).cast("long")).alias("n50"),
+    )
+    rows = base.withColumn("frac", F.when(F.col("total_bp") > 0, F.col("n_count") / F.col("total_bp")).otherwise(F.lit(1.0)))
     bp, c, n, f = (F.col(x) for x in ("total_bp", "contigs", "n50", "frac"))
     flags = [
         F.when(bp < t["min_bp"], "small_assembly"),

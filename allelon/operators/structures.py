@@ -66,17 +66,18 @@ def focus_edge(spark, gene: str, mutation: str) -> DataFrame:
 
 
 def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: DataFrame | None = None, chains: Column | None = None, override: tuple[float, float, float] | None = None) -> DataFrame:
-    """Affinity change, confidence and status of each edge.
+    """Affinity change, confidence and status of each edge, and the target's mutations in it with their flexible residues.
 
     ``affinities``: mutation_network, wt_affinity, mut_affinity. ``qc``: mutation_network, qc_pass; networks without a row pass.
     """
     label = D.network_label(F.col("Node_1"), F.col("Node_2"))
     tokens = F.filter(F.array(D.parse_token(F.col("Node_1"), chains), D.parse_token(F.col("Node_2"), chains)), lambda t: t.isNotNull())
-    rows = edges.select("Node_1", "Node_2", label.alias("mutation_network"), tokens.alias("tokens")).join(affinities, "mutation_network", "left")
+    kept = F.filter("tokens", lambda t: t["gene"] == target.lower())
+    rows = edges.select("Node_1", "Node_2", label.alias("mutation_network"), tokens.alias("tokens")).withColumn("kept", kept).join(affinities, "mutation_network", "left")
     rows = rows.join(qc, "mutation_network", "left") if qc is not None else rows.withColumn("qc_pass", F.lit(True))
     status = (
         F.when(F.size("tokens") == 0, "skipped_unparseable_mutations")
-        .when(F.size(F.filter("tokens", lambda t: t["gene"] == target.lower())) == 0, f"skipped_no_target_mutation:{target.lower()}")
+        .when(F.size("kept") == 0, f"skipped_no_target_mutation:{target.lower()}")
         .when(~F.coalesce("qc_pass", F.lit(True)), "FAILED_QC")
         .when(F.col("wt_affinity").isNull(), "wildtype_docking_failed")
         .when(F.col("mut_affinity").isNull(), "mutant_docking_failed")
@@ -88,7 +89,8 @@ def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: Dat
     ddg, center = F.col("delta_delta_g"), D.pocket_center(F.lit(target), override=override)
     return rows.select(
         "Node_1", "Node_2", "mutation_network", "wt_affinity", "mut_affinity", "delta_delta_g", D.confidence(ddg).alias("confidence"), D.confidence_flags(ddg).alias("confidence_flags"),
-        D.interpretation(ddg).alias("interpretation"), "status", *(center[f"center_{c}"].alias(f"center_{c}") for c in "xyz"),
+        D.interpretation(ddg).alias("interpretation"), "status", F.array_join(F.transform("kept", lambda t: t["label"]), ",").alias("mutations"), D.flexible_residues(F.col("kept")).alias("flexible_residues"),
+        *(center[f"center_{c}"].alias(f"center_{c}") for c in "xyz"),
     )
 
 

@@ -8,27 +8,35 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelon.operators.alignment import substitutions
+from allelon.operators.alignment import identity_and_substitutions
 
 
-def call_variants(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
-    """(accession, gene, Mutation) of each protein (accession, gene, seq) with a reference (gene, seq).
+def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
+    """(accession, gene, identity, mutations) of each protein (accession, gene, seq) that has a reference (gene, seq) and can be aligned.
 
-    Each distinct sequence of a gene is aligned once, and only if its length allows the identity gate; sequences
+    identity: residues equal to the reference's, in per cent of its length; mutations: substitutions, none below ``min_identity``. Each
+    distinct sequence of a gene is aligned once, and only if its length allows the identity gate (shorter ones have no row); sequences
     equal to the reference aren't aligned at all. The references are a table of one row a gene; Spark broadcasts it
     where it is small.
     """
     pairs = proteins.where("seq IS NOT NULL AND seq <> ''").join(refs.select("gene", F.col("seq").alias("ref")), "gene")
     able = F.least(F.length("seq"), F.length("ref")) * 100.0 >= F.lit(min_identity) * F.length("ref")
-    distinct = pairs.where((F.col("seq") != F.col("ref")) & able).select("gene", "seq", "ref").distinct()
+    distinct = pairs.where(able).select("gene", "seq", "ref").distinct()
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [substitutions(r, s, min_identity) or [] for r, s in zip(pdf["ref"], pdf["seq"], strict=True)]
-            yield pd.DataFrame({"gene": pdf["gene"], "seq": pdf["seq"], "found": found})
+            found = [identity_and_substitutions(r, s, min_identity) for r, s in zip(pdf["ref"], pdf["seq"], strict=True)]
+            kept = [i for i, f in enumerate(found) if f is not None]
+            own = pdf[["gene", "seq"]].iloc[kept].reset_index(drop=True)
+            yield own.assign(identity=[float(found[i][0]) for i in kept], mutations=[found[i][1] for i in kept])
+
+    called = distinct.mapInPandas(align, "gene string, seq string, identity double, mutations array<string>")
+    return proteins.join(called, ["gene", "seq"]).select("accession", "gene", "identity", "mutations")
 
-    called = distinct.mapInPandas(align, "gene string, seq string, found array<string>").where(F.size("found") > 0)
-    return proteins.join(called, ["gene", "seq"]).select("accession", "gene", F.explode("found").alias("Mutation"))
+
+def call_variants(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
+    """(accession, gene, Mutation): the substitutions of ``align_proteins``, a row for each."""
+    return align_proteins(proteins, refs, min_identity).select("accession", "gene", F.explode("mutations").alias("Mutation"))
 
 
 def unreferenced(proteins: DataFrame, refs: DataFrame) -> DataFrame:

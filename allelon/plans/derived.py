@@ -61,13 +61,46 @@ def blast_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gene_hits(spark: SparkSession, sf: str) -> DataFrame:
-    """Three coordinate hits on each contig, of which some start below 1."""
-    return contigs(spark, sf).selectExpr("genome_id", "contig_id AS Contig", "contig_ord", "explode(array(0, 1, 2)) AS k").selectExpr(
+    """Three coordinate hits on each contig, one in each third of it, of which some start below 1 or end behind a short contig."""
+    return contigs(spark, sf).selectExpr("genome_id", "contig_id AS Contig", "contig_ord", "seq_len", "explode(array(0, 1, 2)) AS k").selectExpr(
         "genome_id AS Accession", "Contig", "CASE k WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' ELSE 'tolC' END AS Gene",
-        "cast(contig_ord % 7 + 30 * k AS bigint) AS Start", "cast(contig_ord % 7 + 30 * k + 59 AS bigint) AS End", "CASE WHEN (contig_ord + k) % 2 = 0 THEN '+' ELSE '-' END AS Strand",
+        "contig_ord % 7 + seq_len * k div 3 AS Start", "contig_ord % 7 + seq_len * k div 3 + 59 AS End", "CASE WHEN (contig_ord + k) % 2 = 0 THEN '+' ELSE '-' END AS Strand",
     )
 
 
+def protein_references(spark: SparkSession, sf: str) -> DataFrame:
+    """(item_id, gene, ref): every benchmark passage as a protein of the 20 residues, the first five named like known genes."""
+    gene = "CASE item_id WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' WHEN 2 THEN 'tolC' WHEN 3 THEN 'acrR' WHEN 4 THEN 'marR' ELSE concat('item', cast(item_id AS string)) END"
+    return table(spark, sf, "benchmark").select("item_id", F.expr(gene).alias("gene"), F.translate(translate_dna(_dna()), "X*", "GQ").alias("ref")).where("ref <> ''")
+
+
+def changed_proteins(spark: SparkSession, sf: str) -> DataFrame:
+    """A protein for each document: a reference with changes that the document's own whole protein decides.
+
+    Two residues (at p1 and p2) become the document's last two. Of references with 60 residues or more, every third protein
+    lacks four residues and every third has five more, from the middle of the document's protein. Every eleventh is a part of the document's
+    protein instead, which the identity gate drops.
+    """
+    items = protein_references(spark, sf)
+    n = table(spark, sf, "benchmark").agg(F.count("*").alias("n"))  # one row
+    docs = contigs(spark, sf).select("contig_ord", F.translate(translate_dna(F.col("seq")), "X*", "GQ").alias("own")).join(F.broadcast(n))
+    rows = docs.withColumn("item_id", F.expr("contig_ord % n")).join(items, "item_id").selectExpr(
+        "contig_ord AS doc_id", "gene", "ref", "own", "length(ref) AS l", "length(own) AS m", "length(ref) div 6 + 1 AS p1", "length(ref) div 3 + 1 AS p2", "2 * length(ref) div 3 AS g",
+        "coalesce(nullif(substring(own, -1, 1), ''), 'W') AS a1", "coalesce(nullif(substring(own, length(own) - 1, 1), ''), 'W') AS a2", "contig_ord % 11 = 10 AS other",
+    ).selectExpr(
+        "*", "CASE WHEN l >= 60 AND doc_id % 3 = 1 THEN 4 ELSE 0 END AS lost", "CASE WHEN l >= 60 AND doc_id % 3 = 2 THEN substring(own, m div 2 + 1, 5) ELSE '' END AS more",
+    )
+    seq = """CASE WHEN other THEN substring(own, m div 2 + 1, l) ELSE concat(substring(ref, 1, p1 - 1), a1, substring(ref, p1 + 1, p2 - p1 - 1), a2,
+        substring(ref, p2 + 1, g - p2), more, substring(ref, g + lost + 1, 2147483647)) END AS seq"""
+    return rows.selectExpr("doc_id", "cast(doc_id AS string) AS accession", "gene", seq, "other", *(f"substring(ref, p{k}, 1) AS w{k}" for k in (1, 2)), "p1", "p2", "a1", "a2")
+
+
+def known_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of known mutations: the first change of every seventh document."""
+    rows = changed_proteins(spark, sf).where("NOT other AND doc_id % 7 = 0")
+    return rows.selectExpr("gene", "concat(w1, cast(p1 AS string), a1) AS mutation", "CASE WHEN doc_id % 2 = 0 THEN concat('Known by ', accession) END AS phenotype", "accession AS pdb", "doc_id AS ord")
+
+
 def isolates(spark: SparkSession, sf: str) -> DataFrame:
     """Isolates from customers and nations, every tenth id twice."""
     base = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.expr("c_nationkey = n_nationkey"))

@@ -113,34 +113,35 @@ def gene_counts(spark, sf):
 
 
 def _proteins(spark, sf):
-    """A protein for each document: a fixed reference with one residue replaced, chosen by the id."""
-    ref = F.lit(X.RES * 6)
-    at = (F.col("doc_id") % 90 + 15).cast("int")
-    new = F.substring(F.lit("WYVHKDEGLM"), (F.col("doc_id") % 10 + 1).cast("int"), F.lit(1))
-    docs = X.table(spark, sf, "documents")
-    seq = F.concat(F.substring(ref, F.lit(1), at - 1), new, F.substring(ref, at + 1, F.lit(1000)))
-    return docs.select(F.col("doc_id").cast("string").alias("accession"), F.when(F.col("doc_id") % 2 == 0, "acrA").otherwise("acrB").alias("gene"), seq.alias("seq"))
+    return X.changed_proteins(spark, sf).select("accession", "gene", "seq")
 
 
-def _refs(spark):
-    return spark.createDataFrame([("acrA", X.RES * 6), ("acrB", X.RES * 6)], "gene string, seq string")
+def _refs(spark, sf):
+    return X.protein_references(spark, sf).select("gene", F.col("ref").alias("seq"))
 
 
 @query
 def call_variants(spark, sf):
-    return variants.call_variants(_proteins(spark, sf), _refs(spark))
+    return variants.call_variants(_proteins(spark, sf), _refs(spark, sf))
+
+
+@query
+def protein_identity(spark, sf):
+    """The identity of each document's protein with its reference, in per cent, of those that pass the gate."""
+    found = variants.align_proteins(_proteins(spark, sf), _refs(spark, sf)).where("identity >= 80")
+    return found.select("accession", "gene", F.round("identity", 6).alias("identity"), F.size("mutations").alias("mutations"))
 
 
 @query
 def variant_report(spark, sf):
-    return variants.variant_report(_proteins(spark, sf), _refs(spark), *_known(spark))
+    return variants.variant_report(_proteins(spark, sf), _refs(spark, sf), X.known_variants(spark, sf), _known(spark)[1])
 
 
 @query
 def residue_counter(spark, sf):
-    """Aligned strings of each contig's first bases, with gaps at every fifth and seventh place, compared with their own reverse."""
-    aligned = X.contigs(spark, sf).select("contig_id", F.substring("seq", 1, 60).alias("s")).where("length(s) = 60")
-    gap = lambda c, k: F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.when(i % k == 0, "-").otherwise(F.substring(c, i, F.lit(1)))), "")
+    """Aligned strings of each whole contig, with gaps at every fifth and seventh place, compared with their own reverse."""
+    aligned = X.contigs(spark, sf).select("contig_id", F.split("seq", "").alias("s")).where("size(s) > 0")
+    gap = lambda c, k: F.array_join(F.transform(c, lambda x, i: F.when((i + 1) % k == 0, "-").otherwise(x)), "")
     rows = aligned.select("contig_id", F.explode(residue_positions(gap(F.col("s"), 5), gap(F.reverse("s"), 7))).alias("r"))
     return rows.select("contig_id", F.concat("r.wt", F.col("r.position").cast("string"), "r.mut").alias("mutation"))
 
@@ -175,7 +176,7 @@ def geo_long(spark, sf):
 
 @query
 def geo_matrix(spark, sf):
-    return geo.geo_matrix(geo_long(spark, sf), [f"A{k}V" for k in (0, 1, 2, 5, 6, 7)])
+    return geo.geo_matrix(geo_long(spark, sf), [f"A{k}V" for k in range(40)])
 
 
 @query
@@ -188,6 +189,11 @@ def geo_margins(spark, sf):
     return geo.margins(geo_counts(spark, sf), "Gene_Mutation")
 
 
+@query
+def geo_place_margins(spark, sf):
+    return geo.margins(geo_counts(spark, sf), "geographic_location_clean")
+
+
 @query
 def geo_topn(spark, sf):
     return geo.geo_topn(geo_counts(spark, sf), 10)
@@ -278,6 +284,23 @@ def target_hits(spark, sf):
     return hits.target_hits(standardize_hits(spark, sf), targets)
 
 
+@query
+def named_hits(spark, sf):
+    """Hits of two sources together, of the genes whose names have a target in them."""
+    more = hits.standardize_hits(X.blast_hits(spark, sf).where("l_linenumber = 1"), 90.0, source="second")
+    targets = spark.createDataFrame([("cra",), ("marR",)], "gene string")
+    return hits.target_hits(hits.union_hits(standardize_hits(spark, sf), more), targets, substring=True)
+
+
+@query
+def missing_references(spark, sf):
+    """Target genes, named by brand, that have no part of a size over 48."""
+    parts = X.table(spark, sf, "part")
+    targets = parts.select(F.lower("p_brand").alias("gene")).distinct()
+    refs = parts.groupBy(F.col("p_brand").alias("gene")).agg(F.max(F.when(F.col("p_size") > 49, F.col("p_name"))).alias("seq"))
+    return curation.missing_references(targets, refs)
+
+
 @query
 def best_hits(spark, sf):
     return hits.best_hits(X.blast_hits(spark, sf).withColumn("sstart", F.col("l_partkey")), ["qseqid", "sseqid"]).select("qseqid", "sseqid", "bitscore", "evalue", "sstart")
@@ -369,10 +392,18 @@ def _docking(spark, sf):
 @query
 def docking_report(spark, sf):
     return _docking(spark, sf).select(
-        "mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "confidence", "confidence_flags", "interpretation", D.three_places(F.col("wt_affinity") * 100).alias("wt_text"), "center_x", "center_y", "center_z"
+        "mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "confidence", "confidence_flags", "interpretation", D.three_places(F.col("wt_affinity") * 100).alias("wt_text"), "mutations", "flexible_residues", "center_x", "center_y", "center_z"
     )
 
 
+@query
+def focus_docking(spark, sf):
+    """The one-edge table of a focus mutation with the affinities of all users' runs, and a docking centre given by the user."""
+    edge = structures.focus_edge(spark, "AcrB", "S83L")
+    runs = X.affinities(spark, sf).select(F.lit("acrb:S83L").alias("mutation_network"), "wt_affinity", "mut_affinity")
+    return structures.docking_report(edge, runs, "acrB", override=(1.0, 2.5, -3.0)).select("mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "mutations", "center_x", "center_y", "center_z")
+
+
 @query
 def triage_counts(spark, sf):
     return structures.triage_counts(_docking(spark, sf))

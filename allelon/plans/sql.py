@@ -65,7 +65,7 @@ def _protein(c: str, table: str) -> str:
     return f"coalesce(array_to_string(list_transform(range(cast(floor(length({c}) / 3) AS bigint)), lambda i: coalesce({table}[substr({c}, cast(3 * i + 1 AS bigint), 3)], 'X')), ''), '')"
 
 
-GENE_HITS = """gh AS (SELECT genome_id AS Accession, contig_id AS Contig, CASE k WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' ELSE 'tolC' END AS Gene, doc_id % 7 + 30 * k AS s, doc_id % 7 + 30 * k + 59 AS e,
+GENE_HITS = """gh AS (SELECT genome_id AS Accession, contig_id AS Contig, CASE k WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' ELSE 'tolC' END AS Gene, doc_id % 7 + length(seq) * k // 3 AS s, doc_id % 7 + length(seq) * k // 3 + 59 AS e,
    CASE WHEN (doc_id + k) % 2 = 0 THEN '+' ELSE '-' END AS Strand, seq FROM contigs CROSS JOIN (SELECT unnest([0, 1, 2]) AS k)),
 cut AS (SELECT *, CASE WHEN s >= 1 THEN nullif(substr(seq, s, e - s + 1), '') END AS c FROM gh)""" + f""",
 ex AS (SELECT *, CASE WHEN Strand = '-' THEN reverse(translate(c, '{_A}', '{_B}')) ELSE c END AS dna FROM cut)"""
@@ -82,9 +82,15 @@ INTERPRET = """SELECT r.acc AS "Accession", r.gene AS "Gene", r.mut AS "Mutation
   CASE WHEN db1.g IS NOT NULL THEN coalesce(pdb, 'N/A') ELSE 'N/A' END AS "Reference_PDB", CASE WHEN db1.g IS NOT NULL THEN 1.0::double END AS prediction_score, 'Clinical DB' AS prediction_source
 FROM r LEFT JOIN db1 ON r.gene = db1.g AND r.mut = db1.m LEFT JOIN drugs ON lower(r.gene) = dg"""
 REPORTED = f"WITH {REPORT}, {KNOWN}, r AS (SELECT DISTINCT acc, gene, mut FROM report), found AS ({INTERPRET})"
-_ref = X.RES * 6
-PLANTED = f"""pl AS (SELECT cast(doc_id AS varchar) AS acc, CASE WHEN doc_id % 2 = 0 THEN 'acrA' ELSE 'acrB' END AS gene, substr('{_ref}', doc_id % 90 + 15, 1) || cast(doc_id % 90 + 15 AS varchar) || substr('WYVHKDEGLM', doc_id % 10 + 1, 1) AS mut FROM documents),
-r AS (SELECT * FROM pl WHERE left(mut, 1) <> right(mut, 1))"""
+# Proteins by construction: what was planted is what the best alignment has to give back.
+PLANTED = f"""code AS (SELECT {_map(codons())} AS m),
+items AS (SELECT item_id, CASE item_id WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' WHEN 2 THEN 'tolC' WHEN 3 THEN 'acrR' WHEN 4 THEN 'marR' ELSE 'item' || item_id END AS gene, translate({_protein('d', 'm')}, 'X*', 'GQ') AS ref
+  FROM (SELECT item_id, translate(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTNN') AS d FROM benchmark) CROSS JOIN code),
+own AS (SELECT doc_id, contig_id AS acc, translate({_protein('seq', 'm')}, 'X*', 'GQ') AS own FROM contigs CROSS JOIN code),
+pl AS (SELECT doc_id, acc, gene, ref, length(ref) AS l, length(ref) // 6 + 1 AS p1, length(ref) // 3 + 1 AS p2, coalesce(nullif(right(own, 1), ''), 'W') AS a1,
+  coalesce(CASE WHEN length(own) > 1 THEN left(right(own, 2), 1) END, 'W') AS a2 FROM own JOIN items ON item_id = doc_id % (SELECT count(*) FROM benchmark) WHERE ref <> '' AND doc_id % 11 <> 10),
+changes AS (SELECT doc_id, acc, gene, substr(ref, p1, 1) AS w, p1 AS p, a1 AS a FROM pl UNION ALL SELECT doc_id, acc, gene, substr(ref, p2, 1), p2, a2 FROM pl),
+r AS (SELECT acc, gene, w || p || a AS mut FROM changes WHERE w <> a)"""
 
 
 def _atoms(scale: float) -> str:
@@ -106,7 +112,7 @@ n AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN 'acrR' ELSE 'acrB' END || ':S' ||
 d AS (SELECT *, CASE WHEN status = 'ok' THEN mt - wt END AS ddg FROM n),
 doc AS (SELECT *, CASE WHEN abs(ddg) < 0.5 THEN 'NO_SIGNIFICANT_BINDING_CHANGE' WHEN ddg >= 1 THEN 'REDUCED_SUBSTRATE_AFFINITY' WHEN ddg <= -1 THEN 'INCREASED_SUBSTRATE_AFFINITY' WHEN ddg IS NOT NULL THEN 'MODERATE_BINDING_SHIFT' END AS interp FROM d)"""
 
-_gap = lambda c, k: f"array_to_string(list_transform(range(1, 61), lambda i: CASE WHEN i % {k} = 0 THEN '-' ELSE substr({c}, cast(i AS bigint), 1) END), '')"
+_gap = lambda c, k: f"list_transform({c}, lambda x, i: CASE WHEN i % {k} = 0 THEN '-' ELSE x END)"
 _three = "MAP {'A': 'ALA', 'R': 'ARG', 'N': 'ASN', 'D': 'ASP', 'C': 'CYS', 'Q': 'GLN', 'E': 'GLU', 'G': 'GLY', 'H': 'HIS', 'I': 'ILE', 'L': 'LEU', 'K': 'LYS', 'M': 'MET', 'F': 'PHE', 'P': 'PRO', 'S': 'SER', 'T': 'THR', 'W': 'TRP', 'Y': 'TYR', 'V': 'VAL'}"
 
 FREQ = f"""{EDGES}, ends AS (SELECT Node_1 AS mutation, Frequency FROM edges UNION ALL SELECT Node_2, Frequency FROM edges),
@@ -145,18 +151,23 @@ SELECT acc AS "Accession", gene AS "Gene", mut AS "Mutation", CASE WHEN g IS NOT
     "mutation_summary": f"""{REPORTED} SELECT count(*) AS total_mutations, count(*) FILTER ("Status" = 'Resistant') AS resistant_mutations, count(*) FILTER ("Status" = 'VUS') AS vus_mutations,
   count(*) FILTER ("Status" LIKE '%(VUS)%' OR "Status" = 'Variant of Unknown Significance') AS unresolved_mutations, count(DISTINCT "Gene") AS unique_genes, count(DISTINCT "Accession") AS unique_accessions FROM found""",
     "gene_counts": f'{REPORTED} SELECT "Gene", count(*) AS mutations FROM found GROUP BY "Gene"',
-    "call_variants": f'WITH {PLANTED} SELECT acc AS accession, gene, mut AS "Mutation" FROM r',
-    "variant_report": f"WITH {PLANTED}, {KNOWN} {INTERPRET}",
-    "residue_counter": f"""WITH {CONTIGS}, s AS (SELECT contig_id, substr(seq, 1, 60) AS s FROM contigs WHERE length(seq) >= 60), a AS (SELECT contig_id, {_gap('s', 5)} AS x, {_gap('reverse(s)', 7)} AS y FROM s),
-k AS (SELECT contig_id, x, y, unnest(range(1, 61)) AS i FROM a), p AS (SELECT contig_id, substr(x, i, 1) AS w, substr(y, i, 1) AS m, i, sum(cast(substr(x, i, 1) <> '-' AS int)) OVER (PARTITION BY contig_id ORDER BY i) AS pos FROM k)
+    "call_variants": f'WITH {CONTIGS}, {PLANTED} SELECT acc AS accession, gene, mut AS "Mutation" FROM r',
+    "protein_identity": f"""WITH {CONTIGS}, {PLANTED}, n AS (SELECT acc, gene, count(*) AS k FROM r GROUP BY ALL)
+SELECT acc AS accession, gene, round(100.0::double * (l - coalesce(k, 0) - CASE WHEN l >= 60 AND doc_id % 3 = 1 THEN 4 ELSE 0 END) / l, 6) AS identity, cast(coalesce(k, 0) AS int) AS mutations FROM pl LEFT JOIN n USING (acc, gene)""",
+    "variant_report": f"""WITH {CONTIGS}, {PLANTED}, drugs(dg, drug) AS (VALUES {_drugs}),
+db AS (SELECT gene AS g, substr(ref, p1, 1) || p1 || a1 AS m, CASE WHEN doc_id % 2 = 0 THEN 'Known by ' || acc END AS phenotype, acc AS pdb, doc_id FROM pl WHERE doc_id % 7 = 0),
+db1 AS (SELECT * FROM db QUALIFY row_number() OVER (PARTITION BY g, m ORDER BY doc_id) = 1) {INTERPRET}""",
+    "residue_counter": f"""WITH {CONTIGS}, s AS (SELECT contig_id, string_split(seq, '') AS s FROM contigs WHERE seq <> ''), a AS (SELECT contig_id, {_gap('s', 5)} AS x, {_gap('list_reverse(s)', 7)} AS y FROM s),
+k AS (SELECT contig_id, unnest(x) AS w, unnest(y) AS m, unnest(range(len(x))) AS i FROM a), p AS (SELECT contig_id, w, m, sum(cast(w <> '-' AS int)) OVER (PARTITION BY contig_id ORDER BY i) AS pos FROM k)
 SELECT contig_id, w || cast(pos AS varchar) || m AS mutation FROM p WHERE w <> m AND w <> '-' AND m <> '-'""",
     "clean_locations": f"WITH {ISOLATES} SELECT ord AS row_ord, src AS src_ord, place AS location FROM clean",
     "geo_master": f"{MERGED} SELECT gid AS genome_id, place AS geographic_location_clean FROM master",
     "geo_merged": f'{MERGED} SELECT gid AS "Accession", place AS geographic_location_clean, gene AS "Gene", mut AS "Mutation" FROM merged',
     "geo_long": f'{MERGED} SELECT place AS geographic_location_clean, mut AS "Mutation", n AS mutation_frequency FROM long',
-    "geo_matrix": f"{MERGED} SELECT place AS geographic_location_clean, " + ", ".join(f"cast(coalesce(sum(n) FILTER (mut = 'A{k}V'), 0) AS bigint) AS \"A{k}V\"" for k in (0, 1, 2, 5, 6, 7)) + " FROM long GROUP BY place",
+    "geo_matrix": f"{MERGED} SELECT place AS geographic_location_clean, " + ", ".join(f"cast(coalesce(sum(n) FILTER (mut = 'A{k}V'), 0) AS bigint) AS \"A{k}V\"" for k in range(40)) + " FROM long GROUP BY place",
     "geo_counts": f'{MERGED} SELECT place AS geographic_location_clean, gm AS "Gene_Mutation", n AS mutation_frequency FROM counts',
     "geo_margins": f'{MERGED} SELECT gm AS "Gene_Mutation", cast(sum(n) AS bigint) AS total FROM counts GROUP BY gm',
+    "geo_place_margins": f'{MERGED} SELECT place AS geographic_location_clean, cast(sum(n) AS bigint) AS total FROM counts GROUP BY place',
     "geo_topn": f"""{MERGED} SELECT place AS geographic_location_clean, gm AS "Gene_Mutation", n AS mutation_frequency FROM counts
 WHERE place IN (SELECT place FROM counts GROUP BY place ORDER BY sum(n) DESC, place LIMIT 10) AND gm IN (SELECT gm FROM counts GROUP BY gm ORDER BY sum(n) DESC, gm LIMIT 10)""",
     "geo_summary": f"{MERGED} SELECT (SELECT count(*) FROM master) AS metadata_rows, (SELECT count(*) FROM rep) AS mutation_rows, count(*) AS merged_rows, count(DISTINCT place) AS unique_locations, count(DISTINCT mut) AS unique_mutations FROM merged",
@@ -177,6 +188,9 @@ SELECT Accession AS "Accession", Contig AS "Contig", Gene AS "Gene", s AS "Start
     "extraction_stats": f'WITH {CONTIGS}, {GENE_HITS} SELECT Accession AS "Accession", count(dna) AS extracted, count(*) - count(dna) AS failed, count(*) = count(dna) AS complete FROM ex GROUP BY Accession',
     "standardize_hits": f"{HITS} SELECT * FROM std",
     "target_hits": f"{HITS} SELECT * FROM std WHERE lower(\"Gene\") IN ('acra', 'marr')",
+    "named_hits": f"""{HITS}, both_ AS (SELECT * FROM std UNION ALL SELECT sseqid, qseqid, least(a, b), greatest(a, b), CASE WHEN sstrand = 'minus' THEN '-' ELSE '+' END, pident, 'second' FROM h WHERE evalue = 1 / 1000 AND pident >= 90 AND length >= 80)
+SELECT * FROM both_ WHERE contains(lower("Gene"), 'cra') OR contains(lower("Gene"), 'marr')""",
+    "missing_references": "SELECT lower(p_brand) AS gene FROM part GROUP BY p_brand HAVING max(p_size) <= 49",
     "best_hits": f"{HITS} SELECT qseqid, sseqid, bitscore, evalue, l_partkey AS sstart FROM h QUALIFY row_number() OVER (PARTITION BY qseqid, sseqid ORDER BY bitscore DESC, evalue, l_partkey) = 1",
     "select_reference": """WITH c AS (SELECT p_brand, p_partkey AS rank, p_size % 3 = 0 AS is_refseq, cast(p_size * 50 AS bigint) AS length FROM part),
 r AS (SELECT *, row_number() OVER (PARTITION BY p_brand, is_refseq ORDER BY rank) AS r1, row_number() OVER (PARTITION BY p_brand ORDER BY rank) AS r2 FROM c),
@@ -196,7 +210,12 @@ m AS (SELECT s.structure, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM s JOIN pts
 SELECT structure, round(coalesce(x, 18.5), 6) AS center_x, round(coalesce(y, 55.2), 6) AS center_y, round(coalesce(z, 20.1), 6) AS center_z FROM (SELECT DISTINCT structure FROM s) LEFT JOIN m USING (structure)""",
     "docking_report": f"""{DOCK} SELECT net AS mutation_network, status, round(ddg, 6) AS delta_delta_g, CASE WHEN abs(ddg) < 0.5 THEN 'LOW' WHEN abs(ddg) >= 1 THEN 'HIGH' WHEN ddg IS NOT NULL THEN 'MEDIUM' END AS confidence,
   CASE WHEN abs(ddg) < 0.5 THEN 'LOW_CONFIDENCE_NOISE' WHEN abs(ddg) >= 1 THEN 'STRONG_DDG_SIGNAL' WHEN ddg IS NOT NULL THEN '' END AS confidence_flags, interp AS interpretation,
-  CASE WHEN status IN ('ok', 'mutant_docking_failed') THEN printf('%.3f', wt * 100) ELSE 'N/A' END AS wt_text, 18.0::double AS center_x, -24.0::double AS center_y, 5.0::double AS center_z FROM doc""",
+  CASE WHEN status IN ('ok', 'mutant_docking_failed') THEN printf('%.3f', wt * 100) ELSE 'N/A' END AS wt_text,
+  CASE WHEN user_id % 3 = 0 THEN '' ELSE 'SER-' || user_id || '-LEU' END AS mutations, CASE WHEN user_id % 3 = 0 THEN '' ELSE 'A:' || user_id END AS flexible_residues, 18.0::double AS center_x, -24.0::double AS center_y, 5.0::double AS center_z FROM doc""",
+    "focus_docking": """WITH ev AS (SELECT user_id, value / 100 AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+af AS (SELECT max(v) FILTER (k = 1) AS wt, max(v) FILTER (k = 2) AS mt FROM ev GROUP BY user_id)
+SELECT 'acrb:S83L' AS mutation_network, CASE WHEN wt IS NULL THEN 'wildtype_docking_failed' WHEN mt IS NULL THEN 'mutant_docking_failed' ELSE 'ok' END AS status, round(mt - wt, 6) AS delta_delta_g,
+  'SER-83-LEU' AS mutations, 1.0::double AS center_x, 2.5::double AS center_y, -3.0::double AS center_z FROM af""",
     "triage_counts": f"""{DOCK} SELECT 'run' || user_id % 4 AS run, CASE WHEN status LIKE '%FAILED_QC%' OR lower(status) LIKE '%failed%' THEN 'FAILED_QC_or_DockingFailed' WHEN interp = 'NO_SIGNIFICANT_BINDING_CHANGE' THEN interp
   WHEN abs(ddg) < 0.5 THEN 'NearZero_DDG' ELSE 'Shift_or_Other' END AS category, count(*) AS networks FROM doc GROUP BY ALL""",
     "docking_tokens": f"""WITH {REPORT}, t AS (SELECT DISTINCT gene || ':' || mut AS token, lower(gene) AS gene, mut FROM report), p AS (SELECT *, regexp_full_match(mut, '[{RESIDUES}][0-9]+[{RESIDUES}]') AS ok,

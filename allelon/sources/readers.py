@@ -7,12 +7,14 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from allelon import schemas
 from allelon.functions.scoring import RESIDUES
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each file; Spark's sources leave out files of no bytes."""
     return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"))
 
 
@@ -39,7 +41,7 @@ def read_long_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
-    """One sequence for each file: one FASTA record, or raw text. ``error`` is set for empty files and for several records."""
+    """One sequence for each file: one FASTA record, or raw text. ``error`` is set for files of white space only and for several records; files of no bytes have no row."""
     text = F.col("value")
     fasta = F.ltrim(text).startswith(">")
     seq = F.upper(F.regexp_replace(F.when(fasta, F.regexp_replace(text, r"^\s*>[^\r\n]*", "")).otherwise(text), r"\s+", ""))
@@ -116,12 +118,25 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def _by_name(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """A CSV with a header as ``schema``: columns are found by their names, missing ones are null, further ones left out.
+
+    Cells that aren't of their column's type are null. An empty file is an empty table; a header without a required column is an error.
+    """
+    df = spark.read.csv(path, header=True)
+    if df.columns:
+        require_columns(df, *required)
+    kinds = StructType.fromDDL(schema)
+    cols = [F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in df.columns else F.lit(None).cast(f.dataType) for f in kinds]
+    return df.select(*(c.alias(f.name) for c, f in zip(cols, kinds, strict=True)))
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schemas.REPORT, enforceSchema=False)
+    return _by_name(spark, path, schemas.REPORT, ("Accession", "Gene", "Mutation"))
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schemas.EDGES)
+    return _by_name(spark, path, schemas.EDGES)
 
 
 def read_isolates(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -159,11 +174,11 @@ def read_docking_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, runs: dict[str, str], schema: str, defaults: dict[str, str] | None = None) -> DataFrame:
-    """The tables of several runs with a run column; missing files count as empty, null cells get their default."""
+    """The tables of several runs with a run column, columns by their names; missing files count as empty, null cells get their default."""
     out = spark.createDataFrame([], schema).withColumn("run", F.lit(None).cast("string"))
     for name, path in runs.items():
         try:
-            out = out.unionByName(spark.read.csv(path, header=True, schema=schema).withColumn("run", F.lit(name)), allowMissingColumns=True)
+            out = out.unionByName(_by_name(spark, path, schema).withColumn("run", F.lit(name)))
         except AnalysisException:
             continue
     return out.na.fill(defaults or {})

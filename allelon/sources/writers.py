@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, *order: str) -> None:
+    """One table as CSV with a header, in the order of the columns ``order`` where they are given; blanks around values are kept."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_files(df: DataFrame, path: str, name: str = "name", text: str = "text") -> None:
+    """A file for each row, named by its own column; a null text gives an empty file. A task that runs again writes the same files again."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(path)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for own, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with system.open_output_stream(f"{base}/{own}", compression=None) as f:
+                    f.write((data or "").encode())
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["name"])
+
+    df.select(F.col(name).alias("name"), F.col(text).alias("text")).mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
 
 
 def fasta_header(gene: str = "Gene", accession: str = "Accession", contig: str = "Contig", start: str = "Start", end: str = "End") -> Column:

@@ -197,3 +197,59 @@ def test_readers(spark, tmp_path):
     assert spark.read.text(out + "f").select("value").collect()[0][0] == ">acrA"
     with pytest.raises(ValueError, match="missing columns: x"):
         readers.require_columns(iso, "x")
+
+
+def test_tables_by_header_name(spark, tmp_path):
+    """Columns in any order, missing and further ones, files without rows and without bytes."""
+
+    def put(name, data):
+        (tmp_path / name).write_text(data, newline="")
+        return str(tmp_path / name)
+
+    edges = readers.read_edges(spark, put("e.csv", "Node_2,note,Node_1,Frequency\nb:A1V,x,a:A1V,3\nc:A1V,x,a:A1V,many\n"))
+    assert [(r["Node_1"], r["Node_2"], r["Frequency"], r["Avg_Biochemical_Severity"]) for r in edges.collect()] == [("a:A1V", "b:A1V", 3, None), ("a:A1V", "c:A1V", None, None)]
+    report = readers.read_report(spark, put("r.csv", "Mutation,Accession,prediction_score,Gene\nA1V,562.10,0.5,acrA\n"))
+    assert [(r["Accession"], r["Gene"], r["Mutation"], r["prediction_score"], r["Status"]) for r in report.collect()] == [("562.10", "acrA", "A1V", 0.5, None)]
+    with pytest.raises(ValueError, match="missing columns: Gene"):
+        readers.read_report(spark, put("m.csv", "Accession,Mutation\n1,A1V\n"))
+    assert readers.read_report(spark, put("h.csv", "Accession,Gene,Mutation\n")).count() == readers.read_report(spark, put("z.csv", "")).count() == readers.read_edges(spark, put("y.csv", "")).count() == 0
+    runs = readers.read_runs(spark, {"r1": put("r1.csv", "b,a\n1,x\n"), "r2": put("r2.csv", "a\ny\n"), "r3": str(tmp_path / "no.csv")}, "a string, b long, c string", {"b": 7, "c": ""})
+    assert sorted(tuple(r) for r in runs.collect()) == [("x", 1, "", "r1"), ("y", 7, "", "r2")]
+
+
+def test_csv_is_sorted_and_keeps_blanks(spark, tmp_path):
+    rows = spark.createDataFrame([(3, " c "), (1, "a"), (2, "b")], "k long, v string").repartition(3)
+    writers.write_csv(rows, str(tmp_path / "s"), "k")
+    lines = [x for p in sorted((tmp_path / "s").glob("part-*")) for x in p.read_text().splitlines() if not x.startswith("k")]
+    assert lines == ["1,a", "2,b", "3, c "]
+
+
+def test_identity_and_gaps(spark):
+    refs = spark.createDataFrame([("g", "MKTIALSYVN")], "gene string, seq string")
+    proteins = spark.createDataFrame([("same", "g", "MKTIALSYVN"), ("one", "g", "MRTIALSYVN"), ("lost", "g", "MKTIALSYV"), ("far", "g", "WWWWWWWWWW"), ("odd", "g", "MKTIALSYVJ"), ("short", "g", "MK")], "accession string, gene string, seq string")
+    got = {r["accession"]: (r["identity"], r["mutations"]) for r in variants.align_proteins(proteins, refs).collect()}
+    assert got == {"same": (100.0, []), "one": (90.0, ["K2R"]), "lost": (90.0, []), "far": (0.0, [])}
+    assert [r["accession"] for r in variants.unalignable(proteins).collect()] == ["odd"]
+
+
+def test_docking_keeps_the_targets_mutations(spark):
+    edges = spark.createDataFrame([("acrB:S83L", "acrB:A10V"), ("tolC:A1V", "acrB:s5l"), ("tolC:A1V", None), ("bad", None)], "Node_1 string, Node_2 string")
+    none = spark.createDataFrame([], "mutation_network string, wt_affinity double, mut_affinity double")
+    got = {r["Node_1"] + (r["Node_2"] or ""): (r["mutations"], r["flexible_residues"], r["status"]) for r in structures.docking_report(edges, none, "acrB").collect()}
+    assert got == {
+        "acrB:S83LacrB:A10V": ("SER-83-LEU,ALA-10-VAL", "A:83,A:10", "wildtype_docking_failed"), "tolC:A1VacrB:s5l": ("SER-5-LEU", "A:5", "wildtype_docking_failed"),
+        "tolC:A1V": ("", "", "skipped_no_target_mutation:acrb"), "bad": ("", "", "skipped_unparseable_mutations"),
+    }
+
+
+def test_missing_references_are_named(spark):
+    refs = spark.createDataFrame([("acrA", "MK"), ("acrB", "")], "gene string, seq string")
+    with pytest.raises(ValueError, match="acrb, tolc$"):
+        curation.require_references(spark.createDataFrame([("acra",), ("tolc",), ("acrb",)], "gene string"), refs)
+    curation.require_references(spark.createDataFrame([("acra",)], "gene string"), refs)
+
+
+def test_empty_and_zero_assemblies(spark):
+    rows = [("a", "a.fna", s) for s in ("ACGN", "", "NN", "AC")] + [("b", "b.fna", "")]
+    got = {r["genome_id"]: (r["total_bp"], r["contigs"], r["n50"], r["n_fraction"]) for r in assembly.assembly_qc(spark.createDataFrame(rows, "genome_id string, file_name string, seq string")).collect()}
+    assert got == {"a": (8, 3, 4, 0.375), "b": (0, 0, 0, 1.0)}
