@@ -7,6 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from allelon.plans import files
 from allelon.plans.queries import QUERIES
 from allelon.plans.sql import ORACLE_SQL
 
@@ -38,6 +39,11 @@ def test_all_but_the_search_have_sql():
     assert set(QUERIES) - set(ORACLE_SQL) == {"translated_search"} and set(ORACLE_SQL) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(files.QUERIES))
+def test_files_equal_sql(spark, con, name):
+    assert rows(files.QUERIES[name](spark, SF).toPandas()) == rows(con.sql(files.ORACLE_SQL[name]).df())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, con, name):
     assert rows(QUERIES[name](spark, SF).toPandas()) == rows(con.sql(ORACLE_SQL[name]).df())
