@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelon.operators.alignment import identity_and_substitutions
+from allelon.operators.alignment import identities_and_substitutions
 
 
 def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
@@ -25,7 +25,10 @@ def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 8
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [identity_and_substitutions(r, s, min_identity) for r, s in zip(pdf["ref"], pdf["seq"], strict=True)]
+            found: list = [None] * len(pdf)
+            for ref, rows in pdf.groupby("ref").indices.items():
+                for i, own in zip(rows, identities_and_substitutions(ref, pdf["seq"].iloc[rows].tolist(), min_identity), strict=True):
+                    found[i] = own
             kept = [i for i, f in enumerate(found) if f is not None]
             own = pdf[["gene", "seq"]].iloc[kept].reset_index(drop=True)
             yield own.assign(identity=[float(found[i][0]) for i in kept], mutations=[found[i][1] for i in kept])

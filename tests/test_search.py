@@ -59,6 +59,26 @@ def test_best_hit_behind_many_repeats(spark):
     assert got == brute(contigs, refs) and got["g", "rep"][1] == "z"
 
 
+def test_recall_at_every_offset_strand_and_size_of_references(spark):
+    """Proteins of 1,049 and 2,000 residues at offsets of all kinds, on both strands, with changes; references sent out or joined."""
+    rng = random.Random(11)
+    turned = lambda s: s[::-1].translate(str.maketrans(*complement_letters()))
+    refs = [(f"p{n}", "".join(rng.choices(RESIDUES, k=n))) for n in (1049, 2000)] + [("xx", "X" * 30 + "".join(rng.choices(RESIDUES, k=20)))]
+    contigs, want = [], {}
+    for i, offset in enumerate((0, 1, 2, 2_989, 2_990, 3_001, 5_999, 7_777)):
+        for gene, ref in refs[:2]:
+            own = "".join(rng.choice(RESIDUES) if rng.random() < 0.05 else c for c in ref) if i % 3 == 2 else ref
+            seq = "".join(rng.choices("ACGT", k=offset)) + dna(own) + "".join(rng.choices("ACGT", k=rng.randrange(500)))
+            contigs.append((f"{gene}-{offset}", "c", turned(seq) if i % 2 else seq))
+            want[f"{gene}-{offset}", gene] = own
+    contigs.append(("n", "c", "N" * 300))
+    got = search(spark, contigs, refs)
+    for (genome, gene), own in want.items():
+        score, _, _, found = got[genome, gene]
+        assert score >= alignment.local_scores(dict(refs)[gene], [own])[0] and (own != dict(refs)[gene] or found == own)
+    assert got == search(spark, contigs, refs, broadcast_residues=0) and not any(g == "n" for g, _ in got)
+
+
 def test_long_match_is_not_cut(spark):
     """1,100 residues, from base 2,901 to 6,200."""
     rng = random.Random(7)
