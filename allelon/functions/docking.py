@@ -63,7 +63,8 @@ def parse_token(token: Column, chains: Column | None = None) -> Column:
     part = lambda k: F.regexp_extract(text, r"^([A-Za-z])(\d+)([A-Za-z])$", k)
     chain = F.coalesce(F.try_element_at(chains, gene), F.lit("A")) if chains is not None else F.lit("A")
     whole = F.struct(
-        gene.alias("gene"), F.upper(text).alias("token"), chain.alias("chain"), part(2).alias("residue"), F.concat_ws("-", three_letter(part(1)), part(2), three_letter(part(3))).alias("label")
+        gene.alias("gene"), F.upper(text).alias("token"), chain.alias("chain"), part(2).alias("residue"),
+            F.concat_ws("-", three_letter(part(1)), part(2), three_letter(part(3))).alias("label")
     )
     return F.when(F.contains(token, F.lit(":")) & F.upper(text).rlike(rf"^[{letters}]\d+[{letters}]$"), whole)
 

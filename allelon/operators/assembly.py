@@ -68,7 +68,8 @@ def ready_subset(contigs: DataFrame, qc: DataFrame, key: str = "genome_id") -> D
     return contigs.join(qc.where("extraction_ready = 1").select(key), key, "left_semi")
 
 
-def genome_validate(contigs: DataFrame, key: str = "genome_id", length: str = "seq_len", header: str = "header", min_length: int = 1_000_000, reference_length: int | None = None) -> DataFrame:
+def genome_validate(contigs: DataFrame, key: str = "genome_id", length: str = "seq_len", header: str = "header", min_length: int = 1_000_000,
+    reference_length: int | None = None) -> DataFrame:
     """Validity, status text and coverage of each genome; only sequence below a header counts."""
     total = F.coalesce(F.sum(F.when(F.col(header).isNotNull(), F.col(length))), F.lit(0))
     rows = contigs.groupBy(key).agg(F.max(F.col(header).isNotNull()).alias("fasta"), total.alias("length"))
@@ -82,4 +83,5 @@ def genome_validate(contigs: DataFrame, key: str = "genome_id", length: str = "s
 
 
 def genome_metadata(contigs: DataFrame, key: str = "genome_id", header: str = "header", order: str = "contig_ord") -> DataFrame:
-    return contigs.groupBy(key).agg(F.max("file_name").alias("file_name"), F.max("file_size").alias("file_size"), F.count(header).alias("records"), F.min_by(header, order).alias("first_header"))
+    return contigs.groupBy(key).agg(F.max("file_name").alias("file_name"), F.max("file_size").alias("file_size"), F.count(header).alias("records"),
+        F.min_by(header, order).alias("first_header"))

@@ -41,4 +41,5 @@ def enrich_metadata(samples: DataFrame, metadata: DataFrame, id_col: str = "geno
 
 
 def enrichment_counts(enriched: DataFrame) -> DataFrame:
-    return enriched.agg(F.count("*").alias("samples"), F.coalesce(F.sum("metadata_found"), F.lit(0)).alias("found"), F.coalesce(F.sum(1 - F.col("metadata_found")), F.lit(0)).alias("not_found"))
+    return enriched.agg(F.count("*").alias("samples"), F.coalesce(F.sum("metadata_found"), F.lit(0)).alias("found"),
+        F.coalesce(F.sum(1 - F.col("metadata_found")), F.lit(0)).alias("not_found"))

@@ -26,13 +26,15 @@ def standardize_hits(hits: DataFrame, min_identity: float = 80.0, min_coverage:
     )
 
 
-def target_hits(hits: DataFrame, targets: DataFrame, gene: str = "Gene", substring: bool = False) -> DataFrame:
-    """Hits of the target genes (gene, lower case): exact match, or targets that are part of the hit's name."""
+def target_hits(hits: DataFrame, targets: DataFrame, gene: str = "Gene", substring: bool = False, most: int = 10_000) -> DataFrame:
+    """Hits of the target genes (gene, any case): exact match, or targets that are part of the hit's name, of which there may be ``most``."""
     small = targets.select(F.lower("gene").alias("__t")).distinct()
     if not substring:
         return hits.join(small, F.lower(gene) == F.col("__t"), "left_semi")
-    names = F.broadcast(small.agg(F.collect_set("__t").alias("__all")))  # one row: the target list
-    return hits.join(names).where(F.exists("__all", lambda t: F.contains(F.lower(gene), t))).drop("__all")
+    names = sorted(r["__t"] for r in small.where("__t IS NOT NULL").limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"more than {most} targets to look for within names")
+    return hits.where(F.exists(F.lit(names) if names else F.array().cast("array<string>"), lambda t: F.contains(F.lower(gene), t)))
 
 
 def union_hits(*hits: DataFrame) -> DataFrame:
@@ -53,7 +55,8 @@ def proteins_from_hits(hits: DataFrame, keys: list[str]) -> DataFrame:
     return best_hits(hits, keys).withColumn("seq", ungapped(F.col("sseq")))
 
 
-def select_reference(candidates: DataFrame, gene: str = "gene", rank: str = "rank", refseq: str = "is_refseq", length: str = "length", top: int = 5, low: int = 100, high: int = 2000) -> DataFrame:
+def select_reference(candidates: DataFrame, gene: str = "gene", rank: str = "rank", refseq: str = "is_refseq", length: str = "length", top: int = 5,
+    low: int = 100, high: int = 2000) -> DataFrame:
     """One reference for each gene: of the first ``top`` RefSeq candidates the first of valid length, else of the first of all."""
     best = Window.partitionBy(gene)
     passes = candidates.withColumns(

@@ -74,7 +74,8 @@ def mutation_frequency(edges: DataFrame) -> DataFrame:
     """Frequency of each mutation over all edges, with its gene and the gene's class."""
     rows = _named(edges).select(F.explode(F.array("Node_1", "Node_2")).alias("mutation"), "Frequency").where("mutation <> ''")
     gene = F.lower(F.trim(F.coalesce(before_colon(F.col("mutation")), F.lit(""))))
-    return rows.select("mutation", gene.alias("gene"), gene_class(gene).alias("gene_class"), "Frequency").groupBy("mutation", "gene", "gene_class").agg(F.sum("Frequency").alias("frequency"))
+    return rows.select("mutation", gene.alias("gene"), gene_class(gene).alias("gene_class"), "Frequency").groupBy("mutation", "gene",
+        "gene_class").agg(F.sum("Frequency").alias("frequency"))
 
 
 def top_mutations(edges: DataFrame, k: int = TOP_MUTATIONS) -> DataFrame:

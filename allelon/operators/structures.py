@@ -24,8 +24,10 @@ def clash_qc(atoms: DataFrame, distance: float = CLASH_DISTANCE, most: int = MAX
     d = float(distance)
     placed = atoms.select("structure", "ord", "chain", "resseq", "x", "y", "z", *(F.floor(F.col(c) / d).cast("long").alias(f"c{c}") for c in "xyz"))
     steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
-    near = F.array(*(F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy"), (F.col("cz") + k).alias("cz"), F.lit((i, j, k) == (0, 0, 0)).alias("own")) for i, j, k in steps))
-    a = placed.select("structure", *(F.col(c).alias(f"{c}1") for c in ("ord", "chain", "resseq", "x", "y", "z")), F.explode(near).alias("n")).select("*", "n.cx", "n.cy", "n.cz", "n.own").drop("n")
+    near = F.array(*(F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy"), (F.col("cz") + k).alias("cz"),
+        F.lit((i, j, k) == (0, 0, 0)).alias("own")) for i, j, k in steps))
+    a = placed.select("structure", *(F.col(c).alias(f"{c}1") for c in ("ord", "chain", "resseq", "x", "y", "z")),
+        F.explode(near).alias("n")).select("*", "n.cx", "n.cy", "n.cz", "n.own").drop("n")
     gap = F.abs(F.expr("try_cast(resseq AS int)") - F.expr("try_cast(resseq1 AS int)"))
     bonded = F.coalesce((F.col("chain") == F.col("chain1")) & F.coalesce(gap <= 1, F.col("resseq") == F.col("resseq1")), F.lit(False))
     square = sum(((F.col(f"{c}1") - F.col(c)) * (F.col(f"{c}1") - F.col(c)) for c in "xyz"), F.lit(0.0))
@@ -62,10 +64,12 @@ def filter_by_gene(edges: DataFrame, target: str) -> DataFrame:
 def focus_edge(spark, gene: str, mutation: str) -> DataFrame:
     """A table of one edge for one mutation."""
     token = f"{gene.lower()}:{mutation}"
-    return spark.createDataFrame([(token, None, gene.lower(), None, mutation, None, 1, 0.0, 0.0)], "Node_1 string, Node_2 string, Node_1_Gene string, Node_2_Gene string, Node_1_Mutation string, Node_2_Mutation string, Frequency long, Avg_Biochemical_Severity double, Composite_Network_Score double")
+    return spark.createDataFrame([(token, None, gene.lower(), None, mutation, None, 1, 0.0, 0.0)],
+        "Node_1 string, Node_2 string, Node_1_Gene string, Node_2_Gene string, Node_1_Mutation string, Node_2_Mutation string, Frequency long, Avg_Biochemical_Severity double, Composite_Network_Score double")
 
 
-def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: DataFrame | None = None, chains: Column | None = None, override: tuple[float, float, float] | None = None) -> DataFrame:
+def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: DataFrame | None = None, chains: Column | None = None,
+    override: tuple[float, float, float] | None = None) -> DataFrame:
     """Affinity change, confidence and status of each edge, and the target's mutations in it with their flexible residues.
 
     ``affinities``: mutation_network, wt_affinity, mut_affinity. ``qc``: mutation_network, qc_pass; networks without a row pass.
@@ -88,8 +92,10 @@ def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: Dat
     rows = rows.withColumns({c: F.when(docked, F.col(c)) for c in ("wt_affinity", "mut_affinity")}).withColumn("delta_delta_g", F.col("mut_affinity") - F.col("wt_affinity"))
     ddg, center = F.col("delta_delta_g"), D.pocket_center(F.lit(target), override=override)
     return rows.select(
-        "Node_1", "Node_2", "mutation_network", "wt_affinity", "mut_affinity", "delta_delta_g", D.confidence(ddg).alias("confidence"), D.confidence_flags(ddg).alias("confidence_flags"),
-        D.interpretation(ddg).alias("interpretation"), "status", F.array_join(F.transform("kept", lambda t: t["label"]), ",").alias("mutations"), D.flexible_residues(F.col("kept")).alias("flexible_residues"),
+        "Node_1", "Node_2", "mutation_network", "wt_affinity", "mut_affinity", "delta_delta_g", D.confidence(ddg).alias("confidence"),
+            D.confidence_flags(ddg).alias("confidence_flags"),
+        D.interpretation(ddg).alias("interpretation"), "status", F.array_join(F.transform("kept", lambda t: t["label"]), ",").alias("mutations"),
+            D.flexible_residues(F.col("kept")).alias("flexible_residues"),
         *(center[f"center_{c}"].alias(f"center_{c}") for c in "xyz"),
     )
 

@@ -52,7 +52,8 @@ def unalignable(proteins: DataFrame) -> DataFrame:
     return proteins.where(F.col("seq").rlike("[^ARNDCQEGHILKMFPSTWYVBZX*]"))
 
 
-def interpret_mutations(mutations: DataFrame, db: DataFrame, drugs: DataFrame, predictions: DataFrame | None = None, antibiotic: str = "Ciprofloxacin", ci_gene: bool = False) -> DataFrame:
+def interpret_mutations(mutations: DataFrame, db: DataFrame, drugs: DataFrame, predictions: DataFrame | None = None,
+    antibiotic: str = "Ciprofloxacin", ci_gene: bool = False) -> DataFrame:
     """Report rows of (Accession, Gene, Mutation): a known mutation, else a prediction where there is a model, else of unknown significance.
 
     ``db`` (gene, mutation, phenotype, pdb, ord): the first entry counts. ``drugs`` (gene in lower case, drug).

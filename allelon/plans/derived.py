@@ -22,7 +22,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").selectExpr("cast(l_orderkey AS string) AS Accession", f"{GENE} AS Gene", f"{CODE} AS Mutation", "l_linenumber AS ord", "l_partkey", "l_suppkey")
+    return table(spark, sf, "lineitem").selectExpr("cast(l_orderkey AS string) AS Accession", f"{GENE} AS Gene", f"{CODE} AS Mutation",
+        "l_linenumber AS ord", "l_partkey", "l_suppkey")
 
 
 def _letters() -> Column:
@@ -46,7 +47,8 @@ def contigs(spark: SparkSession, sf: str) -> DataFrame:
 def searched_proteins(spark: SparkSession, sf: str) -> DataFrame:
     """Whole proteins to search for: every benchmark passage and three contigs, translated."""
     passages = table(spark, sf, "benchmark").select(F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("gene"), translate_dna(_dna()).alias("seq"))
-    own = contigs(spark, sf).where("contig_ord IN (1, 2, 4)").select(F.concat(F.lit("gene"), F.col("contig_ord").cast("string")).alias("gene"), translate_dna(F.col("seq")).alias("seq"))
+    own = contigs(spark, sf).where("contig_ord IN (1, 2, 4)").select(F.concat(F.lit("gene"), F.col("contig_ord").cast("string")).alias("gene"),
+        translate_dna(F.col("seq")).alias("seq"))
     return passages.unionByName(own).where("seq <> ''")
 
 
@@ -85,7 +87,8 @@ def changed_proteins(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "benchmark").agg(F.count("*").alias("n"))  # one row
     docs = contigs(spark, sf).select("contig_ord", F.translate(translate_dna(F.col("seq")), "X*", "GQ").alias("own")).join(F.broadcast(n))
     rows = docs.withColumn("item_id", F.expr("contig_ord % n")).join(items, "item_id").selectExpr(
-        "contig_ord AS doc_id", "gene", "ref", "own", "length(ref) AS l", "length(own) AS m", "length(ref) div 6 + 1 AS p1", "length(ref) div 3 + 1 AS p2", "2 * length(ref) div 3 AS g",
+        "contig_ord AS doc_id", "gene", "ref", "own", "length(ref) AS l", "length(own) AS m", "length(ref) div 6 + 1 AS p1",
+            "length(ref) div 3 + 1 AS p2", "2 * length(ref) div 3 AS g",
         "coalesce(nullif(substring(own, -1, 1), ''), 'W') AS a1", "coalesce(nullif(substring(own, length(own) - 1, 1), ''), 'W') AS a2", "contig_ord % 11 = 10 AS other",
     ).selectExpr(
         "*", "CASE WHEN l >= 60 AND doc_id % 3 = 1 THEN 4 ELSE 0 END AS lost", "CASE WHEN l >= 60 AND doc_id % 3 = 2 THEN substring(own, m div 2 + 1, 5) ELSE '' END AS more",
@@ -98,7 +101,8 @@ def changed_proteins(spark: SparkSession, sf: str) -> DataFrame:
 def known_variants(spark: SparkSession, sf: str) -> DataFrame:
     """A table of known mutations: the first change of every seventh document."""
     rows = changed_proteins(spark, sf).where("NOT other AND doc_id % 7 = 0")
-    return rows.selectExpr("gene", "concat(w1, cast(p1 AS string), a1) AS mutation", "CASE WHEN doc_id % 2 = 0 THEN concat('Known by ', accession) END AS phenotype", "accession AS pdb", "doc_id AS ord")
+    return rows.selectExpr("gene", "concat(w1, cast(p1 AS string), a1) AS mutation",
+        "CASE WHEN doc_id % 2 = 0 THEN concat('Known by ', accession) END AS phenotype", "accession AS pdb", "doc_id AS ord")
 
 
 def isolates(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +123,8 @@ def isolate_report(spark: SparkSession, sf: str) -> DataFrame:
 def atoms(spark: SparkSession, sf: str, scale: float) -> DataFrame:
     part = lambda i: (F.element_at("embedding", i).cast("double") * scale)
     return table(spark, sf, "embeddings").select(
-        F.col("label").cast("string").alias("structure"), F.col("vec_id").alias("ord"), F.col("vec_id").alias("line_ord"), (F.col("vec_id") % 2).cast("string").alias("chain"), F.col("vec_id").cast("string").alias("resseq"),
+        F.col("label").cast("string").alias("structure"), F.col("vec_id").alias("ord"), F.col("vec_id").alias("line_ord"),
+            (F.col("vec_id") % 2).cast("string").alias("chain"), F.col("vec_id").cast("string").alias("resseq"),
         part(1).alias("x"), part(2).alias("y"), part(3).alias("z"), F.lit("ATOM").alias("record"), F.lit("CA").alias("atom"), F.lit("C").alias("element"),
         F.expr("element_at(array('ALA', 'SER', 'GLY'), cast(vec_id % 3 + 1 AS int))").alias("resname"),
     )
@@ -133,11 +138,13 @@ def affinities(spark: SparkSession, sf: str) -> DataFrame:
     value = lambda i: F.max(F.when(F.col("rn") == i, F.col("value") / 100))
     rows = two.groupBy("user_id").agg(value(1).alias("wt_affinity"), value(2).alias("mut_affinity"))
     return rows.select(
-        F.concat(F.lit("run"), (F.col("user_id") % 4).cast("string")).alias("run"), F.format_string("%s:S%sL", F.when(F.col("user_id") % 3 == 0, "acrR").otherwise("acrB"), F.col("user_id")).alias("Node_1"),
+        F.concat(F.lit("run"), (F.col("user_id") % 4).cast("string")).alias("run"),
+            F.format_string("%s:S%sL", F.when(F.col("user_id") % 3 == 0, "acrR").otherwise("acrB"), F.col("user_id")).alias("Node_1"),
         F.when(F.col("user_id") % 5 == 0, F.format_string("tolC:A%sV", F.col("user_id"))).alias("Node_2"), "wt_affinity", "mut_affinity", "user_id",
     )
 
 
-DB = [("acrA", "A10D", "Efflux", "1ABC", 0), ("acrA", "A10D", "Second entry", "9ZZZ", 1), ("marR", "R31P", None, "2DEF", 0), ("tolC", "N12W", "Porin loss", None, 0), ("acrb", "D13S", "Case", "3GHI", 0)]
+DB = [("acrA", "A10D", "Efflux", "1ABC", 0), ("acrA", "A10D", "Second entry", "9ZZZ", 1), ("marR", "R31P", None, "2DEF", 0),
+    ("tolC", "N12W", "Porin loss", None, 0), ("acrb", "D13S", "Case", "3GHI", 0)]
 DRUGS = [("acrr", "fluoroquinolones"), ("marr", "multiple_antibiotics")]
 PREDICTED = "l_partkey % 40 < 20"

@@ -47,7 +47,8 @@ def _table(df: DataFrame, folder: str, **options) -> str:
 
 @query(
     f"""WITH {S.CONTIGS}, c AS (SELECT doc_id, seq, length(seq) // 2 AS h FROM contigs)
-SELECT 'd' || doc_id AS genome_id, cast(1 AS int) AS contig_ord, 'a' || doc_id AS contig_id, 'a' || doc_id || ' first' AS header, h AS seq_len, sha256(substr(seq, 1, h)) AS digest FROM c
+SELECT 'd' || doc_id AS genome_id, cast(1 AS int) AS contig_ord, 'a' || doc_id AS contig_id, 'a' || doc_id || ' first' AS header, h AS seq_len,
+    sha256(substr(seq, 1, h)) AS digest FROM c
 UNION ALL SELECT 'd' || doc_id, 2, 'b' || doc_id, 'b' || doc_id, length(seq) - h, sha256(substr(seq, h + 1)) FROM c
 UNION ALL SELECT 'd' || doc_id, 0, NULL, NULL, 4, sha256('ACGT') FROM c WHERE doc_id % 5 = 0"""
 )
@@ -63,12 +64,14 @@ def fasta_files(spark, sf):
 def _sequence_files(spark, sf) -> str:
     """A protein file for each document: FASTA, plain text in lower case, two records, nothing (no bytes, or white space), or a name without a gene."""
     rows = X.contigs(spark, sf).select("contig_id", "contig_ord", (F.col("contig_ord") % 6).alias("k"), F.translate(translate_dna(F.col("seq")), "X*", "GQ").alias("p"))
-    text = """CASE k WHEN 1 THEN concat(' ', lower(substring(p, 1, 7)), '\\n ', lower(substring(p, 8, 2147483647))) WHEN 2 THEN concat('>a\\n', p, '\\n>b\\nMK\\n') WHEN 3 THEN CASE WHEN contig_ord % 12 = 3 THEN '' ELSE ' \n' END
+    text = """CASE k WHEN 1 THEN concat(' ', lower(substring(p, 1, 7)), '\\n ', lower(substring(p, 8, 2147483647))) WHEN 2 THEN concat('>a\\n', p,
+    '\\n>b\\nMK\\n') WHEN 3 THEN CASE WHEN contig_ord % 12 = 3 THEN '' ELSE ' \n' END
         ELSE concat('>x y\\n', substring(p, 1, 60), '\\n', substring(p, 61, 2147483647), '\\n') END"""
     return _files(rows, "CASE k WHEN 4 THEN concat('plain', contig_id, '.faa') WHEN 5 THEN concat('A_', contig_id, '_tolC.faa') ELSE concat('A_', contig_id, '_acrA.faa') END", text, "proteins")
 
 
-_PROTEINS = f"""{S.CONTIGS}, code AS (SELECT {S._map(codons())} AS m), p AS (SELECT doc_id, doc_id % 6 AS k, translate({S._protein('seq', 'm')}, 'X*', 'GQ') AS p FROM contigs CROSS JOIN code)"""
+_PROTEINS = f"""{S.CONTIGS}, code AS (SELECT {S._map(codons())} AS m), p AS (SELECT doc_id, doc_id % 6 AS k, translate({S._protein('seq', 'm')},
+    'X*', 'GQ') AS p FROM contigs CROSS JOIN code)"""
 
 
 @query(f"WITH {_PROTEINS} SELECT 'A_' || doc_id AS accession, CASE k WHEN 5 THEN 'tolC' ELSE 'acrA' END AS gene, length(p) AS residues, sha256(p) AS digest FROM p WHERE k IN (0, 1, 5) AND p <> ''")
@@ -79,7 +82,8 @@ def protein_files(spark, sf):
 
 @query(
     f"""WITH {_PROTEINS} SELECT CASE k WHEN 4 THEN 'plain' || doc_id WHEN 5 THEN 'A_' || doc_id || '_tolC' ELSE 'A_' || doc_id || '_acrA' END AS name,
-CASE WHEN k = 2 THEN 'more than one record' WHEN k = 3 OR p = '' THEN 'empty' END AS error, CASE WHEN k NOT IN (2, 3) AND p <> '' THEN length(p) END AS residues FROM p WHERE doc_id % 12 <> 3"""
+CASE WHEN k = 2 THEN 'more than one record' WHEN k = 3 OR p = '' THEN 'empty' END AS error, CASE WHEN k NOT IN (2, 3) AND p <> ''
+    THEN length(p) END AS residues FROM p WHERE doc_id % 12 <> 3"""
 )
 def sequence_files(spark, sf):
     return readers.read_sequences(spark, _sequence_files(spark, sf)).select("name", "error", F.length("seq").cast("long").alias("residues"))
@@ -117,7 +121,8 @@ def gene_lists(spark, sf):
 
 @query(
     """WITH p AS (SELECT p_partkey AS k, 'g' || p_partkey % 7 AS gene FROM part WHERE p_partkey % 50 <> 0)
-SELECT gene, 'A' || k || 'V' AS mutation, 'Efflux' AS phenotype, '1ABC' AS pdb, cast(0 AS int) AS ord FROM p UNION ALL SELECT gene, 'S' || k || 'L', NULL, NULL, 1 FROM p"""
+SELECT gene, 'A' || k || 'V' AS mutation, 'Efflux' AS phenotype, '1ABC' AS pdb, cast(0 AS int) AS ord FROM p UNION ALL SELECT gene, 'S' || k || 'L',
+    NULL, NULL, 1 FROM p"""
 )
 def resistance_files(spark, sf):
     """Known mutations in a file for each part, of which some aren't JSON."""
@@ -136,7 +141,8 @@ def drug_files(spark, sf):
 
 
 @query(
-    f"""{S.HITS} SELECT sseqid AS "Gene", qseqid AS "Contig", CASE WHEN evalue <> 3 / 1000 THEN a END AS "Start", b AS "End", CASE WHEN sstrand = 'minus' THEN '-' ELSE '+' END AS "Strand", pident AS "Identity", 'abricate' AS "Source" FROM h"""
+    f"""{S.HITS} SELECT sseqid AS "Gene", qseqid AS "Contig", CASE WHEN evalue <> 3 / 1000 THEN a END AS "Start", b AS "End", CASE
+    WHEN sstrand = 'minus' THEN '-' ELSE '+' END AS "Strand", pident AS "Identity", 'abricate' AS "Source" FROM h"""
 )
 def abricate_files(spark, sf):
     rows = X.blast_hits(spark, sf).selectExpr(
@@ -158,13 +164,16 @@ def blast_files(spark, sf):
 
 
 @query(
-    f"""{S.HITS}, t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN '---' ELSE 'M-' || substr('{X.RES}', l_partkey % 16 + 1, 5) || '-' END AS sseq FROM h WHERE evalue <> 2 / 1000)
-SELECT qseqid, sseqid, bitscore, nullif(replace(sseq, '-', ''), '') AS seq FROM t QUALIFY row_number() OVER (PARTITION BY qseqid ORDER BY bitscore DESC, evalue, sseqid, l_partkey) = 1"""
+    f"""{S.HITS}, t AS (SELECT *, CASE WHEN l_partkey % 9 = 0 THEN '---' ELSE 'M-' || substr('{X.RES}', l_partkey % 16 + 1, 5) || '-' END AS sseq
+    FROM h WHERE evalue <> 2 / 1000)
+SELECT qseqid, sseqid, bitscore, nullif(replace(sseq, '-', ''), '') AS seq FROM t QUALIFY row_number() OVER (PARTITION BY qseqid
+    ORDER BY bitscore DESC, evalue, sseqid, l_partkey) = 1"""
 )
 def tblastn_files(spark, sf):
     """The best hit of each contig; rows without the last column are no hits."""
     sseq = f"CASE WHEN l_linenumber = 2 THEN NULL WHEN l_partkey % 9 = 0 THEN '---' ELSE concat('M-', substr('{X.RES}', cast(l_partkey % 16 + 1 AS int), 5), '-') END AS sseq"
-    rows = X.blast_hits(spark, sf).selectExpr("qseqid", "sseqid", "pident", "length", "1 AS mismatch", "0 AS gapopen", "qstart", "qend", "l_partkey AS sstart", "send", "evalue", "bitscore", sseq)
+    rows = X.blast_hits(spark, sf).selectExpr("qseqid", "sseqid", "pident", "length", "1 AS mismatch", "0 AS gapopen", "qstart", "qend",
+        "l_partkey AS sstart", "send", "evalue", "bitscore", sseq)
     return hits.proteins_from_hits(readers.read_tblastn(spark, _table(rows, "tblastn", sep="\t")), ["qseqid"]).select("qseqid", "sseqid", "bitscore", "seq")
 
 
@@ -175,7 +184,8 @@ def tblastn_files(spark, sf):
 def report_files(spark, sf):
     """A report whose columns stand in another order, with one more."""
     path = new_path(spark, "report")
-    writers.write_csv(Q.interpret_mutations(spark, sf).select("Status", "Mutation", F.lit("x").alias("note"), "Accession", "prediction_score", "Gene", "Phenotype", "prediction_source", "Reference_PDB"), path)
+    writers.write_csv(Q.interpret_mutations(spark, sf).select("Status", "Mutation", F.lit("x").alias("note"), "Accession", "prediction_score", "Gene",
+        "Phenotype", "prediction_source", "Reference_PDB"), path)
     return readers.read_report(spark, path)
 
 
@@ -209,13 +219,16 @@ def run_summary(spark, sf):
         writers.write_csv(docking.where(f"run = 'run{k}'").select("status", "interpretation", "delta_delta_g", "mutation_network"), runs[f"run{k}"])
     edges = readers.read_runs(spark, {"all": _edge_file(spark, sf)}, schemas.EDGES)
     found = structures.run_summary(edges, readers.read_runs(spark, runs, schemas.DOCKING, {"status": ""}))
-    columns = {"nodes": ("node", "node", F.lit(""), "weight"), "edges": ("edge", "node_a", F.col("node_b"), "weight"), "top_mutations": ("mutation", "mutation", F.col("gene_class"), "frequency"), "triage": ("triage", "run", F.col("category"), "networks")}
-    rows = [found[t].select(F.lit(kind).alias("kind"), F.col(name).alias("name"), other.alias("other"), F.col(value).cast("double").alias("value")) for t, (kind, name, other, value) in columns.items()]
+    columns = {"nodes": ("node", "node", F.lit(""), "weight"), "edges": ("edge", "node_a", F.col("node_b"), "weight"),
+        "top_mutations": ("mutation", "mutation", F.col("gene_class"), "frequency"), "triage": ("triage", "run", F.col("category"), "networks")}
+    rows = [found[t].select(F.lit(kind).alias("kind"), F.col(name).alias("name"), other.alias("other"),
+        F.col(value).cast("double").alias("value")) for t, (kind, name, other, value) in columns.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
 @query(
-    f"""WITH {S.ISOLATES} SELECT gid AS genome_id, CASE src WHEN 0 THEN loc ELSE '' END AS geographic_location, CASE src WHEN 0 THEN '' ELSE 'sepsis' END AS disease, '' AS "Antibiotic", cast(src AS int) AS src_ord FROM iso"""
+    f"""WITH {S.ISOLATES} SELECT gid AS genome_id, CASE src WHEN 0 THEN loc ELSE '' END AS geographic_location, CASE src WHEN 0 THEN ''
+    ELSE 'sepsis' END AS disease, '' AS "Antibiotic", cast(src AS int) AS src_ord FROM iso"""
 )
 def isolate_files(spark, sf):
     """Isolate tables with differing headers."""
@@ -230,8 +243,10 @@ def isolate_files(spark, sf):
 
 @query(
     """WITH k AS (SELECT vec_id, embedding, unnest(range(21)) AS k FROM embeddings)
-SELECT 'v' || vec_id AS structure, k + 1 AS line_ord, ['ALA', 'SER', 'GLY'][k % 3 + 1] AS resname, CASE WHEN k < 10 THEN 'A' ELSE 'B' END AS chain, cast(k + 1 AS varchar) AS resseq, 'C' AS element,
-  floor(cast(embedding[3 * k + 1] AS double) * 60000) / 1000 AS x, floor(cast(embedding[3 * k + 2] AS double) * 60000) / 1000 AS y, floor(cast(embedding[3 * k + 3] AS double) * 60000) / 1000 AS z FROM k"""
+SELECT 'v' || vec_id AS structure, k + 1 AS line_ord, ['ALA', 'SER', 'GLY'][k % 3 + 1] AS resname, CASE WHEN k < 10 THEN 'A' ELSE 'B' END AS chain,
+    cast(k + 1 AS varchar) AS resseq, 'C' AS element,
+  floor(cast(embedding[3 * k + 1] AS double) * 60000) / 1000 AS x, floor(cast(embedding[3 * k + 2] AS double) * 60000) / 1000 AS y,
+    floor(cast(embedding[3 * k + 3] AS double) * 60000) / 1000 AS z FROM k"""
 )
 def atom_files(spark, sf):
     """A structure file for each vector, an atom for each three components."""

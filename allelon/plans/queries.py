@@ -28,7 +28,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def score_mutation_codes(spark, sf):
     code = f"concat(substr('{X.RES}', cast(p_partkey % 20 + 1 AS int), 1), cast(p_size AS string), substr('{X.MUT}', cast((p_partkey * 7 + 3) % 22 + 1 AS int), 1)) AS Mutation"
-    return score_mutations(X.table(spark, sf, "part").selectExpr("p_partkey", code)).select("p_partkey", "Mutation", "BLOSUM", F.round("Grantham", 4).alias("Grantham"), "Severity", "Category")
+    return score_mutations(X.table(spark, sf, "part").selectExpr("p_partkey", code)).select("p_partkey", "Mutation", "BLOSUM",
+        F.round("Grantham", 4).alias("Grantham"), "Severity", "Category")
 
 
 @query
@@ -308,7 +309,8 @@ def best_hits(spark, sf):
 
 @query
 def select_reference(spark, sf):
-    rows = X.table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("rank"), (F.col("p_size") % 3 == 0).alias("is_refseq"), (F.col("p_size") * 50).cast("long").alias("length"))
+    rows = X.table(spark, sf, "part").select("p_brand", F.col("p_partkey").alias("rank"), (F.col("p_size") % 3 == 0).alias("is_refseq"),
+        (F.col("p_size") * 50).cast("long").alias("length"))
     return hits.select_reference(rows, gene="p_brand").select("p_brand", "rank", "is_refseq", "length", "search_pass")
 
 
@@ -338,7 +340,8 @@ def missing_ids(spark, sf):
 
 def _enriched(spark, sf):
     samples = X.table(spark, sf, "customer").selectExpr("concat(cast(c_custkey AS string), ' ') AS genome_id", "c_name")
-    found = X.table(spark, sf, "orders").groupBy(F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("genome_id")).agg(F.sort_array(F.collect_set(F.col("o_orderpriority"))).alias("priorities"), F.count("*").alias("orders"))
+    found = X.table(spark, sf, "orders").groupBy(F.concat(F.lit(" "),
+        F.col("o_custkey").cast("string")).alias("genome_id")).agg(F.sort_array(F.collect_set(F.col("o_orderpriority"))).alias("priorities"), F.count("*").alias("orders"))
     return curation.enrich_metadata(samples, found)
 
 
@@ -366,7 +369,8 @@ def clash_qc_dense(spark, sf):
 
 
 def _sites(spark, sf):
-    return X.table(spark, sf, "part").selectExpr("cast(p_partkey % 10 AS string) AS structure", "cast(p_partkey % 2 AS string) AS chain", "cast(p_partkey AS string) AS residue", "p_partkey")
+    return X.table(spark, sf, "part").selectExpr("cast(p_partkey % 10 AS string) AS structure", "cast(p_partkey % 2 AS string) AS chain",
+        "cast(p_partkey AS string) AS residue", "p_partkey")
 
 
 @query
@@ -392,7 +396,8 @@ def _docking(spark, sf):
 @query
 def docking_report(spark, sf):
     return _docking(spark, sf).select(
-        "mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "confidence", "confidence_flags", "interpretation", D.three_places(F.col("wt_affinity") * 100).alias("wt_text"), "mutations", "flexible_residues", "center_x", "center_y", "center_z"
+        "mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "confidence", "confidence_flags", "interpretation",
+            D.three_places(F.col("wt_affinity") * 100).alias("wt_text"), "mutations", "flexible_residues", "center_x", "center_y", "center_z"
     )
 
 
@@ -401,7 +406,8 @@ def focus_docking(spark, sf):
     """The one-edge table of a focus mutation with the affinities of all users' runs, and a docking centre given by the user."""
     edge = structures.focus_edge(spark, "AcrB", "S83L")
     runs = X.affinities(spark, sf).select(F.lit("acrb:S83L").alias("mutation_network"), "wt_affinity", "mut_affinity")
-    return structures.docking_report(edge, runs, "acrB", override=(1.0, 2.5, -3.0)).select("mutation_network", "status", F.round("delta_delta_g", 6).alias("delta_delta_g"), "mutations", "center_x", "center_y", "center_z")
+    return structures.docking_report(edge, runs, "acrB", override=(1.0, 2.5, -3.0)).select("mutation_network", "status",
+        F.round("delta_delta_g", 6).alias("delta_delta_g"), "mutations", "center_x", "center_y", "center_z")
 
 
 @query

@@ -37,7 +37,8 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
 def read_long_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, header, seq) of very large multi-FASTA files, split within a file; text before the first header is read as a record."""
     rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_name").alias("file_name"), F.regexp_replace("value", "^>", "").alias("value"))
-    return rows.select("file_name", F.regexp_extract("value", r"^([^\r\n]*)", 1).alias("header"), F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", "").alias("seq"))
+    return rows.select("file_name", F.regexp_extract("value", r"^([^\r\n]*)", 1).alias("header"),
+        F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", "").alias("seq"))
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
@@ -159,7 +160,8 @@ def read_atoms(spark: SparkSession, path: str) -> DataFrame:
     rows = _whole(spark, path).select(F.regexp_replace("file_name", r"\.[^.]*$", "").alias("structure"), F.posexplode(F.split("value", "\r?\n")).alias("line_ord", "value"))
     number = lambda a: F.expr(f"try_cast(trim(substring(value, {a}, 8)) AS double)")
     atoms = rows.select(
-        "structure", _field(1, 6).alias("record"), _field(13, 4).alias("atom"), F.upper(_field(18, 3)).alias("resname"), _field(22, 1).alias("chain"), _field(23, 4).alias("resseq"),
+        "structure", _field(1, 6).alias("record"), _field(13, 4).alias("atom"), F.upper(_field(18, 3)).alias("resname"), _field(22, 1).alias("chain"),
+            _field(23, 4).alias("resseq"),
         number(31).alias("x"), number(39).alias("y"), number(47).alias("z"), F.upper(_field(77, 2)).alias("element"), F.col("line_ord").cast("long").alias("line_ord"),
     )
     return atoms.where("record IN ('ATOM', 'HETATM') AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL")

@@ -18,7 +18,8 @@ def one(spark, value, expr, kind="string"):
 @pytest.mark.parametrize(
     "code,want",
     [("S83L", (-2, 192.2628, 88.32, "PATHOGENIC")), ("K2R", (2, 10.2932, 26.87, "BENIGN")), (" i4v ", (3, 0.5837, 21.5, "BENIGN")), ("D87N", (1, 142.5646, 66.45, "PATHOGENIC")),
-     ("A10T", (0, 96.1277, 56.16, "UNCERTAIN")), ("Q45*", (-4, 215.0, 100.0, "PATHOGENIC")), ("I174I", (4, 0.0, 0.0, "BENIGN")), ("S83X", (None, None, None, "ERROR")), (None, (None, None, None, "ERROR"))],
+     ("A10T", (0, 96.1277, 56.16, "UNCERTAIN")), ("Q45*", (-4, 215.0, 100.0, "PATHOGENIC")), ("I174I", (4, 0.0, 0.0, "BENIGN")),
+         ("S83X", (None, None, None, "ERROR")), (None, (None, None, None, "ERROR"))],
 )
 def test_scores(spark, code, want):
     r = scoring.score_mutations(spark.createDataFrame([(code,)], "Mutation string")).first()
@@ -31,7 +32,8 @@ def test_score_table():
     assert [sum(t[5] == c for t in table) for c in ("BENIGN", "UNCERTAIN", "PATHOGENIC")] == [28, 238, 114]
 
 
-@pytest.mark.parametrize("raw,want", [(None, "Unknown"), ("", "Unknown"), (" \t", "Unknown"), ("(x)", "Unknown"), ("India: ", "Unknown"), ("USA: New York  City (NYC)", "New York City"), ("Nigeria:Lagos, ", "Lagos"), ("Egypt", "Egypt"), ("A:B:C", "B:C")])
+@pytest.mark.parametrize("raw,want", [(None, "Unknown"), ("", "Unknown"), (" \t", "Unknown"), ("(x)", "Unknown"), ("India: ", "Unknown"),
+    ("USA: New York  City (NYC)", "New York City"), ("Nigeria:Lagos, ", "Lagos"), ("Egypt", "Egypt"), ("A:B:C", "B:C")])
 def test_locations(spark, raw, want):
     assert one(spark, raw, text.clean_location) == want
 
@@ -50,7 +52,8 @@ def test_reverse_complement_twice(spark):
 
 
 @pytest.mark.parametrize(
-    "ref,query,gate,want", [("MKTIAL", "MRTIAL", 80, ["K2R"]), ("MKTIA", "MKTVIA", 80, []), ("YDYAMSVIVGRALPDVRDG", "YDYAMLVIVGRALPDVRDG", 80, ["S6L"]), ("MKTIALSY", "MRTVALSY", 75, ["K2R", "I4V"]), ("MKTIALSY", "MRTVALSY", 80, []), ("MKT", "MJT", 0, None)]
+    "ref,query,gate,want", [("MKTIAL", "MRTIAL", 80, ["K2R"]), ("MKTIA", "MKTVIA", 80, []),
+        ("YDYAMSVIVGRALPDVRDG", "YDYAMLVIVGRALPDVRDG", 80, ["S6L"]), ("MKTIALSY", "MRTVALSY", 75, ["K2R", "I4V"]), ("MKTIALSY", "MRTVALSY", 80, []), ("MKT", "MJT", 0, None)]
 )
 def test_substitutions(ref, query, gate, want):
     assert alignment.substitutions(ref, query, gate) == want
@@ -96,7 +99,8 @@ def test_local_alignment():
 
 def test_variant_report(spark):
     refs = spark.createDataFrame([("test", "MKTIAL")], "gene string, seq string")
-    proteins = spark.createDataFrame([("g1", "test", "MRTIAL"), ("g2", "test", "MKTIAL"), ("g3", "none", "MRTIAL"), ("g4", "test", None), ("g5", "test", "MRTIAL")], "accession string, gene string, seq string")
+    proteins = spark.createDataFrame([("g1", "test", "MRTIAL"), ("g2", "test", "MKTIAL"), ("g3", "none", "MRTIAL"), ("g4", "test", None),
+        ("g5", "test", "MRTIAL")], "accession string, gene string, seq string")
     db = spark.createDataFrame([("test", "K2R", "Test resistance", "TEST", 0)], "gene string, mutation string, phenotype string, pdb string, ord int")
     drugs = spark.createDataFrame([], "gene string, drug string")
     got = sorted(tuple(r) for r in variants.variant_report(proteins, refs, db, drugs).collect())
@@ -122,7 +126,8 @@ def test_edges_are_bounded_by_supports(spark):
     assert networks.top_networks(networks.epistasis_edges(report.where("1 = 0"))).count() == 0
 
 
-@pytest.mark.parametrize("ddg,want", [(0.49, ("LOW", D.NO_CHANGE)), (0.5, ("MEDIUM", "MODERATE_BINDING_SHIFT")), (1.0, ("HIGH", "REDUCED_SUBSTRATE_AFFINITY")), (-1.0, ("HIGH", "INCREASED_SUBSTRATE_AFFINITY")), (None, (None, None))])
+@pytest.mark.parametrize("ddg,want", [(0.49, ("LOW", D.NO_CHANGE)), (0.5, ("MEDIUM", "MODERATE_BINDING_SHIFT")),
+    (1.0, ("HIGH", "REDUCED_SUBSTRATE_AFFINITY")), (-1.0, ("HIGH", "INCREASED_SUBSTRATE_AFFINITY")), (None, (None, None))])
 def test_ddg(spark, ddg, want):
     assert (one(spark, ddg, D.confidence, "double"), one(spark, ddg, D.interpretation, "double")) == want
 
@@ -135,7 +140,8 @@ def test_docking_tokens(spark):
 def test_clashes_equal_all_pairs(spark):
     rng = random.Random(4)
     pts = [(str(s), i, rng.choice("AB"), str(rng.randrange(20)), rng.uniform(-6, 6), rng.uniform(-6, 6), rng.uniform(-6, 6)) for s in range(3) for i in range(40 if s else 1)]
-    got = {r["structure"]: r for r in structures.clash_qc(spark.createDataFrame(pts, "structure string, ord long, chain string, resseq string, x double, y double, z double"), most=10_000).collect()}
+    got = {r["structure"]: r for r in structures.clash_qc(spark.createDataFrame(pts,
+        "structure string, ord long, chain string, resseq string, x double, y double, z double"), most=10_000).collect()}
     for s in "012":
         own = [p for p in pts if p[0] == s]
         n = sum(sum((a[k] - b[k]) ** 2 for k in (4, 5, 6)) < 4 and not (a[2] == b[2] and abs(int(a[3]) - int(b[3])) <= 1) for i, a in enumerate(own) for b in own[i + 1 :])
@@ -212,8 +218,10 @@ def test_tables_by_header_name(spark, tmp_path):
     assert [(r["Accession"], r["Gene"], r["Mutation"], r["prediction_score"], r["Status"]) for r in report.collect()] == [("562.10", "acrA", "A1V", 0.5, None)]
     with pytest.raises(ValueError, match="missing columns: Gene"):
         readers.read_report(spark, put("m.csv", "Accession,Mutation\n1,A1V\n"))
-    assert readers.read_report(spark, put("h.csv", "Accession,Gene,Mutation\n")).count() == readers.read_report(spark, put("z.csv", "")).count() == readers.read_edges(spark, put("y.csv", "")).count() == 0
-    runs = readers.read_runs(spark, {"r1": put("r1.csv", "b,a\n1,x\n"), "r2": put("r2.csv", "a\ny\n"), "r3": str(tmp_path / "no.csv")}, "a string, b long, c string", {"b": 7, "c": ""})
+    assert readers.read_report(spark, put("h.csv", "Accession,Gene,Mutation\n")).count() == readers.read_report(spark,
+        put("z.csv", "")).count() == readers.read_edges(spark, put("y.csv", "")).count() == 0
+    runs = readers.read_runs(spark, {"r1": put("r1.csv", "b,a\n1,x\n"), "r2": put("r2.csv", "a\ny\n"), "r3": str(tmp_path / "no.csv")},
+        "a string, b long, c string", {"b": 7, "c": ""})
     assert sorted(tuple(r) for r in runs.collect()) == [("x", 1, "", "r1"), ("y", 7, "", "r2")]
 
 
@@ -226,7 +234,8 @@ def test_csv_is_sorted_and_keeps_blanks(spark, tmp_path):
 
 def test_identity_and_gaps(spark):
     refs = spark.createDataFrame([("g", "MKTIALSYVN")], "gene string, seq string")
-    proteins = spark.createDataFrame([("same", "g", "MKTIALSYVN"), ("one", "g", "MRTIALSYVN"), ("lost", "g", "MKTIALSYV"), ("far", "g", "WWWWWWWWWW"), ("odd", "g", "MKTIALSYVJ"), ("short", "g", "MK")], "accession string, gene string, seq string")
+    proteins = spark.createDataFrame([("same", "g", "MKTIALSYVN"), ("one", "g", "MRTIALSYVN"), ("lost", "g", "MKTIALSYV"), ("far", "g", "WWWWWWWWWW"),
+        ("odd", "g", "MKTIALSYVJ"), ("short", "g", "MK")], "accession string, gene string, seq string")
     got = {r["accession"]: (r["identity"], r["mutations"]) for r in variants.align_proteins(proteins, refs).collect()}
     assert got == {"same": (100.0, []), "one": (90.0, ["K2R"]), "lost": (90.0, []), "far": (0.0, [])}
     assert [r["accession"] for r in variants.unalignable(proteins).collect()] == ["odd"]
@@ -251,5 +260,6 @@ def test_missing_references_are_named(spark):
 
 def test_empty_and_zero_assemblies(spark):
     rows = [("a", "a.fna", s) for s in ("ACGN", "", "NN", "AC")] + [("b", "b.fna", "")]
-    got = {r["genome_id"]: (r["total_bp"], r["contigs"], r["n50"], r["n_fraction"]) for r in assembly.assembly_qc(spark.createDataFrame(rows, "genome_id string, file_name string, seq string")).collect()}
+    got = {r["genome_id"]: (r["total_bp"], r["contigs"], r["n50"],
+        r["n_fraction"]) for r in assembly.assembly_qc(spark.createDataFrame(rows, "genome_id string, file_name string, seq string")).collect()}
     assert got == {"a": (8, 3, 4, 0.375), "b": (0, 0, 0, 1.0)}

@@ -39,7 +39,8 @@ def test_scores_and_bounds():
     rng = random.Random(5)
     for _ in range(40):
         ref = "".join(rng.choices(RESIDUES + "X*", k=rng.randint(1, 60)))
-        queries = ["".join(rng.choices(RESIDUES + "XJ", k=rng.randint(0, 30))) + ref[rng.randrange(len(ref)) :] + "A" * rng.randrange(3) + ref[: rng.randrange(len(ref) + 1)] for _ in range(8)] + [""]
+        queries = ["".join(rng.choices(RESIDUES + "XJ", k=rng.randint(0,
+            30))) + ref[rng.randrange(len(ref)) :] + "A" * rng.randrange(3) + ref[: rng.randrange(len(ref) + 1)] for _ in range(8)] + [""]
         want = [alignment.local_align(ref, q)[0] for q in queries]
         assert alignment.local_scores(ref, queries).tolist() == want
         seeds = [[i for i in range(len(ref) - 4) if ref[i : i + 5] in q] for q in queries]
@@ -104,7 +105,8 @@ def test_query_searches_whole_proteins(spark, monkeypatch):
     from allelon.plans import derived, queries
 
     sf, asked = "/root/testdata/sf0.001", []
-    monkeypatch.setattr(hits, "translated_search", lambda contigs, refs, *a, **b: asked.append((refs, a, b)) or contigs.selectExpr("genome_id", "'' gene", "contig_id", "0 frame", "0 score", "seq"))
+    monkeypatch.setattr(hits, "translated_search", lambda contigs, refs, *a,
+        **b: asked.append((refs, a, b)) or contigs.selectExpr("genome_id", "'' gene", "contig_id", "0 frame", "0 score", "seq"))
     queries.QUERIES["translated_search"](spark, sf)
     refs, _, more = asked[0]
     text = {f"item{r['item_id']}": r["text"] for r in derived.table(spark, sf, "benchmark").collect()}
