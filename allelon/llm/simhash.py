@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import store, texts_of
+from allelon.llm.common import hidden, parts, shown, texts_of
 from allelon.llm.components import components
+from allelon.storage import discard, store
 
 
 def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
@@ -38,7 +40,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = np.array([fingerprint(t, shingle, seed) for t in texts_of(batch, "text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], schema=schema)
 
@@ -90,20 +92,29 @@ def tiled_links(codes: np.ndarray, side: np.ndarray | None, radius: int, tile: i
     return codes[off], codes[label[off]]
 
 
+def segment_count(count: int, radius: int, value_rows: int = 1024, most_keys: int = 500) -> int:
+    """Segments of which all but ``radius`` make a key: the fewest with which ``count`` random fingerprints leave ``value_rows`` to a key's value."""
+    segments = radius + 1
+    while count / 2 ** (64 * (segments - radius) / segments) > value_rows and comb(segments + 1, radius) <= most_keys:
+        segments += 1
+    return segments
+
+
 def near_links(fps: DataFrame, radius: int = 4, group_rows: int = 8192) -> DataFrame:
     """Spanning links (u, v) of the distinct fingerprints ``fps`` (fp) that differ in at most ``radius`` bits. Exact.
 
-    Two such fingerprints agree on one of radius + 1 segments (and on two of radius + 2), so only those that share a segment
-    value meet; the values deal the work over tasks. A value with more than ``group_rows`` fingerprints is dealt
+    Two such fingerprints agree on all but ``radius`` of any number of segments, so only those that share the value of such a
+    choice of segments meet; more fingerprints are cut into more segments. The values deal the work over tasks. A value with more than ``group_rows`` fingerprints is dealt
     further, into pairs of tiles by bit count, leaving out pairs that lie beyond the radius, so that no
     task ever holds more than two tiles.
     """
     spark = fps.sparkSession
     count = fps.count()
-    segments = radius + 1 if count <= 1 << 22 else radius + 2
+    segments = segment_count(count, radius)
     edges = [round(64 * i / segments) for i in range(segments + 1)]
     cut = lambda i: F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    keys = [F.struct(F.lit(k).alias("seg"), F.concat_ws(",", *(cut(i).cast("string") for i in own)).alias("val")) for k, own in enumerate(combinations(range(segments), segments - radius))]
+    keys = [F.struct(F.lit(k).alias("seg"), F.concat_ws(",", *(cut(i).cast("string") for i in own)).alias("val")) for k,
+        own in enumerate(combinations(range(segments), segments - radius))]
     keyed = fps.select("fp", F.bit_count("fp").alias("pop"), F.explode(F.array(*keys)).alias("key")).select("key.seg", "key.val", "pop", "fp")
     sizes = keyed.groupBy("seg", "val", "pop").agg(F.count("*").alias("n"))
     large = (
@@ -114,14 +125,16 @@ def near_links(fps: DataFrame, radius: int = 4, group_rows: int = 8192) -> DataF
     )  # at most 65 entries a list
     marked = keyed.join(large, ["seg", "val"], "left")
     small = marked.where("tiles IS NULL").select("seg", "val", F.lit("").alias("pair"), F.lit(False).alias("second"), "fp")
-    salted = marked.where("tiles IS NOT NULL").withColumn("salts", F.expr("filter(tiles, t -> t.pop = pop)[0].salts")).withColumn("own", F.expr("struct(pop AS pop, cast(pmod(xxhash64(fp), salts) AS int) AS salt)"))
+    salted = marked.where("tiles IS NOT NULL").withColumn("salts", F.expr("filter(tiles, t -> t.pop = pop)[0].salts")).withColumn("own",
+        F.expr("struct(pop AS pop, cast(pmod(xxhash64(fp), salts) AS int) AS salt)"))
     other = F.expr(
         f"flatten(transform(filter(tiles, t -> abs(t.pop - pop) <= {radius}), t -> transform(sequence(0, t.salts - 1), s -> struct(t.pop AS pop, s AS salt))))"
     )
     dealt = (
         salted.select("seg", "val", "fp", "own", F.explode(other).alias("other"))
         .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-        .select("seg", "val", F.concat_ws(",", *(F.col(c).cast("string") for c in ("low.pop", "low.salt", "high.pop", "high.salt"))).alias("pair"), (F.col("own") > F.col("other")).alias("second"), F.col("fp"), (F.col("own") == F.col("other")).alias("self"))
+        .select("seg", "val", F.concat_ws(",", *(F.col(c).cast("string") for c in ("low.pop", "low.salt", "high.pop", "high.salt"))).alias("pair"),
+            (F.col("own") > F.col("other")).alias("second"), F.col("fp"), (F.col("own") == F.col("other")).alias("self"))
         .select("seg", "val", F.when(F.col("self"), F.concat(F.lit("s"), "pair")).otherwise(F.col("pair")).alias("pair"), "second", "fp")
     )
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -167,8 +180,8 @@ def near_links(fps: DataFrame, radius: int = 4, group_rows: int = 8192) -> DataF
             table = pa.Table.from_batches(held)
             yield out(table, list(groups(table)))
 
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count * len(keys) // 2_000_000)
-    together = small.unionByName(dealt).repartition(parts, "seg", "val", "pair").sortWithinPartitions("seg", "val", "pair")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count * len(keys) // 2_000_000)
+    together = small.unionByName(dealt).repartition(tasks, "seg", "val", "pair").sortWithinPartitions("seg", "val", "pair")
     return together.mapInArrow(compare, "u long, v long")
 
 
@@ -178,25 +191,36 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     component_id is the smallest id that can be reached over links of at most ``radius`` bits, root the fingerprint
     that names the group. Copies share a fingerprint and are compared once. Null ids never are the smallest: a group
     without any id has a null component_id. Null and empty texts have fingerprint zero and are linked like any other.
+    Repeated rows give repeated results. Texts of any length count whole; an empty table gives an empty result.
     """
     own = store(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = store(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    roots = distinct.join(components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = roots.select("fp", "root").join(least, "root")
+    linked = store(components(near_links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp"), "roots")
+    # Tables in between are stored, so that both sides of each join are plain shuffles, whose hot keys adaptive execution splits.
+    least = store(linked.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
+    groups = store(linked.join(least, "root"), "groups")
+    names = distinct.join(groups, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    names = store(names, "fingerprint-groups")
+    for table in (distinct, linked, least, groups):
+        discard(table)
     return own.join(names, "fp").select(F.col("id").alias(id_col), "text_hash", "fp", "component_id", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the smallest id's, of repeated ids the least text hash's.
+    """``docs`` with one row of each near-duplicate group: the smallest id's, of repeated ids the least text hash's, of repeated rows any.
 
-    Only (id, text hash) pairs of the kept rows are joined with the texts, on the id, which no group dominates.
+    Only (id, text hash) pairs of the kept rows are joined with the texts, which are moved once; rows whose pair repeats are moved once more.
+    All columns stay as they are. Null and empty texts are one group; an empty table stays empty.
     """
-    groups = near_groups(docs, id_col, text_col, radius, shingle)
-    kept = (
-        groups.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"))).alias("k")).select("k.__id", "k.__hash")
-    )
-    kept = store(kept, "kept")
-    named = docs.withColumn("__h", F.xxhash64(F.coalesce(text_col, F.lit(""))))
-    same = named[id_col].cast("long").eqNullSafe(kept["__id"]) & (named["__h"] == kept["__hash"])
-    return named.join(kept, same, "left_semi").dropDuplicates([id_col, "__h"]).select(*docs.columns)
+    groups = near_groups(docs, id_col, text_col, radius, shingle).select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), "root")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__hash")).alias("k")).select("k.__id", "k.__hash")
+    often = groups.groupBy("__id", "__hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("__id").alias("__i"), F.col("__hash").alias("__g"))
+    kept = first.join(often, first["__id"].eqNullSafe(often["__i"]) & (first["__hash"] == often["__g"]), "left")
+    kept = store(kept.select("__id", "__hash", F.col("__g").isNotNull().alias("__often")), "kept")
+    named = hidden(docs)
+    own, text = F.col(f"`__in_{id_col}`").cast("long"), F.col(f"`__in_{text_col}`")
+    named = named.withColumns({"__own": own, "__h": F.xxhash64(F.coalesce(text, F.lit("")))})
+    found = named.join(kept, named["__own"].eqNullSafe(kept["__id"]) & (named["__h"] == kept["__hash"]))
+    once = found.where("NOT __often").unionByName(found.where("__often").dropDuplicates(["__own", "__h"]))
+    return shown(once)
