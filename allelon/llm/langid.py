@@ -348,7 +348,8 @@ def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", keep: tupl
         for batch in parts(batches, text_col):
             found = _SCORERS[name].score(texts_of(batch, text_col))
             own = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            yield pa.RecordBatch.from_arrays([*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                names=[*names, "lang_pred", "score"])
 
     out = StructType([docs.schema[c] for c in names]).add("lang_pred", "string").add("score", "double")
     return docs.select(*(f"`{c}`" for c in {*names, text_col})).mapInArrow(run, out)

@@ -98,7 +98,8 @@ def pack(lengths: list[int], capacity: int = 1024, linear: float = 1.0, quadrati
     return pieces
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0, window_tokens: int = 1 << 22) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0,
+    window_tokens: int = 1 << 22) -> DataFrame:
     """Pieces of all documents in sequences of at most ``capacity`` tokens, each document's ids followed by ``end_id``.
 
     A task packs its documents in windows of about ``window_tokens`` tokens without any shuffle, so padding is below one

@@ -20,7 +20,8 @@ def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     Rows with a null id or a null vector have no code and are left out.
     """
-    bit = lambda i: F.when(F.coalesce(F.get(vector_col, F.lit(i)) > 0, F.lit(False)) & ~F.coalesce(F.isnan(F.get(vector_col, F.lit(i))), F.lit(False)), F.lit(1 << i if i < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long")
+    bit = lambda i: F.when(F.coalesce(F.get(vector_col, F.lit(i)) > 0, F.lit(False)) & ~F.coalesce(F.isnan(F.get(vector_col, F.lit(i))),
+        F.lit(False)), F.lit(1 << i if i < 63 else -(1 << 63))).otherwise(F.lit(0)).cast("long")
     code = bit(0)
     for i in range(1, BITS):
         code = code.bitwiseOR(bit(i))

@@ -31,7 +31,8 @@ _ARROW_INDEX = pa.schema(
     [("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("record_id", pa.string()), ("record_type", pa.string())]
 )
 _ARROW_RECORD = pa.schema(
-    [("record_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
+    [("record_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()),
+        ("payload_digest", pa.string()), ("payload", pa.binary())]
 )
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 WARC_DATE = "2024-01-01T00:00:00Z"
