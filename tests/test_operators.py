@@ -263,3 +263,12 @@ def test_empty_and_zero_assemblies(spark):
     got = {r["genome_id"]: (r["total_bp"], r["contigs"], r["n50"],
         r["n_fraction"]) for r in assembly.assembly_qc(spark.createDataFrame(rows, "genome_id string, file_name string, seq string")).collect()}
     assert got == {"a": (8, 3, 4, 0.375), "b": (0, 0, 0, 1.0)}
+
+
+def test_triage_is_sorted(spark):
+    rows = [("r2", "ok"), ("r1", "FAILED_QC"), ("r1", "ok"), ("r1", "ok"), ("r2", "x failed")]
+    docking = spark.createDataFrame([(run, status, None, 2.0) for run, status in rows], "run string, status string, interpretation string, delta_delta_g double")
+    edges = spark.createDataFrame([("a:A1V", "b:A1V", 2, 3.5)], "Node_1 string, Node_2 string, Frequency long, Composite_Network_Score double")
+    got = [tuple(r) for r in structures.run_summary(edges, docking)["triage"].collect()]
+    failed = "FAILED_QC_or_DockingFailed"
+    assert got == [("r1", "Shift_or_Other", 2), ("r1", failed, 1), ("r2", failed, 1), ("r2", "Shift_or_Other", 1)]
