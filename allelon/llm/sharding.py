@@ -8,11 +8,12 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from allelon.llm.common import store
+from allelon.llm.common import hidden, shown
+from allelon.storage import store
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -64,7 +65,7 @@ def communication_matrix(sizes: list[int], n_shards: int, seed: int) -> np.ndarr
     return out
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _labels(seed: int, home: int, counts: tuple[int, ...]) -> np.ndarray:
     """The shard of each row of a home partition, in a random order that (seed, home) fix."""
     labels = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
@@ -72,68 +73,86 @@ def _labels(seed: int, home: int, counts: tuple[int, ...]) -> np.ndarray:
     return labels
 
 
-def shard_shuffle(df: DataFrame, n_shards: int = 8, seed: int = 42, home_rows: int = 1 << 17, block_rows: int = 1 << 14) -> DataFrame:
+def _task_keys(spark: SparkSession, tasks: int) -> list[int]:
+    """A number for each task that Spark's hash partitioning into ``tasks`` sends there."""
+    draws = spark.range(math.ceil(tasks * (math.log(tasks) + 10))).select("id", F.pmod(F.hash("id"), F.lit(tasks)).alias("task"))
+    found = {r["task"]: r["id"] for r in draws.groupBy("task").agg(F.min("id").alias("id")).collect()}  # a row for each task
+    return [found.get(t, t) for t in range(tasks)]
+
+
+#: Cells of the matrix (home, shard) and blocks (shard, part of it) that the driver holds and sends out: 32 MB and some 20 MB at most.
+MOST_CELLS, MOST_HOMES, MOST_BLOCKS, MOST_SHARDS = 4_000_000, 500_000, 100_000, 4096
+
+
+def shard_shuffle(df: DataFrame, n_shards: int = 8, seed: int = 42, home_rows: int = 1 << 17, block_bytes: int = 1 << 23) -> DataFrame:
     """All rows and columns of ``df`` plus shard (int) and slot (long, gapless from 0 in each shard).
 
     Home partitions are runs of ``home_rows`` rows of a file, named by Parquet's own row positions, so a
     task that is run again gives every row the same place. A table that isn't read straight from Parquet
-    is stored first. Three passes: row counts of the homes (no data columns), row counts of the
-    blocks of each shard (no data columns), then one exchange of the whole rows. The
-    driver holds a count for each (home, shard) and for each (shard, block); the homes and the blocks grow
-    with more than half a million of either, so both stay below some 20 MB.
+    is stored first, and so is one of very many files. Three passes: row counts of the homes (no data columns), row counts of the
+    blocks of each shard (no data columns), then one exchange of the whole rows, in which a task gets one block of about
+    ``block_bytes`` of the files' bytes.
+
+    The driver holds a count for each (home, shard), MOST_CELLS and MOST_HOMES at most (homes have more rows in larger tables), and for
+    each (shard, block), MOST_BLOCKS at most, or one for each shard (blocks have more bytes in larger tables). From 1 to MOST_SHARDS shards.
 
     Repeated rows, nulls and long texts are rows like any other; an empty table gives an empty result.
-    Columns named shard or slot are replaced.
+    Columns named shard or slot are replaced; all others keep their names and values.
     """
-    df = df.drop("shard", "slot")
+    if not 1 <= n_shards <= MOST_SHARDS:
+        raise ValueError(f"n_shards must be from 1 to {MOST_SHARDS}")
+    spark, df = df.sparkSession, df.drop("shard", "slot")
+    most_homes = min(MOST_HOMES, MOST_CELLS // n_shards)
+    place = {"__file": F.xxhash64("_metadata.file_path"), "__row": F.col("_metadata.row_index")}
     for attempt in range(2):
+        whole, total = False, 0
         try:
-            placed = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-            files = placed.groupBy("__file").agg(F.count("*").alias("n"), F.max("__row").alias("last"), F.min("__row").alias("first"))
-            total, whole, n_files = files.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.every((F.col("n") == F.col("last") + 1) & (F.col("first") == 0)), F.lit(True)), F.count("*")).first()
-        except AnalysisException:
+            if attempt or "_metadata" not in df.columns:
+                own = ["*"] if attempt else [F.col(f"`{c}`").alias(f"__in_{c}") for c in df.columns]
+                placed = df.select(*own, *(c.alias(n) for n, c in place.items()))
+                files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"), *(c.alias(n) for n, c in place.items()))
+                files = files.groupBy("path", "__file").agg(F.count("*").alias("n"), F.max("__row").alias("last"), F.min("__row").alias("first"), F.max("bytes").alias("bytes"))
+                straight = F.coalesce(F.every((F.col("n") == F.col("last") + 1) & (F.col("first") == 0)), F.lit(True)) & (F.count_distinct("__file") == F.count("*"))
+                total, size, whole, n_files = files.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0)), straight, F.count("*")).first()
+                whole = whole and n_files <= most_homes // 2
+        except AnalysisException:  # not a table of files
             whole = False
-        if whole and n_files <= 500_000:
+        if whole:
             break
         if attempt:
             raise ValueError("the stored table's rows can't be placed")
-        df = store(df, "shard-input")
-    home_rows = max(home_rows, math.ceil(total / 500_000))
+        df = store(hidden(df).coalesce(most_homes // 2), "shard-input")
+    home_rows = max(home_rows, math.ceil(total / (most_homes - most_homes // 2)))
     placed = placed.withColumn("__run", F.expr(f"__row div {home_rows}"))
     homes = placed.groupBy("__file", "__run").count().orderBy("__file", "__run").collect()
     matrix = communication_matrix([h["count"] for h in homes], n_shards, seed)
-    spark = df.sparkSession
-    home_df = spark.createDataFrame(
-        [(h["__file"], h["__run"], i, matrix[i].tolist()) for i, h in enumerate(homes)], "__file string, __run long, __home long, __counts array<long>"
-    )
+    shipped = spark.sparkContext.broadcast(matrix)
+    home_df = spark.createDataFrame([(h["__file"], h["__run"], i) for i, h in enumerate(homes)], "__file long, __run long, __home long")
 
     @F.pandas_udf(IntegerType())
-    def shard_of(home: pd.Series, at: pd.Series, counts: pd.Series) -> pd.Series:
+    def shard_of(home: pd.Series, at: pd.Series) -> pd.Series:
         out = np.empty(len(home), np.int32)
         h, a = home.to_numpy(), at.to_numpy()
         for one in np.unique(h):
             here = np.flatnonzero(h == one)
-            out[here] = _labels(seed, int(one), tuple(int(c) for c in counts.iloc[here[0]]))[a[here]]
+            out[here] = _labels(seed, int(one), tuple(shipped.value[one].tolist()))[a[here]]
         return pd.Series(out)
 
-    blocks = max(1, math.ceil(total / n_shards / max(block_rows, total / 500_000)))
-    # At most 500,000 homes: see above.
+    blocks = max(1, min(math.ceil(size / block_bytes / n_shards), MOST_BLOCKS // n_shards))
     dealt = (
-        placed.join(F.broadcast(home_df), ["__file", "__run"])
+        placed.join(F.broadcast(home_df), ["__file", "__run"])  # at most MOST_HOMES rows of three numbers
         .withColumn("__at", F.col("__row") % home_rows)
-        .withColumn("shard", shard_of("__home", "__at", "__counts"))
+        .withColumn("shard", shard_of("__home", "__at"))
         .withColumn("__r", F.xxhash64(F.lit(seed), "__home", "__at"))
         .withColumn("__block", F.shiftright(F.shiftrightunsigned("__r", 33) * F.lit(blocks), 31).cast("int"))
     )
     starts, at = [], {}
+    tasks = blocks * n_shards
+    keys = _task_keys(spark, tasks)
     for r in dealt.groupBy("shard", "__block").count().orderBy("shard", "__block").collect():
-        starts.append((r["shard"], r["__block"], at.get(r["shard"], 0)))
+        starts.append((r["shard"], r["__block"], at.get(r["shard"], 0), keys[r["shard"] * blocks + r["__block"]]))
         at[r["shard"]] = at.get(r["shard"], 0) + r["count"]
-    # At most 500,000 blocks and one more for each shard.
-    start_df = F.broadcast(spark.createDataFrame(starts, "shard int, __block int, __start long"))
-    within = Window.partitionBy("shard", "__block").orderBy("__r", "__home", "__at")
-    return (
-        dealt.withColumn("__rank", F.row_number().over(within))
-        .join(start_df, ["shard", "__block"])
-        .select(*df.columns, "shard", (F.col("__start") + F.col("__rank") - 1).alias("slot"))
-    )
+    start_df = F.broadcast(spark.createDataFrame(starts, "shard int, __block int, __start long, __task long"))  # a row for each task
+    within = Window.partitionBy("__task", "shard", "__block").orderBy("__r", "__home", "__at")
+    found = dealt.join(start_df, ["shard", "__block"]).repartition(tasks, "__task").withColumn("__rank", F.row_number().over(within))
+    return shown(found.withColumn("slot", F.col("__start") + F.col("__rank") - 1), "shard", "slot")
