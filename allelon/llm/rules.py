@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from allelon.llm.common import store, texts_of
-from allelon.llm.wordcount import word_counts
+from allelon.llm.common import hidden, parts, shown, texts_of
+from allelon.llm.wordcount import LONG_WORD, word_counts
+from allelon.storage import store
 
 SYMBOLS = "#*$%&|<>"
 N_CLASSES = 8
@@ -77,35 +79,122 @@ def base_counts(text: str) -> tuple[int, int, int, int, int, dict[bytes, int], n
     return len(words), len(text) - spaces, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(ids), known, ids
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = 50) -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]:
-    """lang -> (class histogram, its ``common`` most frequent words, their counts and that of all others), over all documents.
+#: What a row of ``_language_counts`` is about, besides character classes from 0 on.
+_TOTAL, _WORD = -1, -2
 
-    Documents without a language count for none. What comes to the driver is a few numbers for each language.
+
+def _language_counts(docs: DataFrame, top: int, most: int) -> DataFrame:
+    """(lang, k, word, n, bound) summed over all texts (lang, text): characters of class k, all words (_TOTAL), and frequent words (_WORD).
+
+    A task counts all words in units of about ``most`` different ones. Of a unit only the ``top`` most frequent words are passed on; its
+    bound is the largest count of those left out. So a word occurs at least n times, and at most n times plus the bounds of the units that
+    left it out: the sum of all bounds (on the row of _TOTAL) less those of the units that passed it on (on its own row).
     """
-    named = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    schema = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("bound", pa.int64())])
 
-    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
-                found[lang] = found.get(lang, 0) + class_histogram(text.encode())
-        for lang, h in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * N_CLASSES), pa.array(range(N_CLASSES), pa.int32()), pa.array(h, pa.int64())], schema=schema)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[Counter, np.ndarray]] = {}
+
+        def rows(lang: str, k: list, words: list, n: list, bound: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([lang] * len(k), k, words, n, bound), schema.types, strict=True)], schema=schema)
+
+        def out(lang: str, c: Counter, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
+            ranked = c.most_common(top + 1)
+            bound = ranked.pop()[1] if len(ranked) > top else 0
+            yield rows(lang, [*range(N_CLASSES), _TOTAL], [None] * (N_CLASSES + 1), [*classes.tolist(), c.total()], [0] * N_CLASSES + [bound])
+            if ranked:
+                words, n = zip(*ranked, strict=True)
+                yield rows(lang, [_WORD] * len(n), list(words), list(n), [bound] * len(n))
 
+        for batch in parts(batches):
+            for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch, "text"), strict=True):
+                data = text.encode()
+                words = data.split()  # bytes: ASCII white space only
+                c, classes = held.setdefault(lang, (Counter(), np.zeros(N_CLASSES, np.int64)))
+                c.update(words)
+                classes += class_histogram(data)
+                if words and max(map(len, words)) > LONG_WORD:  # not held, so that what a task holds is bounded in bytes
+                    yield from out(lang, Counter({w: c.pop(w) for w in {w for w in words if len(w) > LONG_WORD}}), np.zeros(N_CLASSES, np.int64))
+            if sum(len(c) for c, _ in held.values()) > most:
+                for lang, own in held.items():
+                    yield from out(lang, *own)
+                held.clear()
+        for lang, own in held.items():
+            yield from out(lang, *own)
+
+    found = docs.mapInArrow(count, "lang string, k int, word binary, n long, bound long")
+    return found.groupBy("lang", "k", "word").agg(F.sum("n").alias("n"), F.sum("bound").alias("bound"))
+
+
+def _top(words: DataFrame, common: int) -> DataFrame:
+    """The ``common`` most frequent words of each language of (lang, word, n, ...), with their rank k; ties go to the word that sorts first.
+
+    Only words whose count reaches a level are ranked: a histogram of counts in sixteenths of an octave gives the
+    level of each language above which there are enough, so that few rows of a language meet in a task.
+    """
+    level, found = F.floor(F.log2("n") * 16).cast("int"), {}
+    for r in words.groupBy("lang", level.alias("level")).count().collect():  # a thousand levels of a language at most
+        found.setdefault(r["lang"], []).append((r["level"], r["count"]))
+    bounds = []
+    for lang, levels in found.items():
+        total = 0
+        for bound, n in sorted(levels, reverse=True):
+            total += n
+            if total >= common:
+                break
+        bounds.append((lang, bound))
+    small = F.broadcast(words.sparkSession.createDataFrame(bounds, "lang string, __bound int"))  # a row for each language
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    return words.join(small, "lang").where(level >= F.col("__bound")).drop("__bound").withColumn("k", rank).where(F.col("k") <= common)
+
+
+def language_references(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = 50, top: int = 2000, most: int = 300_000, max_languages: int = 256, most_candidates: int = 10_000
+) -> dict[str, tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """lang -> (class histogram, its ``common`` most frequent words, their counts and that of all others), exact over all documents.
+
+    Documents without a language count for none; ``max_languages`` languages have a reference, those with the most words. Only words that
+    are frequent in a part of the corpus are shuffled (``_language_counts``); those whose bounds reach the last common word's count
+    are the candidates. The candidates of a language are counted once more if any isn't counted exactly, and all its words if there are
+    more than ``most_candidates`` or if the bounds leave room for a word that no part passed on. Ties go to the word that sorts first.
+    """
+    named = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     own = named.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    hist: dict[str, np.ndarray] = {}
-    for r in own.mapInArrow(classes, "lang string, k int, n long").groupBy("lang", "k").agg(F.sum("n").alias("n")).collect():
-        hist.setdefault(r["lang"], np.zeros(N_CLASSES))[r["k"]] = r["n"]
-    counted = word_counts(own, lambda t: [w.decode() for w in t.encode().split()], "text", "lang")
-    words: dict[str, tuple[list, list]] = {}
-    counted = store(counted, "words-by-language")
-    ranked = counted.withColumn("k", F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("n"), "word"))).where(F.col("k") <= common)
-    totals = {r["grp"]: r["total"] for r in counted.groupBy("grp").agg(F.sum("n").alias("total")).collect()}
-    for r in ranked.orderBy("grp", "k").collect():
-        words.setdefault(r["grp"], ([], []))[0].append(r["word"].encode())
-        words[r["grp"]][1].append(r["n"])
-    return {g: (hist[g], w, np.array([*n, totals[g] - sum(n)], float)) for g, (w, n) in sorted(words.items())}
+    counted = store(_language_counts(own, top, most), "language-counts")
+    totals = {r["lang"]: r for r in counted.where(F.col("k") == _TOTAL).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    if not totals:
+        return {}
+    spark = docs.sparkSession
+    hist: dict[str, np.ndarray] = {g: np.zeros(N_CLASSES) for g in totals}
+    bounds = F.broadcast(spark.createDataFrame([(g, r["bound"]) for g, r in totals.items()], "lang string, all_bounds long"))  # max_languages rows
+    for r in counted.where("k >= 0").join(bounds, "lang", "left_semi").collect():
+        hist[r["lang"]][r["k"]] = r["n"]
+    words = counted.where(F.col("k") == _WORD).join(bounds, "lang").select("lang", "word", "n", (F.col("n") + F.col("all_bounds") - F.col("bound")).alias("upper"))
+    least = _top(words, common).groupBy("lang").agg(F.min("n").alias("least"), F.count("*").alias("size"))
+    # A word that no unit passed on can't reach the least count unless the bounds together do.
+    ends = {r["lang"]: (r["least"] if r["size"] == common else 1) for r in least.collect()}
+    least = F.broadcast(spark.createDataFrame([(g, ends.get(g, 1)) for g in totals], "lang string, least long"))
+    near = words.join(least, "lang").where("upper >= least")
+    exact = near.select("lang", "word", "n")
+    split = lambda t: [w.decode() for w in t.encode().split()]
+    again = sorted({g for g, r in totals.items() if r["bound"] >= ends.get(g, 1)})  # in these, a word that no unit passed on may be common
+    unsure = near.where("upper > n").select("lang").distinct()
+    if some := sorted({r["lang"] for r in unsure.collect()} - {*again}):
+        found = near.where(F.col("lang").isin(some)).select("word").distinct().limit(most_candidates + 1).collect()
+        if len(found) > most_candidates:
+            again = sorted({*again, *some})
+        else:
+            wanted = {bytes(r["word"]).decode() for r in found}
+            counts = word_counts(own.where(F.col("lang").isin(some)), lambda t: [w for w in split(t) if w in wanted], "text", "lang")
+            exact = exact.where(~F.col("lang").isin(some)).unionByName(counts.select(F.col("grp").alias("lang"), F.col("word").cast("binary").alias("word"), "n"))
+    if again:
+        counts = word_counts(own.where(F.col("lang").isin(again)), split, "text", "lang")
+        exact = exact.where(~F.col("lang").isin(again)).unionByName(counts.select(F.col("grp").alias("lang"), F.col("word").cast("binary").alias("word"), "n"))
+    best: dict[str, tuple[list, list]] = {g: ([], []) for g in totals}
+    for r in _top(store(exact, "common-words"), common).orderBy("lang", "k").collect():
+        best[r["lang"]][0].append(bytes(r["word"]))
+        best[r["lang"]][1].append(r["n"])
+    return {g: (hist[g], w, np.array([*n, totals[g]["n"] - sum(n)], float)) for g, (w, n) in sorted(best.items())}
 
 
 def divergences(data: bytes, known: dict[bytes, int], ids: np.ndarray, references: dict) -> tuple[float, float]:
@@ -133,23 +222,26 @@ def quality_rules(
     others, one with at least ``class_words`` words is rejected if its character classes lie more than ``class_limit``
     from its closest language, one with at least ``common_words`` words also if its common words lie more than ``word_limit`` from it;
     shorter ones are left to the other rules. Null and empty texts have no words and fail; without any
-    language the distances are 0.
+    language the distances are 0. Of languages equally close by common words, that with the closer classes counts. Equal texts have
+    equal verdicts, repeated rows stay repeated, a null id stays null, texts of any length count whole. Other columns aren't read or
+    returned; an empty table gives an empty result.
     """
     references = language_references(docs, text_col, lang_col, common)
-    return _judged(docs.select(F.col(id_col).cast("long").alias(id_col), text_col), references, text_col, **(LIMITS | limits)).drop(text_col)
+    own = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
+    return _judged(own, references, "__text", False, **(LIMITS | limits)).withColumnRenamed("__id", id_col)
 
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _judged(docs: DataFrame, references: dict, text_col: str, class_limit: float, word_limit: float, class_words: int, common_words: int) -> DataFrame:
-    """All columns of ``docs`` plus the counts, distances and verdicts, of which equally named columns are replaced."""
+def _judged(docs: DataFrame, references: dict, text_col: str, keep_text: bool, class_limit: float, word_limit: float, class_words: int, common_words: int) -> DataFrame:
+    """The columns of ``docs``, without the text unless ``keep_text``, plus the counts, distances and verdicts."""
     types = [*((c, "long") for c in _COUNTS), ("base_failed", "boolean"), ("class_distance", "double"), ("word_distance", "double"), ("kept", "boolean")]
     arrow = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}
-    docs = docs.drop(*(c for c, _ in types))
+    names = [c for c in docs.columns if c != text_col or keep_text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, text_col):
             rows = []
             for text in texts_of(batch, text_col):
                 n, chars, symbols, lines, repeats, known, ids = base_counts(text)
@@ -157,19 +249,20 @@ def _judged(docs: DataFrame, references: dict, text_col: str, class_limit: float
                 far, odd = divergences(text.encode(), known, ids, references)
                 bad = (n >= class_words and far > class_limit) or (n >= common_words and odd > word_limit)
                 rows.append((n, chars, symbols, lines, repeats, failed, far, odd, not failed and not bad))
-            if rows:
-                found = [pa.array(c, arrow[t]) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=[*batch.schema.names, *(c for c, _ in types)])
+            found = [pa.array(c, arrow[t]) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)]
+            own = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            yield pa.RecordBatch.from_arrays([*own, *found], names=[*names, *(c for c, _ in types)])
 
-    out = StructType(list(docs.schema.fields))
+    out = StructType([docs.schema[c] for c in names])
     for c, t in types:
         out = out.add(c, t)
     return docs.mapInArrow(run, out)
 
 
 def keep_by_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **limits: float) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns."""
+    """The rows of ``docs`` that the rules of ``quality_rules`` keep, with all their own columns, whatever their names.
+
+    A row is judged by its text alone, so repeated rows stay or go together; an empty table stays empty.
+    """
     references = language_references(docs, text_col, lang_col)
-    named = docs.select(*(F.col(c).alias(f"__in_{c}") for c in docs.columns))  # no clash with the verdict's columns
-    found = _judged(named, references, f"__in_{text_col}", **(LIMITS | limits))
-    return found.where("kept").select(*(F.col(f"__in_{c}").alias(c) for c in docs.columns))
+    return shown(_judged(hidden(docs), references, f"__in_{text_col}", True, **(LIMITS | limits)).where("kept"))
