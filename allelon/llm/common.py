@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,10 +10,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelon.storage import store  # noqa: F401
-
 #: An Arrow batch is worked on in parts of about so many bytes of text.
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
+
+
+#: What a Python worker keeps between tasks: one model or table, so that a stage's memory is free in the next.
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]):
+    """``make()``, made once in a Python worker for as long as no other key is asked for."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from allelon.llm.common import crc_fold, hidden, parts, shown, texts_of
+from allelon.llm.common import crc_fold, hidden, kept, parts, shown, texts_of
 from allelon.llm.wordcount import word_counts
 from allelon.storage import store
 
@@ -325,10 +325,6 @@ class WordScores:
         return found
 
 
-#: The scorer of the last model, kept by a Python worker between tasks.
-_SCORERS: dict[str, WordScores] = {}
-
-
 def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) plus lang_pred and score, which replace equally named ones.
 
@@ -341,12 +337,13 @@ def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", keep: tupl
     names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _SCORERS:
-            _SCORERS.clear()
+        def scorer() -> WordScores:
             pieces, p, languages = shipped.value
-            _SCORERS[name] = WordScores(Unigrams(pieces, p.astype(float), languages))
+            return WordScores(Unigrams(pieces, p.astype(float), languages))
+
+        own_scores = kept(("language", name), scorer)
         for batch in parts(batches, text_col):
-            found = _SCORERS[name].score(texts_of(batch, text_col))
+            found = own_scores.score(texts_of(batch, text_col))
             own = [batch.column(batch.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays([*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=[*names, "lang_pred", "score"])

@@ -24,8 +24,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import parts, texts_of
-from allelon.llm.tokens import KEPT_LETTERS, byte_letters, library_encoder
+from allelon.llm.common import kept, parts, texts_of
+from allelon.llm.tokens import KEPT_LETTERS, WordTable, byte_letters, library_encoder
 from allelon.llm.wordcount import word_counts
 from allelon.storage import shared_dir, store
 
@@ -81,11 +81,20 @@ class WordBpe:
         self.pair_keys, self.pair_ranks = self._pair_table()
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
-    def pieces(self, word: str) -> list[bytes]:
-        """The parts of a word that are merged apart, in UTF-8."""
-        if word.isascii():
-            return [p.encode() for p in self.piece.findall(word)]
-        return [bytes(map(self.byte.__getitem__, p)) for p, _ in self.splitter.pre_tokenize_str(self.normaliser.normalize_str(word))]
+    def pieces(self, words: list[str], together: int = 512) -> list[list[bytes]]:
+        """The parts of each word that are merged apart, in UTF-8; other than ASCII words go to the library ``together`` at a time."""
+        out = [[p.encode() for p in self.piece.findall(w)] if w.isascii() else [] for w in words]
+        rest = [i for i, w in enumerate(words) if not w.isascii()]
+        for at in range(0, len(rest), together):
+            part = rest[at : at + together]
+            text = self.normaliser.normalize_str(" ".join(words[i] for i in part))
+            ends = np.cumsum([len(w) + 1 for w in text.split(" ")]).tolist()
+            k = 0
+            for piece, (start, _) in self.splitter.pre_tokenize_str(text):
+                while start >= ends[k]:
+                    k += 1
+                out[part[k]].append(bytes(map(self.byte.__getitem__, piece)))
+        return out
 
     def merge_piece(self, data: bytes) -> list[int]:
         """Token ids of one piece: the pair of lowest rank is merged, leftmost first, until none is left."""
@@ -130,7 +139,7 @@ class WordBpe:
     def merge_word(self, word: str) -> list[int]:
         """Token ids of a word without white space."""
         out: list[int] = []
-        for piece in self.pieces(word):
+        for piece in self.pieces([word])[0]:
             out += self.merge_piece(piece)
         return out
 
@@ -179,7 +188,7 @@ class WordBpe:
 
     def merge_words(self, words: list[str], together: int = 4096) -> list[bytes]:
         """Ids of many words, each as little-endian 32-bit integers; pieces of like lengths are merged together."""
-        split = [self.pieces(w) for w in words]
+        split = self.pieces(words)
         flat = [p for own in split for p in own]
         order = sorted(range(len(flat)), key=lambda i: len(flat[i]))
         found: list[bytes] = [b""] * len(flat)
@@ -309,28 +318,20 @@ class Codec:
     Long words are held for the texts at hand only, so that the table is bounded in bytes.
     """
 
-    def __init__(self, lexicon: Lexicon | None, bpe: WordBpe, most: int = 300_000):
-        self.lexicon, self.bpe, self.most = lexicon, bpe, most
+    def __init__(self, lexicon: Lexicon | None, bpe: WordBpe, most: int = 600_000):
+        self.lexicon, self.bpe = lexicon, bpe
         #: A special string's key has a blank before it, which no word has.
         self.special = {" " + s: struct.pack("<I", i) for s, i in bpe.special.items()}
-        self.held = dict(self.special)
-        self.long: list[str] = []
+        self.table = WordTable(self._make, most, KEPT_LETTERS, self.special)
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        found = self.lexicon.lookup(words) if self.lexicon else [None] * len(words)
+        unseen = iter(self.bpe.merge_words([w for w, ids in zip(words, found, strict=True) if ids is None]))
+        return [next(unseen) if ids is None else ids for ids in found]
 
     def fill(self, words: set[str]) -> dict[str, bytes]:
         """The table, with all of ``words`` in it."""
-        for w in self.long:
-            del self.held[w]
-        new = [w for w in words if w not in self.held]
-        self.long = [w for w in new if len(w) > KEPT_LETTERS]
-        if len(self.held) + len(new) > self.most:
-            self.held = self.special | {w: self.held[w] for w in words if w in self.held}
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            found = self.lexicon.lookup(part) if self.lexicon else [None] * len(part)
-            unseen = [w for w, ids in zip(part, found, strict=True) if ids is None]
-            self.held.update(zip(part, found, strict=True))
-            self.held.update(zip(unseen, self.bpe.merge_words(unseen), strict=True))
-        return self.held
+        return self.table.fill(words)
 
     def words(self, text: str) -> list[str]:
         """The table's keys for a whole text, in order."""
@@ -383,17 +384,6 @@ def ship_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", m
     return name
 
 
-#: The codec of the last lexicon, kept by a Python worker between tasks.
-_CODEC: dict[tuple[str, str], Codec] = {}
-
-
-def _codec(name: str, tokenizer_path: str) -> Codec:
-    if (name, tokenizer_path) not in _CODEC:
-        _CODEC.clear()
-        _CODEC[name, tokenizer_path] = Codec(Lexicon(SparkFiles.get(name)), WordBpe(tokenizer_path))
-    return _CODEC[name, tokenizer_path]
-
-
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 65_536) -> DataFrame:
     """(id, ids binary, decoded string) for each row: the ids of the whole text and the text decoded from them.
 
@@ -404,7 +394,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     schema = pa.schema([("id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(name, tokenizer_path)
+        codec = kept(("codec", name, tokenizer_path), lambda: Codec(Lexicon(SparkFiles.get(name)), WordBpe(tokenizer_path)))
         for batch in parts(batches):  # so that few ids and decoded texts are held at once
             ids = codec.encode_all(texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.string())], schema=schema)

@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import parts, texts_of
-from allelon.llm.tokens import ByteIds, kept
+from allelon.llm.common import kept, parts, texts_of
+from allelon.llm.tokens import ByteIds
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _ARROW = pa.schema(
@@ -109,7 +109,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_ids, used = kept(ByteIds, tokenizer_path), TaskContext.get().partitionId() << 40
+        own_ids, used = kept(("bytes", tokenizer_path), lambda: ByteIds(tokenizer_path)), TaskContext.get().partitionId() << 40
         end = end_id.to_bytes(4, "little")
         own, held, tokens = [], [], 0
 

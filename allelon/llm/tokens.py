@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from allelon.llm.common import by_bytes, parts, texts_of
+from allelon.llm.common import by_bytes, kept, parts, texts_of
 
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _ASCII_SPACE = re.compile("[ \t\n\x0b\x0c\r]+")
@@ -55,19 +55,26 @@ def safe_parts(text: str, size: int = LONG) -> Iterator[str]:
 
 
 class WordTable:
-    """word -> what ``make`` gives for it, over at most about ``most`` short words and the long ones of the last call."""
+    """word -> what ``make`` gives for it, over at most about ``most`` words of up to ``letters`` letters, and the longer ones of the last call.
 
-    def __init__(self, make: Callable[[list[str]], list], most: int = 300_000, batch_bytes: int = 1 << 16):
-        self.make, self.most, self.batch_bytes, self.held, self.long = make, most, batch_bytes, {}, []
+    There are two generations: when the young one is half of ``most``, it becomes the old one, from which words that occur again come back.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list], most: int = 600_000, letters: int = KEPT_LETTERS, always: dict | None = None, batch_bytes: int = 1 << 17):
+        self.make, self.most, self.letters, self.always, self.batch_bytes = make, most, letters, always or {}, batch_bytes
+        self.held, self.old, self.long = dict(self.always), {}, []
 
     def fill(self, words: set[str]) -> dict:
-        """The table, with all of ``words`` in it."""
+        """The young generation, with all of ``words`` in it."""
         for w in self.long:
             del self.held[w]
         new = [w for w in words if w not in self.held]
-        self.long = [w for w in new if len(w) > KEPT_LETTERS]
-        if len(self.held) + len(new) > self.most:
-            self.held = {w: self.held[w] for w in words if w in self.held}
+        if len(self.held) + len(new) > self.most // 2:
+            self.old, self.held = self.held, self.always | {w: self.held[w] for w in words if w in self.held}
+        old = self.old
+        self.held.update((w, old[w]) for w in new if w in old)
+        new = [w for w in new if w not in old]
+        self.long = [w for w in new if len(w) > self.letters]
         for part in by_bytes(new, self.batch_bytes):
             self.held.update(zip(part, self.make(part), strict=True))
         return self.held
@@ -85,7 +92,7 @@ def library_encoder(path: str):
     return own
 
 
-def length_table(path: str, most: int = 300_000) -> WordTable:
+def length_table(path: str, most: int = 600_000) -> WordTable:
     own = library_encoder(path)
     return WordTable(lambda part: [len(e) for e in own.encode_batch_fast(part, add_special_tokens=False)], most)
 
@@ -118,18 +125,6 @@ class ByteIds:
         return self.fast.encode_to_numpy(text, disallowed_special=()).tobytes()
 
 
-#: What a Python worker keeps between tasks.
-_KEPT: dict[tuple, object] = {}
-
-
-def kept(make: Callable, path: str):
-    """``make(path)``, made once in a Python worker."""
-    if (make.__name__, path) not in _KEPT:
-        _KEPT.clear()
-        _KEPT[make.__name__, path] = make(path)
-    return _KEPT[make.__name__, path]
-
-
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) for each row, by a tokenizer file that drops white space; only lengths leave the Arrow function.
 
@@ -139,7 +134,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = kept(length_table, tokenizer_path)
+        table = kept(("lengths", tokenizer_path), lambda: length_table(tokenizer_path))
         for batch in parts(batches):
             split = []
             for text in texts_of(batch, "text"):
