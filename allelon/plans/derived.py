@@ -89,7 +89,7 @@ def changed_proteins(spark: SparkSession, sf: str) -> DataFrame:
     rows = docs.withColumn("item_id", F.expr("contig_ord % n")).join(items, "item_id").selectExpr(
         "contig_ord AS doc_id", "gene", "ref", "own", "length(ref) AS l", "length(own) AS m", "length(ref) div 6 + 1 AS p1",
             "length(ref) div 3 + 1 AS p2", "2 * length(ref) div 3 AS g",
-        "coalesce(nullif(substring(own, -1, 1), ''), 'W') AS a1", "coalesce(nullif(substring(own, length(own) - 1, 1), ''), 'W') AS a2", "contig_ord % 11 = 10 AS other",
+        "coalesce(nullif(substring(own, -1, 1), ''), 'W') AS a1", "CASE WHEN length(own) > 1 THEN substring(own, -2, 1) ELSE 'W' END AS a2", "contig_ord % 11 = 10 AS other",
     ).selectExpr(
         "*", "CASE WHEN l >= 60 AND doc_id % 3 = 1 THEN 4 ELSE 0 END AS lost", "CASE WHEN l >= 60 AND doc_id % 3 = 2 THEN substring(own, m div 2 + 1, 5) ELSE '' END AS more",
     )
