@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelon.llm import langid, lexicon, packing, quality, rules, sharding, simhash, tokens, topk, warc
+from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, warc
 from allelon.llm.common import crc_fold, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -80,9 +80,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.drop_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash)
+    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash, op11_line_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -104,5 +109,14 @@ near AS (
          row_number() OVER (PARTITION BY q.vec_id ORDER BY bit_count(xor(q.code, c.code)), c.vec_id) AS rank
   FROM codes q JOIN codes c ON q.vec_id % 50 = 0)
 SELECT query_id, cast(rank AS int) AS rank, vec_id, distance FROM near WHERE rank <= 10
+""",
+    "op11_line_dedup": """
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, c.owner IS NOT NULL AND c.owner <> k.doc_id AS lost FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM m GROUP BY doc_id
 """,
 }
