@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, warc
+from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, trie, warc
 from allelon.llm.common import crc_fold, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -85,9 +85,13 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash, op11_line_dedup)
+    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash, op11_line_dedup, op12_prefix_trie)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,5 +122,27 @@ m AS (SELECT k.*, c.owner IS NOT NULL AND c.owner <> k.doc_id AS lost FROM k LEF
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM m GROUP BY doc_id
+""",
+    # DuckDB has no crc32, so its table is built here; a path is the digests of its turns one after the other.
+    "op12_prefix_trie": r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS table8),
+ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id AS varchar), ''), lambda s: cast(ascii(s) AS bigint))),
+    lambda c, x: xor(table8[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 4 AS h FROM ids, crc),
+own AS (SELECT conv_id, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k FROM conversations WHERE conv_id IS NOT NULL),
+built AS (SELECT h.conv_id, digest, words, k FROM h JOIN own ON own.conv_id = h.conv_id - h.conv_id % 20 AND k <= h
+    UNION ALL SELECT h.conv_id, digest, words, k FROM h JOIN own ON own.conv_id = h.conv_id AND k > h),
+prefixes AS (SELECT conv_id, words, string_agg(digest, '') OVER w AS path, row_number() OVER w AS depth, count(*) OVER (PARTITION BY conv_id) AS turns FROM built
+    WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT conv_id, 0, '', 0, (SELECT count(*) FROM built b WHERE b.conv_id = ids.conv_id) FROM ids),
+node AS (SELECT path, max(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS saved,
+    sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (depth = turns), '')) AS ends_sha256 FROM prefixes GROUP BY path),
+kids AS (SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (path)),
+below AS (SELECT left(path, 64 * up) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM full_node) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, cast(saved_tokens AS bigint) AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN below USING (path) LEFT JOIN node p ON n.depth > 0 AND p.path = left(n.path, 64 * (n.depth - 1))
 """,
 }
