@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, trie, warc
+from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, trie, warc, whitening
 from allelon.llm.common import crc_fold, read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -89,9 +89,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop("embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash, op11_line_dedup, op12_prefix_trie)
+    for f in (op1_warc, op2_sharding, op3_bpe_codec, op4_language_id, op5_quality_classifier, op6_token_counts, op7_topk_search, op8_packing, op9_quality_rules, op10_simhash, op11_line_dedup, op12_prefix_trie, op13_whitening)
 }
 
 ORACLE_SQL: dict[str, str] = {
