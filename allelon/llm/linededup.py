@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allelon.llm.common import hidden, shown
-from allelon.storage import discard, new_path, store
+from allelon.storage import discard_path, new_path, store
 
 #: ASCII white space, a fixed value, and the letters whose case is ignored.
 BLANKS, UPPER, LOWER = " \t\n\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,15 +57,17 @@ class LineRuns:
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _write(self, keys: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        keys.write.bucketBy(self.buckets, *HASHES).sortBy(*HASHES).option("path", new_path(self.spark, name)).saveAsTable(name)
+        self.paths[name] = new_path(self.spark, name)
+        keys.write.bucketBy(self.buckets, *HASHES).sortBy(*HASHES).option("path", self.paths[name]).saveAsTable(name)
         return name
 
     def _drop(self, name: str) -> None:
-        discard(self.spark.table(name))
         self.spark.sql(f"DROP TABLE {name}")
+        discard_path(self.spark, self.paths.pop(name))
 
     def runs(self) -> list[str]:
         return [r for level in self.levels for r in level]
@@ -99,7 +101,8 @@ class LineRuns:
             self._put(merged, level + 1)
 
     def _merged(self, runs: list[str]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, (self.spark.table(r) for r in runs))
+        # Read as plain files: Spark 4.1 takes a union of bucketed tables as bucketed, but then may read them without their buckets.
+        rows = self.spark.read.schema(self.spark.table(runs[0]).schema).parquet(*(self.paths[r] for r in runs))
         return rows.groupBy(*HASHES).agg(F.sum("docs").alias("docs"), F.max("owner").alias("owner"), F.max("owned").alias("owned"))
 
     def found(self, min_docs: int = 1) -> DataFrame:

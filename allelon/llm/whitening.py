@@ -271,7 +271,7 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     whole = whole_vectors(vectors, id_col, vector_col, scale, shift)
     more = ["component", "n", "deviation", "whitened", "explained", "identity_error"]
     kinds = "component int, n long, deviation long, whitened double, explained double, identity_error double"
-    none = whole.select(*(c for c in whole.columns if c != "x"), *(F.lit(None).cast(k).alias(c) for c, k in (p.split(" ") for p in kinds.split(", "))))
+    none = whole.select(*(F.col(f"`{c}`") for c in whole.columns if c != "x"), *(F.lit(None).cast(k).alias(c) for c, k in (p.split(" ") for p in kinds.split(", "))))
     keep = lambda df: shown(df.drop(*(f"__in_{c}" for c in more)), *more)
     lengths = whole.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("d")).limit(1).collect()
     if not lengths:
@@ -318,8 +318,11 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
             new = [np.tile(np.arange(1, k + 1, dtype=np.int32), m), np.full(m * k, n), np.repeat((off * off).sum(1), k), ((off / n) @ to).reshape(-1),
                 np.tile(explained, m), np.full(m * k, error)]
             kept = [b.column(i).take(pa.array(times)) for i in range(at)]
-            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, f.type) for c, f in zip(new, plain, strict=True))], names=[*named, *more])
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(c, f.type) for c, f in zip(new, plain, strict=True))], names=[*short, *more])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema.fields if f.name in named)
-    out = whole.select(*named, "x").mapInArrow(project, f"{schema}, {kinds}")
+    # mapInArrow can't name columns with a dot, so they are numbered.
+    short = [f"c{i}" for i in range(at)]
+    schema = ", ".join(f"{s} {whole.schema[c].dataType.simpleString()}" for s, c in zip(short, named, strict=True))
+    out = whole.select(*(F.col(f"`{c}`").alias(s) for s, c in zip(short, named, strict=True)), "x").mapInArrow(project, f"{schema}, {kinds}")
+    out = out.select(*(F.col(s).alias(c) for s, c in zip(short, named, strict=True)), *more)
     return shown(out, *more)
