@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelon.functions.sequence import protein_table11, reverse_complement, subsequence, translate_dna, ungapped
-from allelon.operators.alignment import local_align, local_scores, most_scores
-from allelon.storage import store
+from allelon.functions.sequence import protein_table11, reverse_complement, subsequence, ungapped
+from allelon.operators.search import translated_search
+
+__all__ = ["best_hits", "extract_sequences", "extraction_stats", "filter_hits", "proteins_from_hits", "select_reference", "standardize_hits", "target_hits", "translated_search", "union_hits"]
 
 
 def filter_hits(hits: DataFrame, min_identity: float = 80.0, min_coverage: float = 80.0) -> DataFrame:
@@ -82,71 +79,3 @@ def extraction_stats(wanted: DataFrame, genome: str, value: str = "protein") ->
     """Extracted and failed genes of each genome, and whether all were found."""
     got = F.count(value)
     return wanted.groupBy(genome).agg(got.alias("extracted"), (F.count("*") - got).alias("failed"), (F.count("*") == got).alias("complete"))
-
-
-def six_frames(contigs: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """(keys, frame, protein) of whole contigs in all six frames; frames 3 to 5 are of the other strand."""
-    strand = lambda s, d: F.struct(F.lit(s).alias("s"), d.alias("d"))
-    strands = contigs.where(F.length(seq) > 0).select(*keys, F.explode(F.array(strand(0, F.col(seq)), strand(3, reverse_complement(F.col(seq))))).alias("x"))
-    frames = F.array(*(F.struct((F.col("x.s") + k).alias("frame"), translate_dna(F.col("x.d"), k).alias("protein")) for k in range(3)))
-    return strands.select(*keys, F.explode(frames).alias("f")).select(*keys, "f.frame", "f.protein")
-
-
-def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, k: int = 5, min_seeds: int = 2, broadcast_residues: int = 1 << 20) -> DataFrame:
-    """Best local alignment of each reference protein in each genome's six-frame translation, by k-mer seeds.
-
-    Seeds are an equi-join of k-mers with those of the references. Each protein with ``min_seeds`` seeds of a gene or more, on whatever
-    diagonals, is a candidate, and the best of all candidates of a genome and gene is found (BLOSUM62, gap 11 and 1) in Arrow batches: the
-    one with the highest bound is scored first, then all whose bound isn't below that score. Frames are aligned whole, so no match is cut.
-    A k-mer with an unknown residue (X) is no seed; the bound takes nothing off for it either, so it stays a bound. References of up to
-    ``broadcast_residues`` residues together are sent to the contigs; more are joined as any two tables.
-    """
-    # Overlapping k-mers in one pass over the text. Those with an X, which matches nothing well, are no seeds.
-    all_kmers = lambda c: F.posexplode(F.regexp_extract_all(c, F.lit(f"(?=(.{{{k}}}))"), F.lit(1)))
-    kmers = lambda df, *keep, seq, at: df.select(*keep, all_kmers(F.col(seq)).alias(at, "kmer")).where(~F.contains("kmer", F.lit("X")))
-    part = [*keys, "frame"]
-    residues = refs.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0))).first()[0]
-    sent = F.broadcast if residues <= broadcast_residues else (lambda df: df)
-    ref = refs.select("gene", F.col("seq").alias("ref"))
-    own = kmers(refs, "gene", seq="seq", at="rat").groupBy("kmer").agg(F.collect_list(F.struct("gene", "rat")).alias("own"))
-    seeds = kmers(six_frames(contigs, keys), *part, seq="protein", at="at").join(sent(own), "kmer")
-    votes = seeds.select(*part, F.explode("own").alias("o")).groupBy(*part, "o.gene").agg(F.count("*").alias("seeds"), F.collect_set("o.rat").alias("rats"))
-    chosen = votes.where(F.col("seeds") >= min_seeds).join(sent(ref), "gene").select(*part, "gene", "rats", "ref")
-    kinds = ", ".join(f"`{c}` {t}" for c, t in chosen.select(*part, "gene").dtypes)
-
-    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            most = np.zeros(len(pdf))
-            for r, rows in pdf.groupby("ref").indices.items():
-                most[rows] = most_scores(r, k, pdf["rats"].iloc[rows].tolist())
-            yield pdf[[*part, "gene"]].assign(most=most)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pairs = [(g["gene"], g["ref"], i) for i, own in enumerate(pdf["own"]) for g in own]
-            flat = pd.DataFrame(pairs, columns=["gene", "ref", "i"])
-            found = np.zeros(len(flat))
-            for r, rows in flat.groupby("ref").indices.items():
-                found[rows] = local_scores(r, pdf["protein"].iloc[flat["i"].iloc[rows]].tolist())
-            yield pdf[part].iloc[flat["i"]].reset_index(drop=True).assign(gene=flat["gene"], score=found)
-
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[*part, "gene", "score"]].assign(seq=[local_align(r, p)[1] for r, p in zip(pdf["ref"], pdf["protein"], strict=True)])
-
-    def with_proteins(rows: DataFrame) -> DataFrame:
-        """Only the contigs of these rows are translated."""
-        return rows.join(six_frames(contigs.join(rows.select(*keys).distinct(), keys, "left_semi"), keys), part)
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        own = pairs.select(*part, "gene").join(sent(ref), "gene").groupBy(*part).agg(F.collect_list(F.struct("gene", "ref")).alias("own"))
-        return with_proteins(own).select(*part, "own", "protein").mapInPandas(score, f"{kinds}, score double")
-
-    def best(rows: DataFrame, by: str) -> DataFrame:
-        order = F.struct((-F.col(by)).alias("__by"), *(c for c in part if c != genome))
-        return rows.groupBy(genome, "gene").agg(F.min(order).alias("__b")).select(genome, "gene", "__b.*").withColumn(by, -F.col("__by")).drop("__by")
-
-    bounds = store(chosen.mapInPandas(bound, f"{kinds}, most double"), "bounds")
-    least = scored(best(bounds, "most")).select(genome, "gene", F.col("score").alias("least"))
-    found = store(best(scored(bounds.join(least, [genome, "gene"]).where("most >= least")), "score"), "best")
-    return with_proteins(found).join(sent(ref), "gene").select(*part, "gene", "score", "ref", "protein").mapInPandas(align, f"{kinds}, score double, seq string")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from allelon.functions.sequence import translate_dna
+from allelon.functions.sequence import codons, reverse_complement, translate_dna
 
+#: Letters from the most frequent one, as residues from the most frequent one.
+LETTER_RESIDUES = ("etaoinshrdlucmfwygpbvkxjqz", "LAGVSEKTIDRPNQFYMHCWLAGVSE")
 RES, MUT = "ARNDCQEGHILKMFPSTWYV", "ARNDCQEGHILKMFPSTWYV*X"
 GENE = "CASE l_suppkey % 5 WHEN 0 THEN 'acrA' WHEN 1 THEN 'acrB' WHEN 2 THEN 'tolC' WHEN 3 THEN 'acrR' ELSE 'marR' END"
 CODE = f"concat(substr('{RES}', cast((l_partkey % 40) % 20 + 1 AS int), 1), cast(10 + l_partkey % 40 AS string), substr('{MUT}', cast(((l_partkey % 40) * 7 + 3) % 22 + 1 AS int), 1))"
@@ -52,6 +54,26 @@ def searched_proteins(spark: SparkSession, sf: str) -> DataFrame:
     return passages.unionByName(own).where("seq <> ''")
 
 
+def item_proteins(spark: SparkSession, sf: str) -> DataFrame:
+    """(item_id, gene, ref, dna): every benchmark passage of 20 letters or more, letter by letter as residues, and DNA that codes for it."""
+    back = {a: c for c, a in codons().items()}
+    codon = F.create_map(*(F.lit(x) for r in RES for x in (r, back[r])))
+    ref = F.translate(_letters(), *LETTER_RESIDUES)
+    rows = table(spark, sf, "benchmark").select("item_id", F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("gene"), ref.alias("ref")).where("length(ref) >= 20")
+    return rows.withColumn("dna", F.array_join(F.transform(F.regexp_extract_all("ref", F.lit("(.)"), F.lit(1)), lambda r: codon[r]), ""))
+
+
+def planted_contigs(spark: SparkSession, sf: str) -> DataFrame:
+    """The contigs of the documents, each with a passage's protein in its middle, on the other strand for odd ids."""
+    n = table(spark, sf, "benchmark").agg(F.count("*").alias("n"))  # one row
+    rows = contigs(spark, sf).select("genome_id", F.col("contig_ord").alias("doc_id"), "seq").join(F.broadcast(n)).withColumn("item_id", F.expr("doc_id % n"))
+    rows = rows.join(item_proteins(spark, sf), "item_id")
+    own = F.when(F.col("doc_id") % 2 == 1, reverse_complement(F.col("dna"))).otherwise(F.col("dna"))
+    half = F.expr("length(seq) div 2")
+    seq = F.concat(F.substring("seq", F.lit(1), half), own, F.substring("seq", half + 1, F.lit(2**31 - 1)))
+    return rows.select("genome_id", F.col("doc_id").cast("string").alias("contig_id"), "gene", seq.alias("seq"))
+
+
 def blast_hits(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey AS string) AS qseqid", f"{GENE} AS sseqid", "cast(75 + l_partkey % 25 AS double) AS pident", "cast(50 + l_quantity AS bigint) AS length",

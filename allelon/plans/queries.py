@@ -13,6 +13,7 @@ from allelon.functions.sequence import residue_positions, reverse_complement, tr
 from allelon.functions.text import clean_location
 from allelon.operators import assembly, curation, geo, hits, networks, structures, variants
 from allelon.plans import derived as X
+from allelon.storage import store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -322,6 +323,16 @@ def translated_search(spark, sf):
     return found.select("genome_id", "gene", "contig_id", "frame", "score", "seq")
 
 
+@query
+def planted_search(spark, sf):
+    """Passages' proteins, each planted in many contigs; a genome without one of them has no row for it here."""
+    own = store(X.planted_contigs(spark, sf), "planted-contigs")
+    refs = X.item_proteins(spark, sf).select("gene", F.col("ref").alias("seq"))
+    found = hits.translated_search(own.drop("gene"), refs, ["genome_id", "contig_id"], "genome_id")
+    found = found.join(own.select("genome_id", "gene").distinct(), ["genome_id", "gene"])
+    return found.select("genome_id", "gene", "contig_id", "frame", "score", F.sha2("seq", 256).alias("digest"))
+
+
 # Ids and metadata
 
 

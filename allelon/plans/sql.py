@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from allelon.functions.scoring import RESIDUES, blosum, properties
+from allelon.functions.scoring import RESIDUES, blosum, properties, published
 from allelon.functions.sequence import codons, complement_letters, wide_codons
 from allelon.plans import derived as X
 
@@ -281,3 +281,13 @@ SELECT token, CASE WHEN ok THEN gene END AS gene, CASE WHEN ok THEN chain END AS
   CASE WHEN ok THEN {_three}[left(mut, 1)] || '-' || residue || '-' || {_three}[right(mut, 1)] END AS label, CASE WHEN ok
     THEN chain || ':' || residue ELSE '' END AS flexible FROM p""",
 }
+# What was planted is found whole: with its own score, in the frame in which it begins.
+_self = {a: s for (a, b), s in published().items() if a == b}
+ORACLE_SQL["planted_search"] = f"""WITH {CONTIGS}, maps AS (SELECT {_map({a: str(s) for a, s in _self.items()})} AS own),
+items AS (SELECT item_id, 'item' || item_id AS gene, translate(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), '{X.LETTER_RESIDUES[0]}', '{X.LETTER_RESIDUES[1]}') AS ref
+  FROM benchmark),
+scored AS (SELECT item_id, gene, ref, list_sum(list_transform(string_split(ref, ''), lambda r: cast(own[r] AS double))) AS score FROM items CROSS JOIN maps WHERE length(ref) >= 20)
+SELECT genome_id, gene, contig_id, cast(CASE WHEN doc_id % 2 = 1 THEN 3 + (length(seq) - length(seq) // 2) % 3 ELSE length(seq) // 2 % 3 END AS int) AS frame, score,
+    sha256(ref) AS digest
+FROM contigs JOIN scored ON item_id = doc_id % (SELECT count(*) FROM benchmark) WHERE genome_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY genome_id, gene ORDER BY contig_id) = 1"""
