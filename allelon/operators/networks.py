@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from allelon.functions.scoring import score_mutations
 from allelon.functions.text import after_colon, before_colon, gene_class, mutation_token
+from allelon.storage import store
 
 TOP_NETWORKS, TOP_MUTATIONS = 5, 15
 
@@ -22,18 +23,46 @@ def report_tokens(report: DataFrame, accession: str = "Accession", gene: str = "
     return scored.select("acc", "tok", F.coalesce("Severity", F.lit(unscored)).alias("score"))
 
 
-def epistasis_edges(report: DataFrame, **names) -> DataFrame:
+def token_dictionary(tokens: DataFrame, unscored: float = 1.0) -> DataFrame:
+    """(tok, score, id) of each distinct token (tok), stored: ids are numbers of no meaning, scores those of ``report_tokens``."""
+    scored = score_mutations(tokens.select("tok").distinct().withColumn("__mut", after_colon(F.col("tok"))), "__mut")
+    return store(scored.select("tok", F.coalesce("Severity", F.lit(unscored)).alias("score"), F.monotonically_increasing_id().alias("id")), "tokens")
+
+
+def tile_sides(coded: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides (acc, t1, t2, a or b) of a self-join of (acc, id) in which an accession's ids are dealt into tiles of about ``tile``."""
+    crowded = coded.groupBy("acc").agg(F.count("*").alias("n")).where(F.col("n") > tile).select("acc", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    dealt = coded.join(crowded, "acc", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    a = dealt.select("acc", F.col("own").alias("t1"), F.explode(F.sequence("own", F.col("tiles") - 1)).alias("t2"), F.col("id").alias("a"))
+    b = dealt.select("acc", F.explode(F.sequence(F.lit(0), "own")).alias("t1"), F.col("own").alias("t2"), F.col("id").alias("b"))
+    return a, b
+
+
+def tile_pairs(coded: DataFrame, tile: int = 1000) -> DataFrame:
+    """(low, high, Frequency) of the pairs of ids that occur together, from distinct (acc, id).
+
+    Each pair of an accession's tiles is a join key of its own, so that an accession of very many ids is spread over tasks and a key has about
+    tile^2 pairs at most. Most accessions are one tile.
+    """
+    a, b = tile_sides(coded, tile)
+    pairs = a.join(b, ["acc", "t1", "t2"]).where("t1 < t2 OR a < b")
+    return pairs.groupBy(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).agg(F.count("*").alias("Frequency"))
+
+
+def epistasis_edges(report: DataFrame, accession: str = "Accession", gene: str = "Gene", mutation: str = "Mutation", unscored: float = 1.0, tile: int = 1000) -> DataFrame:
     """Pairs of mutations that occur in one accession: how often, their mean severity and composite score.
 
-    The score is a function of the token and travels with it through the self-join, whose two sides share one exchange; adaptive
-    execution splits accessions with very many tokens.
+    Tokens are scored once each in a dictionary and go through the joins as numbers; their texts come back once the pairs are counted.
     """
-    tokens = report_tokens(report, **names)
-    a = tokens.select("acc", F.col("tok").alias("Node_1"), F.col("score").alias("s1"))
-    b = tokens.select("acc", F.col("tok").alias("Node_2"), F.col("score").alias("s2"))
-    pairs = a.join(b, "acc").where("Node_1 < Node_2").groupBy("Node_1", "Node_2", "s1", "s2").agg(F.count("*").alias("Frequency"))
+    rows = report.where(F.col(accession).isNotNull() & F.col(gene).isNotNull() & F.col(mutation).isNotNull())
+    rows = rows.select(F.col(accession).alias("acc"), mutation_token(F.col(gene), F.col(mutation)).alias("tok"))
+    words = token_dictionary(rows, unscored)
+    pairs = tile_pairs(store(rows.join(words, "tok").select("acc", "id").distinct(), "accession-tokens"), tile)
+    side = lambda i, k: words.select(F.col("id").alias(i), F.col("tok").alias(f"t{k}"), F.col("score").alias(f"s{k}"))
+    named = pairs.join(side("low", 1), "low").join(side("high", 2), "high").withColumns({"Node_1": F.least("t1", "t2"), "Node_2": F.greatest("t1", "t2")})
     mean = (F.col("s1") + F.col("s2")) / 2
-    return pairs.select(
+    return named.select(
         "Node_1", "Node_2", before_colon(F.col("Node_1")).alias("Node_1_Gene"), before_colon(F.col("Node_2")).alias("Node_2_Gene"),
         after_colon(F.col("Node_1")).alias("Node_1_Mutation"), after_colon(F.col("Node_2")).alias("Node_2_Mutation"),
         "Frequency", mean.alias("Avg_Biochemical_Severity"), (F.col("Frequency") * mean).alias("Composite_Network_Score"),
@@ -83,12 +112,13 @@ def top_mutations(edges: DataFrame, k: int = TOP_MUTATIONS) -> DataFrame:
 
 
 def scaled(df: DataFrame, column: str, low: float, high: float, out: str = "scaled") -> DataFrame:
-    """``column`` mapped linearly to low..high; missing values count as the least, equal values give the middle.
+    """``column`` mapped linearly to low..high; missing values and NaN count as the least, equal values give the middle.
 
     The range is a one-row aggregate that is joined back, so no window gathers the rows in one task.
     """
-    ends = df.agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
-    value = F.coalesce(F.col(column), F.col("__lo"), F.lit(0.0))
+    own = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    ends = df.agg(F.min(own).alias("__lo"), F.max(own).alias("__hi"))
+    value = F.coalesce(own, F.col("__lo"), F.lit(0.0))
     size = F.col("__hi") - F.col("__lo")
     found = F.when(F.coalesce(size, F.lit(0.0)) < 1e-12, F.lit((low + high) / 2)).otherwise(F.lit(low) + (value - F.col("__lo")) * F.lit(high - low) / size)
     return df.join(F.broadcast(ends)).withColumn(out, found).drop("__lo", "__hi")  # one row

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from allelon import schemas
 from allelon.functions.sequence import codons, translate_dna
-from allelon.operators import hits, structures
+from allelon.operators import assembly, hits, structures
 from allelon.plans import derived as X
 from allelon.plans import queries as Q
 from allelon.plans import sql as S
 from allelon.sources import readers, writers
-from allelon.storage import new_path
+from allelon.storage import new_path, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -74,6 +74,27 @@ _PROTEINS = f"""{S.CONTIGS}, code AS (SELECT {S._map(codons())} AS m), p AS (SEL
     'X*', 'GQ') AS p FROM contigs CROSS JOIN code)"""
 
 
+#: Thresholds for files of one contig.
+FILE_LIMITS = {"min_bp": 300, "max_bp": 20_000, "low_n50": 400, "moderate_n50": 1_000, "moderate_n_fraction": 0.005, "high_n_fraction": 0.02, "ready_min_n50": 500, "ready_max_n_fraction": 0.01}
+_L = FILE_LIMITS
+
+
+@query(
+    f"""WITH {S.CONTIGS}, f AS (SELECT doc_id, CASE WHEN doc_id % 9 = 4 THEN '' ELSE seq END AS seq FROM contigs),
+c AS (SELECT doc_id, length(seq) AS bp, CASE WHEN seq = '' THEN 1.0 ELSE (length(seq) - length(replace(seq, 'N', ''))) / length(seq) END AS n FROM f)
+SELECT 'd' || doc_id AS genome_id, bp AS total_bp, cast(bp > 0 AS bigint) AS contigs, bp AS n50, round(n, 6) AS n_fraction,
+    CASE WHEN bp < {_L['min_bp']} OR bp < {_L['low_n50']} OR n > {_L['high_n_fraction']} THEN 'poor' WHEN bp > {_L['max_bp']} OR bp < {_L['moderate_n50']} OR n > {_L['moderate_n_fraction']} THEN 'moderate' ELSE 'good' END AS quality,
+    cast(bp BETWEEN {_L['min_bp']} AND {_L['max_bp']} AND bp >= {_L['ready_min_n50']} AND n <= {_L['ready_max_n_fraction']} AS int) AS extraction_ready,
+    cast(CASE WHEN doc_id % 9 = 4 THEN 0 ELSE bp + 4 END AS bigint) AS file_size FROM c"""
+)
+def assembly_files(spark, sf):
+    """Quality of an assembly file for each document, of which every ninth has no bytes; with the files' sizes."""
+    text = "CASE WHEN contig_ord % 9 = 4 THEN '' ELSE concat('>c\\n', seq, '\\n') END"
+    own = store(readers.read_contigs(spark, _files(X.contigs(spark, sf), "concat('d', contig_id, '.fna')", text, "assemblies")), "read-contigs")
+    qc = assembly.assembly_qc(own, **FILE_LIMITS).drop("file_name", "flags")
+    return qc.join(assembly.genome_metadata(own).select("genome_id", "file_size"), "genome_id")
+
+
 @query(f"WITH {_PROTEINS} SELECT 'A_' || doc_id AS accession, CASE k WHEN 5 THEN 'tolC' ELSE 'acrA' END AS gene, length(p) AS residues, sha256(p) AS digest FROM p WHERE k IN (0, 1, 5) AND p <> ''")
 def protein_files(spark, sf):
     found = readers.read_proteins(spark, _sequence_files(spark, sf))
@@ -83,7 +104,7 @@ def protein_files(spark, sf):
 @query(
     f"""WITH {_PROTEINS} SELECT CASE k WHEN 4 THEN 'plain' || doc_id WHEN 5 THEN 'A_' || doc_id || '_tolC' ELSE 'A_' || doc_id || '_acrA' END AS name,
 CASE WHEN k = 2 THEN 'more than one record' WHEN k = 3 OR p = '' THEN 'empty' END AS error, CASE WHEN k NOT IN (2, 3) AND p <> ''
-    THEN length(p) END AS residues FROM p WHERE doc_id % 12 <> 3"""
+    THEN length(p) END AS residues FROM p"""
 )
 def sequence_files(spark, sf):
     return readers.read_sequences(spark, _sequence_files(spark, sf)).select("name", "error", F.length("seq").cast("long").alias("residues"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,14 +14,43 @@ from allelon import schemas
 from allelon.functions.scoring import RESIDUES
 
 
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files of no bytes that a directory or glob lists, which Spark's sources leave out. Few, as a rule; the rest isn't brought here."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(conf)
+
+    def listed(status) -> list[tuple[str, str, str]]:
+        # One text for the whole listing instead of a call for each file.
+        return re.findall(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?", jvm.org.apache.commons.lang3.ArrayUtils.toString(status)) if status is not None else []
+
+    found, out = listed(system.globStatus(top)), []
+    while found:
+        more = []
+        for own, folder, size in found:
+            if own.rsplit("/", 1)[-1].startswith(("_", ".")):
+                continue
+            if folder == "true":
+                inner = listed(system.listStatus(jvm.org.apache.hadoop.fs.Path(own)))
+                more += [x for x in inner if x[1] == "false"]
+            elif size == "0":
+                out.append(own)
+        found = more
+    return out
+
+
 def _whole(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each file; Spark's sources leave out files of no bytes."""
-    return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"))
+    """A row for each file, also for those of no bytes."""
+    rows = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"))
+    if empty := empty_files(spark, path):
+        rows = rows.unionByName(spark.createDataFrame([("", p.rsplit("/", 1)[-1], 0) for p in empty], "value string, file_name string, file_size long"))
+    return rows
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
-    """Contigs of multi-FASTA assemblies, in order; text before the first header is contig 0 with a null header."""
-    parts = _whole(spark, path).select("file_name", "file_size", F.posexplode(F.split("value", r"(?:^|\r?\n)>")).alias("contig_ord", "body"))
+    """Contigs of multi-FASTA assemblies, in order; text before the first header is contig 0 with a null header, as is the one row of a file without any text."""
+    split = F.split("value", r"(?:^|\r?\n)>")
+    parts = _whole(spark, path).select("file_name", "file_size", F.size(split).alias("parts"), F.posexplode(split).alias("contig_ord", "body"))
     body = F.when(F.col("contig_ord") > 0, F.regexp_replace("body", r"^[^\r\n]*", "")).otherwise(F.col("body"))
     rows = parts.select(
         F.regexp_replace("file_name", r"\.[^.]*$", "").alias("genome_id"),
@@ -30,8 +60,9 @@ def read_contigs(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.col("contig_ord") > 0, F.regexp_extract("body", r"^\s*(\S*)", 1)).alias("contig_id"),
         F.when(F.col("contig_ord") > 0, F.trim(F.regexp_extract("body", r"^([^\r\n]*)", 1))).alias("header"),
         F.regexp_replace(body, r"\s+", "").alias("seq"),
+        "parts",
     )
-    return rows.where("contig_ord > 0 OR seq <> ''").withColumn("seq_len", F.length("seq").cast("long"))
+    return rows.where("contig_ord > 0 OR seq <> '' OR parts = 1").drop("parts").withColumn("seq_len", F.length("seq").cast("long"))
 
 
 def read_long_fasta(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +73,7 @@ def read_long_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
-    """One sequence for each file: one FASTA record, or raw text. ``error`` is set for files of white space only and for several records; files of no bytes have no row."""
+    """One sequence for each file: one FASTA record, or raw text. ``error`` is set for files of no bytes or of white space only, and for several records."""
     text = F.col("value")
     fasta = F.ltrim(text).startswith(">")
     seq = F.upper(F.regexp_replace(F.when(fasta, F.regexp_replace(text, r"^\s*>[^\r\n]*", "")).otherwise(text), r"\s+", ""))
