@@ -19,9 +19,10 @@ def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 8
     equal to the reference aren't aligned at all. The references are a table of one row a gene; Spark broadcasts it
     where it is small.
     """
-    pairs = proteins.where("seq IS NOT NULL AND seq <> ''").join(refs.select("gene", F.col("seq").alias("ref")), "gene")
-    able = F.least(F.length("seq"), F.length("ref")) * 100.0 >= F.lit(min_identity) * F.length("ref")
-    distinct = pairs.where(able).select("gene", "seq", "ref").distinct()
+    named = proteins.where("seq IS NOT NULL AND seq <> ''").withColumn("__key", F.md5("seq"))
+    # A sequence moves once, to where its copies meet; its digest stands for it from then on.
+    distinct = named.groupBy("gene", "__key").agg(F.first("seq").alias("seq")).join(refs.select("gene", F.col("seq").alias("ref")), "gene")
+    distinct = distinct.where(F.least(F.length("seq"), F.length("ref")) * 100.0 >= F.lit(min_identity) * F.length("ref"))
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -30,11 +31,11 @@ def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 8
                 for i, own in zip(rows, identities_and_substitutions(ref, pdf["seq"].iloc[rows].tolist(), min_identity), strict=True):
                     found[i] = own
             kept = [i for i, f in enumerate(found) if f is not None]
-            own = pdf[["gene", "seq"]].iloc[kept].reset_index(drop=True)
+            own = pdf[["gene", "__key"]].iloc[kept].reset_index(drop=True)
             yield own.assign(identity=[float(found[i][0]) for i in kept], mutations=[found[i][1] for i in kept])
 
-    called = distinct.mapInPandas(align, "gene string, seq string, identity double, mutations array<string>")
-    return proteins.join(called, ["gene", "seq"]).select("accession", "gene", "identity", "mutations")
+    called = distinct.mapInPandas(align, "gene string, __key string, identity double, mutations array<string>")
+    return named.select("accession", "gene", "__key").join(called, ["gene", "__key"]).select("accession", "gene", "identity", "mutations")
 
 
 def call_variants(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
