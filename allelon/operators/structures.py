@@ -69,16 +69,18 @@ def focus_edge(spark, gene: str, mutation: str) -> DataFrame:
 
 
 def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: DataFrame | None = None, chains: Column | None = None,
-    override: tuple[float, float, float] | None = None) -> DataFrame:
+    override: tuple[float, float, float] | None = None, run: str | None = None) -> DataFrame:
     """Affinity change, confidence and status of each edge, and the target's mutations in it with their flexible residues.
 
-    ``affinities``: mutation_network, wt_affinity, mut_affinity. ``qc``: mutation_network, qc_pass; networks without a row pass.
+    ``affinities``: mutation_network, wt_affinity, mut_affinity. ``qc``: mutation_network, qc_pass; networks without a row pass. With the column
+    ``run``, all three tables hold many runs: a network stands for itself in each of them, and the report has the column too.
     """
+    keys = ["mutation_network"] if run is None else [run, "mutation_network"]
     label = D.network_label(F.col("Node_1"), F.col("Node_2"))
     tokens = F.filter(F.array(D.parse_token(F.col("Node_1"), chains), D.parse_token(F.col("Node_2"), chains)), lambda t: t.isNotNull())
     kept = F.filter("tokens", lambda t: t["gene"] == target.lower())
-    rows = edges.select("Node_1", "Node_2", label.alias("mutation_network"), tokens.alias("tokens")).withColumn("kept", kept).join(affinities, "mutation_network", "left")
-    rows = rows.join(qc, "mutation_network", "left") if qc is not None else rows.withColumn("qc_pass", F.lit(True))
+    rows = edges.select(*keys[:-1], "Node_1", "Node_2", label.alias("mutation_network"), tokens.alias("tokens")).withColumn("kept", kept).join(affinities, keys, "left")
+    rows = rows.join(qc, keys, "left") if qc is not None else rows.withColumn("qc_pass", F.lit(True))
     status = (
         F.when(F.size("tokens") == 0, "skipped_unparseable_mutations")
         .when(F.size("kept") == 0, f"skipped_no_target_mutation:{target.lower()}")
@@ -92,7 +94,7 @@ def docking_report(edges: DataFrame, affinities: DataFrame, target: str, qc: Dat
     rows = rows.withColumns({c: F.when(docked, F.col(c)) for c in ("wt_affinity", "mut_affinity")}).withColumn("delta_delta_g", F.col("mut_affinity") - F.col("wt_affinity"))
     ddg, center = F.col("delta_delta_g"), D.pocket_center(F.lit(target), override=override)
     return rows.select(
-        "Node_1", "Node_2", "mutation_network", "wt_affinity", "mut_affinity", "delta_delta_g", D.confidence(ddg).alias("confidence"),
+        *keys[:-1], "Node_1", "Node_2", "mutation_network", "wt_affinity", "mut_affinity", "delta_delta_g", D.confidence(ddg).alias("confidence"),
             D.confidence_flags(ddg).alias("confidence_flags"),
         D.interpretation(ddg).alias("interpretation"), "status", F.array_join(F.transform("kept", lambda t: t["label"]), ",").alias("mutations"),
             D.flexible_residues(F.col("kept")).alias("flexible_residues"),

@@ -291,3 +291,11 @@ SELECT genome_id, gene, contig_id, cast(CASE WHEN doc_id % 2 = 1 THEN 3 + (lengt
     sha256(ref) AS digest
 FROM contigs JOIN scored ON item_id = doc_id % (SELECT count(*) FROM benchmark) WHERE genome_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY genome_id, gene ORDER BY contig_id) = 1"""
+
+ORACLE_SQL["docking_runs"] = f"""{DOCK}, r AS (SELECT 'run' || k AS run, net, user_id, k, CASE WHEN k = 3 AND user_id % 4 = 1 THEN NULL ELSE wt + k * 0.25::double END AS wt,
+    CASE WHEN k = 3 AND user_id % 4 = 1 THEN NULL ELSE mt END AS mt FROM n CROSS JOIN range(4) AS runs(k)),
+s AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN 'skipped_no_target_mutation:acrb' WHEN k > 0 AND (user_id + k) % 7 = 0 THEN 'FAILED_QC' WHEN wt IS NULL THEN 'wildtype_docking_failed'
+    WHEN mt IS NULL THEN 'mutant_docking_failed' ELSE 'ok' END AS status FROM r),
+g AS (SELECT *, CASE WHEN status = 'ok' THEN mt - wt END AS ddg FROM s)
+SELECT run, net AS mutation_network, status, round(ddg, 6) AS delta_delta_g, CASE WHEN abs(ddg) < 0.5 THEN 'NO_SIGNIFICANT_BINDING_CHANGE' WHEN ddg >= 1 THEN 'REDUCED_SUBSTRATE_AFFINITY'
+    WHEN ddg <= -1 THEN 'INCREASED_SUBSTRATE_AFFINITY' WHEN ddg IS NOT NULL THEN 'MODERATE_BINDING_SHIFT' END AS interpretation FROM g"""
