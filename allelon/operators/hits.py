@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from allelon.functions.sequence import protein_table11, reverse_complement, subsequence, ungapped
+from allelon.functions.sequence import protein_table11, reverse_complement, ungapped
 from allelon.operators.search import translated_search
+from allelon.storage import store
 
 __all__ = ["best_hits", "extract_sequences", "extraction_stats", "filter_hits", "proteins_from_hits", "select_reference", "standardize_hits", "target_hits", "translated_search", "union_hits"]
 
@@ -63,15 +64,26 @@ def select_reference(candidates: DataFrame, gene: str = "gene", rank: str = "ran
     return own.withColumn("__rn", F.row_number().over(best.orderBy("__pass", rank))).where("__rn = 1").drop("__rn", "__r1", "__r2").withColumnRenamed("__pass", "search_pass")
 
 
-def extract_sequences(hits: DataFrame, contigs: DataFrame, keys: list[str], translate: bool = True) -> DataFrame:
+def extract_sequences(hits: DataFrame, contigs: DataFrame, keys: list[str], translate: bool = True, chunk: int = 1 << 16) -> DataFrame:
     """DNA and protein of each hit by its coordinates; ``dna`` is null for an unknown contig or a start below 1.
 
-    The sequence is cut right after the join, so whole contigs go no further.
+    Contigs are read as chunks of ``chunk`` letters, and a hit meets the chunks that it lies in only, so that no contig is copied for a hit and a
+    contig of very many hits is many keys. An end behind the contig's counts as its end. Of contigs with equal keys
+    each gives a row; equal contigs count once.
     """
-    cut = subsequence(F.col("__seq"), F.col("Start"), F.col("End"))
-    both = hits.join(contigs.select(*keys, F.col("seq").alias("__seq")), keys, "left")
-    out = both.withColumn("dna", F.when(F.col("Strand") == "-", reverse_complement(cut)).otherwise(cut)).drop("__seq")
-    out = out.withColumn("dna", F.when(F.col("dna") != "", F.col("dna")))
+    own = store(hits.withColumn("__hit", F.monotonically_increasing_id()), "hits")
+    known = contigs.where("seq IS NOT NULL").select(*keys, "seq").withColumn("__cid", F.xxhash64(*keys, "seq"))
+    spans = own.join(known.select(*keys, "__cid", F.length("seq").cast("long").alias("__len")).distinct(), keys, "left")
+    end = F.least("End", "__len")
+    inside = spans.where((F.col("Start") >= 1) & (F.col("End") >= F.col("Start")) & (F.col("Start") <= F.col("__len")))
+    wanted = inside.select("__hit", *keys, "__cid", "Start", end.alias("End"), F.explode(F.sequence(F.floor((F.col("Start") - 1) / chunk), F.floor((end - 1) / chunk))).alias("__k"))
+    # All chunks in one pass over the text; a substring for each would walk it from the start each time.
+    pieces = known.select(*keys, "__cid", F.posexplode(F.regexp_extract_all("seq", F.lit(f"(?s)(.{{1,{chunk}}})"), F.lit(1))).alias("__k", "__piece"))
+    low = F.greatest(F.col("Start") - F.col("__k") * chunk, F.lit(1))
+    part = F.substring("__piece", low.cast("int"), (F.least(F.col("End") - F.col("__k") * chunk, F.lit(chunk)) - low + 1).cast("int"))
+    found = wanted.join(pieces.withColumn("__k", F.col("__k").cast("long")), [*keys, "__cid", "__k"]).groupBy("__hit", "__cid").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("__k", part.alias("p")))), lambda x: x["p"]), "").alias("dna"))
+    out = spans.join(found, ["__hit", "__cid"], "left").select(*hits.columns, F.when(F.col("Strand") == "-", reverse_complement(F.col("dna"))).otherwise(F.col("dna")).alias("dna"))
     return out.withColumn("protein", protein_table11(F.col("dna"))) if translate else out
 
 
