@@ -127,43 +127,50 @@ class Words:
             found.append((np.repeat(at + low, size), self.ref[source], self.place[source]))
         return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
 
-    def _ungapped(self, own: np.ndarray, frame: np.ndarray, at: np.ndarray, ref: np.ndarray, place: np.ndarray, together: int = 1 << 11) -> np.ndarray:
-        """The best score without gaps of stretches of each seed's diagonal that take in the seed."""
+    def _ungapped(self, own: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, ref: np.ndarray, place: np.ndarray, together: int = 1 << 11) -> np.ndarray:
+        """The best score without gaps of stretches of each seed's diagonal that take in the seed, whose first base is given with its contig's bounds."""
         score = np.pad(matrix(), ((0, 1), (0, 1)), constant_values=-1e4).astype(np.float32)
         steps = np.arange(-ABOUT, ABOUT + K)
-        out = np.zeros(len(at), np.float32)
-        for i in range(0, len(at), together):
+        out = np.zeros(len(first), np.float32)
+        for i in range(0, len(first), together):
             k = slice(i, i + together)
-            p = frame[k, None] + 3 * (at[k, None] + steps)
-            known = (p >= 0) & (p + 2 < len(own))
-            p[~known] = 0
+            p = first[k, None] + 3 * steps
+            known = (p >= low[k, None]) & (p + 2 < high[k, None])
+            p[~known] = low[k].min()
             codon = own[p].astype(np.int16) * 25 + own[np.minimum(p + 1, len(own) - 1)] * np.int16(5) + own[np.minimum(p + 2, len(own) - 1)]
             pair = score[np.where(known, _residue_numbers()[codon], WALL), self.letters[self.begin[ref[k]][:, None] + place[k, None] + steps]]
             word, left, right = pair[:, ABOUT : ABOUT + K].sum(1), pair[:, :ABOUT][:, ::-1], pair[:, ABOUT + K :]
             out[k] = word + sum(np.maximum(np.cumsum(x, axis=1).max(1), 0) for x in (left, right))
         return out
 
-    def candidates(self, own: np.ndarray, apart: int = APART) -> list[tuple[int, int, int, int, int, int]]:
-        """(frame, reference, lowest and highest diagonal, first place in the reference, one after the last) of one strand.
+    def candidates(self, contigs: list[np.ndarray], apart: int = APART) -> list[tuple[int, int, int, int, int, int, int]]:
+        """(contig, frame, reference, lowest and highest diagonal, first place in the reference, one after the last) of one strand of several contigs.
 
-        A diagonal is a place in the frame less one in the reference.
+        A diagonal is a place in the frame less one in the reference. An unknown base parts the contigs, so no word lies in two.
         """
+        gap = np.full(1, 4, np.uint8)
+        own = np.concatenate([x for c in contigs for x in (c, gap)])
+        sizes = np.array([len(c) for c in contigs])
+        starts = np.cumsum(sizes + 1) - sizes - 1
         base, ref, place = self.seeds(own)
-        frame, at = base % 3, base // 3
-        diagonal = at - place
-        if not len(at):
+        if not len(base):
             return []
-        # One number a diagonal of a frame and reference, with room for places.
+        contig = np.searchsorted(starts, base, "right") - 1
+        within = base - starts[contig]
+        frame, at = within % 3, within // 3
+        diagonal = at - place
+        # One number a diagonal of a contig's frame and reference, with room for places.
         low, room = int(diagonal.min()), int(at.max()) + apart + 1
         wide = int(diagonal.max()) - low + 1
-        group = ref.astype(np.int64) * 3 + frame
+        group = (contig * len(self.begin) + ref) * 3 + frame
         number = (group * wide + (diagonal - low)) * room + at
         order = np.argsort(number, kind="stable")
         number = number[order]
         # The first seed on the diagonal within reach lies a word's length or more before.
         second = number - number[np.searchsorted(number, number - apart)] >= K
         hit = order[second]
-        hit = hit[self._ungapped(own, frame[hit], at[hit], ref[hit], place[hit]) >= TRIGGER]
+        begin = starts[contig[hit]]
+        hit = hit[self._ungapped(own, base[hit], begin, begin + sizes[contig[hit]], ref[hit], place[hit]) >= TRIGGER]
         if not len(hit):
             return []
         group, diagonal, place = group[hit], diagonal[hit], place[hit]
@@ -175,7 +182,8 @@ class Words:
         first = np.flatnonzero((np.diff(near, prepend=0) != 0) | (np.diff(place, prepend=0) > NEAR_PLACES))
         last = np.append(first[1:], len(group)) - 1
         low, high = np.minimum.reduceat(diagonal, first), np.maximum.reduceat(diagonal, first)
-        columns = (group[first] % 3, group[first] // 3, low, high, place[first], place[last] + K)
+        group = group[first]
+        columns = (group // 3 // len(self.begin), group % 3, group // 3 % len(self.begin), low, high, place[first], place[last] + K)
         return list(zip(*(c.tolist() for c in columns), strict=True))
 
 
@@ -273,7 +281,7 @@ class Scorer:
         return window_scores(a, b, boxes)
 
     def score(self, waiting: list[tuple], cells: int = 1 << 14) -> Iterator[tuple]:
-        """(row, frame, reference, score, low, high) for each candidate that may be its genome's best.
+        """(row, frame, reference, score, low, high, strand's bases) for each candidate that may be its genome's best, with its window's residues.
 
         A candidate: row, genome, strand's bases, frame, reference, lowest and highest diagonal, first place and one after the last.
         """
@@ -307,10 +315,10 @@ class Scorer:
                 outside = self.most[ref] - (0 if taller[k] else FIRST + MORE * band)
                 if (taller[k] or wider[k]) and outside > s and outside >= least:
                     more.append(c)
-                    wide.append((rows * 3 if taller[k] else rows, band * 3 if wider[k] else band))
+                    wide.append((rows * 3 if taller[k] else rows, band * 2 if wider[k] else band))
                 elif s >= least:
                     count = (len(own) - frame % 3) // 3
-                    yield at, frame, ref, s, max(0, row + diagonal), min(count, row + diagonal + size + width - 1)
+                    yield at, frame, ref, s, max(0, row + diagonal), min(count, row + diagonal + size + width - 1), own
             waiting, room = more, wide
 
 
@@ -343,42 +351,50 @@ def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], geno
 
         def search(batches: Iterator[pd.DataFrame], names=names, table=table) -> Iterator[pd.DataFrame]:
             words, proteins = table.value
-            scorer, waiting, rows, size = Scorer(proteins), [], [], 0
+            scorer, waiting, rows, size, at, letters = Scorer(proteins), [], [], 0, keys.index(genome), np.array(list(LETTERS))
 
             def flush() -> pd.DataFrame:
-                out = [(*rows[r], f, names[g], s, low, high) for r, f, g, s, low, high in scorer.score(waiting)]
+                out = [(*rows[r], f, names[g], s, low, "".join(letters[residues(own, f % 3, low, high)])) for r, f, g, s, low, high, own in scorer.score(waiting)]
                 waiting.clear()
                 rows.clear()
-                return pd.DataFrame(out, columns=[*keys, "frame", "gene", "score", "low", "high"])
+                return pd.DataFrame(out, columns=[*keys, "frame", "gene", "score", "low", "part"])
+
+            def look(contigs: list[tuple]) -> None:
+                """The candidates of contigs (keys, bases), both strands."""
+                nonlocal size
+                seen = {}
+                for strand, own in ((0, [b for _, b in contigs]), (3, [turned(b) for _, b in contigs])):
+                    for k, frame, ref, *box in words.candidates(own):
+                        if k not in seen:
+                            seen[k] = len(rows)
+                            rows.append(contigs[k][0])
+                            size += 2 * len(own[k])
+                        waiting.append((seen[k], contigs[k][0][at], own[k], strand + frame, ref, *box))
 
             for pdf in batches:
+                held, n = [], 0
                 for own_keys, seq in zip(pdf[keys].itertuples(index=False, name=None), pdf["seq"], strict=True):
-                    plus = bases(seq)
-                    at = own_keys[keys.index(genome)]
-                    for strand, b in ((0, plus), (3, turned(plus))):
-                        for frame, ref, *box in words.candidates(b):
-                            if not rows or rows[-1] is not own_keys:
-                                rows.append(own_keys)
-                                size += 2 * len(b)
-                            waiting.append((len(rows) - 1, at, b, strand + frame, ref, *box))
+                    held.append((own_keys, bases(seq)))
+                    n += len(seq) + 1
+                    if n >= TOGETHER:
+                        look(held)
+                        held, n = [], 0
                     if size > WAITING or len(waiting) > 1 << 14:
                         yield flush()
                         size = 0
+                if held:
+                    look(held)
             yield flush()
 
-        part = own.mapInPandas(search, f"{kinds}, frame int, gene string, score long, low long, high long")
-        order = F.struct((-F.col("score")).alias("by"), *(c for c in keys if c != genome), "frame", "low", "high")
+        part = own.mapInPandas(search, f"{kinds}, frame int, gene string, score long, low long, part string")
+        order = F.struct((-F.col("score")).alias("by"), *(c for c in keys if c != genome), "frame", "low", "part")
         part = store(part.groupBy(genome, "gene").agg(F.min(order).alias("b")).select(genome, "gene", "b.*"), "search-best")
         found = part if found is None else found.unionByName(part)
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        letters = np.array(list(LETTERS))
         for pdf in batches:
-            got = []
-            for seq, frame, low, high, ref in zip(pdf["__seq"], pdf["frame"], pdf["low"], pdf["high"], pdf["ref"], strict=True):
-                b = bases(seq) if frame < 3 else turned(bases(seq))
-                got.append(local_align(ref, "".join(letters[residues(b, frame % 3, low, high)])))
+            got = [local_align(ref, part) for ref, part in zip(pdf["ref"], pdf["part"], strict=True)]
             yield pdf[[*keys, "frame", "gene"]].assign(score=[float(s) for s, _ in got], seq=[p for _, p in got])
 
-    whole = found.join(own.withColumnRenamed("seq", "__seq"), keys).join(refs.select("gene", F.col("seq").alias("ref")), "gene")
-    return whole.select(*keys, "frame", "gene", "low", "high", "ref", "__seq").mapInPandas(align, f"{kinds}, frame int, gene string, score double, seq string")
+    whole = found.join(refs.select("gene", F.col("seq").alias("ref")), "gene").select(*keys, "frame", "gene", "ref", "part")
+    return whole.mapInPandas(align, f"{kinds}, frame int, gene string, score double, seq string")
