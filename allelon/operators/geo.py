@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelon.functions.text import clean_location, strip
+from allelon.storage import store
 
 REGULATORY = ("marr", "acrr")
 #: Locations that the top-N table leaves out by default; a fixed value.
@@ -60,6 +61,22 @@ def geo_topn(counts: DataFrame, n: int = 20) -> DataFrame:
     return counts.join(rows.drop("total"), "geographic_location_clean", "left_semi").join(cols.drop("total"), "Gene_Mutation", "left_semi")
 
 
+def geo_topn_matrix(counts: DataFrame, n: int = 20) -> DataFrame:
+    """The same rows and columns as a dense matrix: a row for each of the n locations, a column for each of the n mutations, 0 where they don't meet.
+
+    Both sides' sums are of one pass over the counts; only the n column names come to the driver, as the matrix has to have them.
+    """
+    n, place, name = max(1, n), "geographic_location_clean", "Gene_Mutation"
+    both = counts.groupingSets([[place], [name]], place, name).agg(F.grouping(name).alias("side"), F.sum("mutation_frequency").alias("total"))
+    label = F.coalesce(place, name)
+    best = Window.partitionBy("side").orderBy(F.desc("total"), label)
+    top = both.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= n)
+    top = store(top.select("side", label.alias("label"), "rn"), "margins")  # 2 n rows
+    columns = [r["label"] for r in top.where("side = 0").orderBy("rn").collect()]
+    rows = top.where("side = 1").select(F.col("label").alias(place))
+    return rows.join(counts, place, "left").groupBy(place).pivot(name, columns).agg(F.sum("mutation_frequency")).na.fill(0)
+
+
 def geo_summary(master: DataFrame, report: DataFrame, merged: DataFrame, id_col: str = "Genome ID") -> DataFrame:
     """Counts of a run, in one row."""
     a = master.agg(F.count("*").alias("metadata_rows"))

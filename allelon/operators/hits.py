@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +28,42 @@ def standardize_hits(hits: DataFrame, min_identity: float = 80.0, min_coverage:
     )
 
 
-def target_hits(hits: DataFrame, targets: DataFrame, gene: str = "Gene", substring: bool = False, most: int = 10_000) -> DataFrame:
-    """Hits of the target genes (gene, any case): exact match, or targets that are part of the hit's name, of which there may be ``most``."""
+def names_with_parts(names: DataFrame, targets: DataFrame, part_letters: int = 1 << 22) -> DataFrame:
+    """The names (name) that hold one of the targets (t). An automaton of all targets walks each name once, whatever their number.
+
+    It is broadcast, for about ``part_letters`` letters of targets; more targets take a pass over the names for each part.
+    """
+    count, letters, blank = targets.agg(F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0)), F.count_if(F.col("t") == "")).first()
+    if blank:  # every name holds it
+        return names
+    n, found = max(1, min(count, -(-letters // max(1, part_letters)))), None
+    for k in range(n):
+        own = [r["t"] for r in targets.where(F.pmod(F.xxhash64("t"), F.lit(n)) == k).collect()]
+        if not own:
+            continue
+        sent = names.sparkSession.sparkContext.broadcast(own)
+
+        def walk(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+            for t in sent.value:
+                automaton.add_word(t)
+            automaton.make_automaton()
+            for b in batches:
+                hit = [next(automaton.iter(x), None) is not None for x in b.column(0).to_pylist()]
+                yield b.filter(pa.array(hit, pa.bool_()))
+
+        some = names.mapInArrow(walk, "name string")
+        found = some if found is None else found.unionByName(some)
+    return names.limit(0) if found is None else found.distinct() if n > 1 else found
+
+
+def target_hits(hits: DataFrame, targets: DataFrame, gene: str = "Gene", substring: bool = False) -> DataFrame:
+    """Hits of the target genes (gene, any case): exact match, or targets that are part of the hit's name, each different name looked at once."""
     small = targets.select(F.lower("gene").alias("__t")).distinct()
     if not substring:
         return hits.join(small, F.lower(gene) == F.col("__t"), "left_semi")
-    names = sorted(r["__t"] for r in small.where("__t IS NOT NULL").limit(most + 1).collect())
-    if len(names) > most:
-        raise ValueError(f"more than {most} targets to look for within names")
-    return hits.where(F.exists(F.lit(names) if names else F.array().cast("array<string>"), lambda t: F.contains(F.lower(gene), t)))
+    names = hits.select(F.lower(gene).alias("name")).where("name IS NOT NULL").distinct()
+    return hits.join(names_with_parts(names, small.where("__t IS NOT NULL").select(F.col("__t").alias("t"))), F.lower(gene) == F.col("name"), "left_semi")
 
 
 def union_hits(*hits: DataFrame) -> DataFrame:

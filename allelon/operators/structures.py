@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelon.functions import docking as D
@@ -15,24 +17,49 @@ def heavy_atoms(atoms: DataFrame) -> DataFrame:
     return atoms.where("element <> 'H' AND NOT startswith(atom, 'H')")
 
 
+def _resint(c: str = "resseq") -> Column:
+    return F.expr(f"try_cast({c} AS int)")
+
+
+def sure_clashes(atoms: DataFrame, distance: float = CLASH_DISTANCE) -> DataFrame:
+    """(structure, sure): close pairs that sharing a cell proves, by counts alone: the cells are so small that all atoms of one are close.
+
+    Of a cell's pairs those of one residue or of neighbours in a chain don't count; residues without a number have no neighbours.
+    """
+    side = distance / math.sqrt(3) * (1 - 1e-9)
+    cell = ["structure", *(f"c{c}" for c in "xyz")]
+    own = atoms.select("structure", "chain", "resseq", _resint().alias("r"), *(F.floor(F.col(c) / side).cast("long").alias(f"c{c}") for c in "xyz"))
+    # Residues of one number but different texts ("7", "07") are one for the distance of numbers.
+    counted = own.groupBy(*cell, "chain", "r", F.when(F.col("r").isNull(), F.col("resseq")).alias("name")).agg(F.count("*").alias("n"))
+    around = F.sum("n").over(Window.partitionBy(*cell, "chain").orderBy("r").rangeBetween(-1, 1))
+    near = F.when(F.col("chain").isNull(), F.lit(0)).when(F.col("r").isNotNull(), around).when(F.col("name").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    # Ordered pairs with each other and with themselves: bonded ones of a residue are its atoms times those around it, less themselves.
+    bonded = F.when(near > 0, F.col("n") * (near - 1)).otherwise(F.lit(0))
+    cells = counted.withColumn("bonded", bonded).groupBy(*cell).agg(F.sum("n").alias("all"), F.sum("bonded").alias("bonded"))
+    return cells.groupBy("structure").agg(F.sum((F.col("all") * (F.col("all") - 1) - F.col("bonded")) / 2).cast("long").alias("sure"))
+
+
 def clash_qc(atoms: DataFrame, distance: float = CLASH_DISTANCE, most: int = MAX_CLASHES) -> DataFrame:
     """Close pairs of each structure (counted to one above ``most``) and whether it passes: two atoms or more, few close pairs.
 
-    ``atoms``: structure, ord, chain, resseq, x, y, z. Atoms are put in cells as wide as the distance; an atom meets those in its own
-    cell and in the 13 of its 26 neighbours that come after it, so each pair is joined once and only if near.
+    ``atoms``: structure, ord, chain, resseq, x, y, z. A structure whose crowded cells prove more than ``most`` pairs isn't joined. Atoms of the others are put in
+    cells as wide as the distance; an atom meets those in its own cell and in the 13 of its 26 neighbours that come after
+    it, so each pair is joined once and only if near.
     """
     d = float(distance)
-    placed = atoms.select("structure", "ord", "chain", "resseq", "x", "y", "z", *(F.floor(F.col(c) / d).cast("long").alias(f"c{c}") for c in "xyz"))
+    crowded = sure_clashes(atoms, d).where(F.col("sure") > most)
+    rest = atoms.join(crowded, "structure", "left_anti")
+    placed = rest.select("structure", "ord", "chain", "resseq", "x", "y", "z", *(F.floor(F.col(c) / d).cast("long").alias(f"c{c}") for c in "xyz"))
     steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
     near = F.array(*(F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy"), (F.col("cz") + k).alias("cz"),
         F.lit((i, j, k) == (0, 0, 0)).alias("own")) for i, j, k in steps))
     a = placed.select("structure", *(F.col(c).alias(f"{c}1") for c in ("ord", "chain", "resseq", "x", "y", "z")),
         F.explode(near).alias("n")).select("*", "n.cx", "n.cy", "n.cz", "n.own").drop("n")
-    gap = F.abs(F.expr("try_cast(resseq AS int)") - F.expr("try_cast(resseq1 AS int)"))
+    gap = F.abs(_resint() - _resint("resseq1"))
     bonded = F.coalesce((F.col("chain") == F.col("chain1")) & F.coalesce(gap <= 1, F.col("resseq") == F.col("resseq1")), F.lit(False))
     square = sum(((F.col(f"{c}1") - F.col(c)) * (F.col(f"{c}1") - F.col(c)) for c in "xyz"), F.lit(0.0))
     pairs = a.join(placed, ["structure", "cx", "cy", "cz"]).where((~F.col("own") | (F.col("ord1") < F.col("ord"))) & (square < d * d) & ~bonded)
-    close = pairs.groupBy("structure").agg(F.count("*").alias("n"))
+    close = pairs.groupBy("structure").agg(F.count("*").alias("n")).unionByName(crowded.select("structure", F.col("sure").alias("n")))
     n = F.least(F.coalesce("n", F.lit(0)), F.lit(most + 1)).cast("long")
     return atoms.groupBy("structure").agg(F.count("*").alias("atoms")).join(close, "structure", "left").select(
         "structure", "atoms", n.alias("clash_pairs"), ((F.col("atoms") >= 2) & (n <= most)).alias("qc_pass")

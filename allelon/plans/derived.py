@@ -28,21 +28,20 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
         "l_linenumber AS ord", "l_partkey", "l_suppkey")
 
 
-def _letters() -> Column:
+def letters() -> Column:
     return F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
 
 
 def _dna() -> Column:
-    return F.translate(_letters(), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTNN")
+    return F.translate(letters(), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTNN")
 
 
 def contigs(spark: SparkSession, sf: str) -> DataFrame:
     """A contig for each document, an assembly for each source."""
-    letters = _letters()
     return table(spark, sf, "documents").select(
         F.col("source").alias("genome_id"), F.concat("source", F.lit(".fna")).alias("file_name"), F.lit(0).cast("long").alias("file_size"), F.col("doc_id").alias("contig_ord"),
         F.col("doc_id").cast("string").alias("contig_id"), F.concat(F.lit("contig "), F.col("doc_id").cast("string")).alias("header"),
-        _dna().alias("seq"), F.length(letters).cast("long").alias("seq_len"),
+        _dna().alias("seq"), F.length(letters()).cast("long").alias("seq_len"),
     )
 
 
@@ -58,7 +57,7 @@ def item_proteins(spark: SparkSession, sf: str) -> DataFrame:
     """(item_id, gene, ref, dna): every benchmark passage of 20 letters or more, letter by letter as residues, and DNA that codes for it."""
     back = {a: c for c, a in codons().items()}
     codon = F.create_map(*(F.lit(x) for r in RES for x in (r, back[r])))
-    ref = F.translate(_letters(), *LETTER_RESIDUES)
+    ref = F.translate(letters(), *LETTER_RESIDUES)
     rows = table(spark, sf, "benchmark").select("item_id", F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("gene"), ref.alias("ref")).where("length(ref) >= 20")
     return rows.withColumn("dna", F.array_join(F.transform(F.regexp_extract_all("ref", F.lit("(.)"), F.lit(1)), lambda r: codon[r]), ""))
 

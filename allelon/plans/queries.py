@@ -201,6 +201,14 @@ def geo_topn(spark, sf):
     return geo.geo_topn(geo_counts(spark, sf), 10)
 
 
+@query
+def geo_topn_matrix(spark, sf):
+    """The matrix cell by cell, zeros included."""
+    found = geo.geo_topn_matrix(geo_counts(spark, sf), 10)
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("Gene_Mutation"), F.col(f"`{c}`").alias("mutation_frequency")) for c in found.columns[1:])))
+    return found.select("geographic_location_clean", cells.alias("c")).select("geographic_location_clean", "c.*")
+
+
 @query
 def geo_summary(spark, sf):
     return geo.geo_summary(geo.geo_master(X.isolates(spark, sf)), X.isolate_report(spark, sf), _merged(spark, sf))
@@ -323,6 +331,28 @@ def translated_search(spark, sf):
     return found.select("genome_id", "gene", "contig_id", "frame", "score", "seq")
 
 
+@query
+def many_targets(spark, sf):
+    """Parts whose name, read backwards for four in five, holds a piece of another part's name."""
+    parts = X.table(spark, sf, "part")
+    targets = parts.where("p_partkey % 3 = 0").select(F.substring(F.upper("p_name"), 2, 7).alias("gene"))
+    return hits.target_hits(parts.select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, F.col("p_name")).otherwise(F.reverse("p_name")).alias("Gene")).where("p_partkey % 3 > 0"), targets, substring=True).select("p_partkey")
+
+
+@query
+def unreferenced_proteins(spark, sf):
+    """Proteins of the genes that only have a name in a list of known ones, not a sequence."""
+    known = _refs(spark, sf).where(~F.col("gene").like("%5"))
+    return variants.unreferenced(_proteins(spark, sf), known).select("accession", "gene")
+
+
+@query
+def unalignable_proteins(spark, sf):
+    """Documents as they stand, letters as residues: those with one that the matrix lacks."""
+    own = X.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("accession"), F.upper(X.letters()).alias("seq"))
+    return variants.unalignable(own).select("accession")
+
+
 @query
 def planted_search(spark, sf):
     """Passages' proteins, each planted in many contigs; a genome without one of them has no row for it here."""

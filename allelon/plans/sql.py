@@ -299,3 +299,12 @@ s AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN 'skipped_no_target_mutation:acrb'
 g AS (SELECT *, CASE WHEN status = 'ok' THEN mt - wt END AS ddg FROM s)
 SELECT run, net AS mutation_network, status, round(ddg, 6) AS delta_delta_g, CASE WHEN abs(ddg) < 0.5 THEN 'NO_SIGNIFICANT_BINDING_CHANGE' WHEN ddg >= 1 THEN 'REDUCED_SUBSTRATE_AFFINITY'
     WHEN ddg <= -1 THEN 'INCREASED_SUBSTRATE_AFFINITY' WHEN ddg IS NOT NULL THEN 'MODERATE_BINDING_SHIFT' END AS interpretation FROM g"""
+
+ORACLE_SQL["geo_topn_matrix"] = f"""{MERGED}, r AS (SELECT place FROM counts GROUP BY place ORDER BY sum(n) DESC, place LIMIT 10),
+c AS (SELECT gm FROM counts GROUP BY gm ORDER BY sum(n) DESC, gm LIMIT 10)
+SELECT place AS geographic_location_clean, gm AS "Gene_Mutation", coalesce(n, 0) AS mutation_frequency FROM r CROSS JOIN c LEFT JOIN counts USING (place, gm)"""
+ORACLE_SQL["many_targets"] = """WITH t AS (SELECT DISTINCT lower(substr(p_name, 2, 7)) AS t FROM part WHERE p_partkey % 3 = 0)
+SELECT p_partkey FROM part WHERE p_partkey % 3 > 0 AND EXISTS (SELECT 1 FROM t WHERE contains(lower(CASE WHEN p_partkey % 5 = 0 THEN p_name ELSE reverse(p_name) END), t))"""
+ORACLE_SQL["unreferenced_proteins"] = f"""WITH {CONTIGS}, {PLANTED}, named AS (SELECT doc_id, contig_id AS acc, gene, ref FROM contigs JOIN items ON item_id = doc_id % (SELECT count(*) FROM benchmark) WHERE ref <> '')
+SELECT acc AS accession, gene FROM named WHERE gene LIKE '%5'"""
+ORACLE_SQL["unalignable_proteins"] = """SELECT cast(doc_id AS varchar) AS accession FROM documents WHERE regexp_matches(regexp_replace(lower(coalesce(text, '')), '[^a-z]', '', 'g'), '[jou]')"""

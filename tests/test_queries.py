@@ -1,4 +1,4 @@
-"""Every registered mutation query against its SQL in DuckDB, on the smallest tables."""
+"""Every registered mutation query against its SQL in DuckDB, on the two smallest sets of tables."""
 
 import glob
 import os
@@ -12,14 +12,19 @@ from allelon.plans.queries import QUERIES
 from allelon.plans.sql import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
+SIZES = [SF, "/root/testdata/sf0.01"]
 
 
 @pytest.fixture(scope="module")
 def con():
-    own = duckdb.connect()
-    for p in glob.glob(f"{SF}/*.parquet"):
-        own.sql(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM read_parquet('{p}')")
-    return own
+    """A connection for each set of tables."""
+    out = {}
+    for sf in SIZES:
+        out[sf] = duckdb.connect()
+        for p in glob.glob(f"{sf}/*.parquet"):
+            files_of = f"{p}/*.parquet" if os.path.isdir(p) else p
+            out[sf].sql(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM read_parquet('{files_of}')")
+    return out
 
 
 def value(x):
@@ -39,14 +44,16 @@ def test_all_but_the_search_have_sql():
     assert set(QUERIES) - set(ORACLE_SQL) == {"translated_search"} and set(ORACLE_SQL) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("sf", SIZES)
 @pytest.mark.parametrize("name", sorted(files.QUERIES))
-def test_files_equal_sql(spark, con, name):
-    assert rows(files.QUERIES[name](spark, SF).toPandas()) == rows(con.sql(files.ORACLE_SQL[name]).df())
+def test_files_equal_sql(spark, con, name, sf):
+    assert rows(files.QUERIES[name](spark, sf).toPandas()) == rows(con[sf].sql(files.ORACLE_SQL[name]).df())
 
 
+@pytest.mark.parametrize("sf", SIZES)
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
-def test_query_equals_sql(spark, con, name):
-    assert rows(QUERIES[name](spark, SF).toPandas()) == rows(con.sql(ORACLE_SQL[name]).df())
+def test_query_equals_sql(spark, con, name, sf):
+    assert rows(QUERIES[name](spark, sf).toPandas()) == rows(con[sf].sql(ORACLE_SQL[name]).df())
 
 
 def test_search_finds_its_own_contigs(spark):
