@@ -124,11 +124,14 @@ def score_mutations(df: DataFrame, mutation_col: str = "Mutation") -> DataFrame:
     )
 
 
-def network_scores(df: DataFrame, network: str, mutation_col: str, order: list[str]) -> DataFrame:
+def network_scores(df: DataFrame, network: str, mutation_col: str, order: list[str], most: int = 1_000_000) -> DataFrame:
     """Name, mean and highest severity of each network of mutations, to 2 places; an error where none can be scored.
 
-    Severities are averaged in hundredths, so that the mean is rounded half up exactly.
+    The name holds all of a network's mutations in one text, so a network of more than ``most`` rows is an error, raised before any is
+    gathered. Severities are averaged in hundredths, so that the mean is rounded half up exactly.
     """
+    if large := df.groupBy(network).agg(F.count("*").alias("__n")).where(F.col("__n") > most).limit(1).collect():
+        raise ValueError(f"the network {large[0][0]} has {large[0][1]} mutations, more than {most} for one name")
     cents = F.round(F.col("Severity") * 100).cast("long")
     total, n = F.sum(cents), F.count(cents)
     return (

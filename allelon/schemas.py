@@ -1,8 +1,5 @@
 """Fixed schemas of the tables that operators exchange; ids are always strings."""
 
-CONTIGS = "genome_id string, file_name string, file_size long, contig_ord int, contig_id string, header string, seq string, seq_len long"
-SEQUENCES = "file_name string, name string, seq string, error string"
-HITS = "Gene string, Contig string, Start long, End long, Strand string, Identity double, Source string, Accession string"
 BLAST10 = "qseqid string, sseqid string, pident double, length long, qstart long, qend long, sstart long, send long, sstrand string, slen long"
 TBLASTN13 = (
     "qseqid string, sseqid string, pident double, length long, mismatch long, gapopen long, qstart long, qend long, "

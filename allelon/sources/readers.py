@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -150,6 +151,13 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def _named(df: DataFrame, schema: str) -> list[Column]:
+    """The columns of ``schema`` found by their names, null where they are missing or cells aren't of their type."""
+    kinds = StructType.fromDDL(schema)
+    cols = [F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in df.columns else F.lit(None).cast(f.dataType) for f in kinds]
+    return [c.alias(f.name) for c, f in zip(cols, kinds, strict=True)]
+
+
 def _by_name(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
     """A CSV with a header as ``schema``: columns are found by their names, missing ones are null, further ones left out.
 
@@ -158,9 +166,7 @@ def _by_name(spark: SparkSession, path: str, schema: str, required: tuple[str, .
     df = spark.read.csv(path, header=True)
     if df.columns:
         require_columns(df, *required)
-    kinds = StructType.fromDDL(schema)
-    cols = [F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in df.columns else F.lit(None).cast(f.dataType) for f in kinds]
-    return df.select(*(c.alias(f.name) for c, f in zip(cols, kinds, strict=True)))
+    return df.select(*_named(df, schema))
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
@@ -171,15 +177,43 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return _by_name(spark, path, schemas.EDGES)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).exists(own)
+
+
+def by_header(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """CSV files with headers, a scan for each *different* header line whatever the number of files: all columns as text, and __k, the number of the file's path.
+
+    ``paths`` are files or directories of files; the driver holds their names and header lines. A header stands in one line.
+    """
+    if not paths:
+        return []
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("value", "n").alias("head")).collect()
+    bare = lambda p: re.sub("^[a-z0-9]+:/+", "/", p.rstrip("/"))
+    order = {bare(p): k for k, p in enumerate(paths)}
+    groups: dict[str, list[tuple[str, int]]] = {}
+    for r in first:
+        own = bare(unquote(r["file"]))
+        groups.setdefault(r["head"].rstrip("\r"), []).append((r["file"], order[own] if own in order else order[own.rsplit("/", 1)[0]]))
+    out = []
+    for _, files in sorted(groups.items()):
+        numbers = spark.createDataFrame(files, "__file string, __k int")  # a row a file, as in Spark's own listing
+        df = spark.read.csv([unquote(f) for f, _ in files], header=True)
+        out.append(df.withColumn("__file", F.col("_metadata.file_path")).join(F.broadcast(numbers), "__file").drop("__file"))
+    return out
+
+
 def read_isolates(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The kept columns of isolate tables with differing headers, missing ones empty, with the order of files and rows."""
 
-    def one(k: int, path: str) -> DataFrame:
-        df = spark.read.csv(path, header=True)
+    def kept(df: DataFrame) -> DataFrame:
         cols = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in schemas.ISOLATE_COLUMNS]
-        return df.select(*cols, F.lit(k).alias("src_ord"), F.monotonically_increasing_id().alias("row_ord"))
+        return df.select(*cols, F.col("__k").alias("src_ord"), F.monotonically_increasing_id().alias("row_ord"))
 
-    return reduce(DataFrame.unionByName, (one(k, p) for k, p in enumerate(paths)))
+    none = ", ".join(f"`{c}` string" for c in schemas.ISOLATE_COLUMNS)
+    return reduce(DataFrame.unionByName, map(kept, by_header(spark, paths)), spark.createDataFrame([], f"{none}, src_ord int, row_ord long"))
 
 
 def _field(start: int, size: int) -> Column:
@@ -207,11 +241,10 @@ def read_docking_logs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, runs: dict[str, str], schema: str, defaults: dict[str, str] | None = None) -> DataFrame:
-    """The tables of several runs with a run column, columns by their names; missing files count as empty, null cells get their default."""
-    out = spark.createDataFrame([], schema).withColumn("run", F.lit(None).cast("string"))
-    for name, path in runs.items():
-        try:
-            out = out.unionByName(_by_name(spark, path, schema).withColumn("run", F.lit(name)))
-        except AnalysisException:
-            continue
+    """The tables of many runs with a run column, columns by their names; missing files count as empty, null cells get their default."""
+    names = [n for n, p in runs.items() if _exists(spark, p)]
+    of = spark.createDataFrame(list(enumerate(names)), "__k int, run string")
+    found = [df.select("__k", *_named(df, schema)) for df in by_header(spark, [runs[n] for n in names])]
+    none = spark.createDataFrame([], f"__k int, {schema}")
+    out = reduce(DataFrame.unionByName, found, none).join(F.broadcast(of), "__k").select(*StructType.fromDDL(schema).names, "run")  # a row a run
     return out.na.fill(defaults or {})

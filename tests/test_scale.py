@@ -237,3 +237,35 @@ def test_sure_clashes_are_exact_within_cells(spark):
     for most in (5, 10_000):
         got = {r["structure"]: r["clash_pairs"] for r in structures.clash_qc(atoms, most=most).collect()}
         assert got == {s: min(n, most + 1) for s, n in close.items()}
+
+
+# Many files
+
+
+def test_files_are_scanned_by_header(spark, tmp_path):
+    heads = ["Genome ID,isolation_country", "isolation_country,Genome ID,note", "Genome ID"]
+    paths = []
+    for k in range(40):
+        own = tmp_path / f"f {k}é.csv"
+        cells = {"Genome ID": f"g{k}", "isolation_country": f"c{k}", "note": "x"}
+        names = heads[k % 3].split(",")
+        own.write_text(heads[k % 3] + ("\r\n" if k % 2 else "\n") + "".join(",".join(f"{cells[n]}.{r}" for n in names) + "\n" for r in range(2)))
+        paths.append(str(own))
+    assert len(readers.by_header(spark, paths)) == 3
+    found = readers.read_isolates(spark, paths).orderBy("src_ord", "row_ord").collect()
+    assert [(r["Genome ID"], r["isolation_country"], r["src_ord"]) for r in found] == [(f"g{k}.{r}", f"c{k}.{r}" if k % 3 < 2 else "", k) for k in range(40) for r in range(2)]
+    assert readers.read_isolates(spark, []).collect() == []
+    runs = {f"r{k}": p for k, p in enumerate(paths)} | {"none": str(tmp_path / "missing.csv")}
+    got = readers.read_runs(spark, runs, "`Genome ID` string, isolation_country string, other int", {"isolation_country": "-"})
+    assert sorted((r["run"], r["Genome ID"], r["isolation_country"], r["other"]) for r in got.collect()) == sorted(
+        (f"r{k}", f"g{k}.{r}", f"c{k}.{r}" if k % 3 < 2 else "-", None) for k in range(40) for r in range(2))
+    assert readers.read_runs(spark, {"none": str(tmp_path / "missing.csv")}, "a int").collect() == []
+
+
+def test_a_name_of_too_many_mutations(spark):
+    from allelon.functions.scoring import network_scores
+
+    df = spark.createDataFrame([("a", "S83L", k) for k in range(5)] + [("b", "S83L", 0)], "acc string, Mutation string, k int")
+    assert network_scores(df, "acc", "Mutation", ["k"], most=5).count() == 2
+    with pytest.raises(ValueError, match="network a has 5"):
+        network_scores(df, "acc", "Mutation", ["k"], most=4)
