@@ -191,7 +191,8 @@ def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.n
     """(score, reaches the side, reaches the end) of lanes of one size, of the alignments that touch each lane's box.
 
     Row r of a lane has its reference's letter a[r] and, on diagonal d, its contig's letter b[r + d]; a box is (first row, one after its last, first
-    diagonal, one after its last). Two tables are kept: of all local alignments, and of those that have touched the box.
+    diagonal, one after its last). Two tables are kept: of all local alignments, and of those that have touched the box. A lane ends where, behind
+    its box, the latter lie more than DROP below their best.
     """
     lanes, rows = a.shape
     width = b.shape[1] - rows + 1
@@ -204,7 +205,8 @@ def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.n
     first, last = int(boxes[:, 0].min()), int(boxes[:, 1].max())
     best, touched = np.zeros((lanes, width), np.float32), np.full((lanes, width), -1e6, np.float32)
     down, down_touched, reach, pair, at = np.full_like(touched, -1e6), np.full_like(touched, -1e6), np.empty_like(touched), np.empty_like(touched), np.empty(touched.shape, np.intp)
-    top, side = np.zeros(lanes, np.float32), np.zeros(lanes, bool)
+    top, side, ends = np.zeros(lanes, np.float32), np.zeros(lanes, bool), np.zeros(lanes, bool)
+    lane, own_top = np.arange(lanes), np.zeros(lanes, np.float32)
 
     def step(own: np.ndarray, gap: np.ndarray) -> None:
         """The next row of a table but for gaps across: a pair, or a gap down, which comes from the next diagonal."""
@@ -232,11 +234,23 @@ def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.n
             if r < last and (live := (boxes[:, 0] <= r) & (r < boxes[:, 1])).any():
                 np.copyto(touched, best, where=inside & live[:, None])
             across(touched)
-            np.maximum(top, touched.max(1), out=top)
-            side |= np.maximum(touched[:, 0], touched[:, -1]) > np.maximum(top - DROP, 0)
+            most = touched.max(1)
+            np.maximum(own_top, most, out=own_top)
+            floor = np.maximum(own_top - DROP, 0)
+            side[lane] |= np.maximum(touched[:, 0], touched[:, -1]) > floor
+            alive = (most > floor) | (r < boxes[lane, 1])
+            touched[~alive] = down_touched[~alive] = -1e6
+            if r >= last and np.count_nonzero(alive) < 0.6 * len(alive):
+                top[lane] = own_top
+                lane, own_top, touched, down_touched, letters, rest = (x[alive] for x in (lane, own_top, touched, down_touched, letters, rest))
+                reach, pair, at = reach[: len(lane)], pair[: len(lane)], at[: len(lane)]
+                if not len(lane):
+                    break
         if r < last:
             across(best)
-    return top.astype(np.int64), side, touched.max(1) > np.maximum(top - DROP, 0)
+    top[lane] = own_top
+    ends[lane] = touched.max(1) > np.maximum(own_top - DROP, 0) if len(lane) else False
+    return top.astype(np.int64), side, ends
 
 
 def _rounded(size: int, unit: int) -> int:
