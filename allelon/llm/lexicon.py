@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from allelon.llm.common import kept, parts, texts_of
 from allelon.llm.tokens import KEPT_LETTERS, WordTable, byte_letters, library_encoder
-from allelon.llm.wordcount import word_counts
+from allelon.llm.wordcount import LONG_WORD, word_counts
 from allelon.storage import shared_dir, store
 
 #: White space as the tokenizer's own pattern knows it, without the four separators that only Python counts.
@@ -355,19 +355,23 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 65_536) -> list[str]:
-    """The most frequent words over all texts, ``most`` at most: all whose count reaches a bound.
+    """The most frequent words of LONG_WORD letters or less over all texts, ``most`` at most: all whose count reaches a bound, then some of the level below it.
 
-    The bound comes from a histogram of counts in sixteenths of an octave, so that no more than ``most`` words ever come to the driver.
+    The bound comes from a histogram of counts in sixteenths of an octave, so that no more than ``most`` short words ever come to the driver; of the level
+    that doesn't fit whole, those that sort first are taken. Longer words are merged like all others that the lexicon lacks.
     """
-    counted = word_counts(docs, word_keys, text_col)
+    counted = word_counts(docs, word_keys, text_col).where(F.length("word") <= LONG_WORD)
     counted = store(counted.select("word", F.floor(F.log2("n") * 16).cast("int").alias("level")), "word-levels")
-    total, bound = 0, 1 << 30
+    total, bound, part = 0, 1 << 30, None
     for r in sorted(counted.groupBy("level").count().collect(), key=lambda r: -r["level"]):  # a thousand levels at most
-        total += r["count"]
-        if total > most:
+        if total + r["count"] > most:
+            part = r["level"]
             break
-        bound = r["level"]
-    return sorted(r["word"] for r in counted.where(F.col("level") >= bound).select("word").collect())
+        total, bound = total + r["count"], r["level"]
+    found = [r["word"] for r in counted.where(F.col("level") >= bound).select("word").collect()]
+    if part is not None and total < most:
+        found += [r["word"] for r in counted.where(F.col("level") == part).select("word").orderBy("word").limit(most - total).collect()]
+    return sorted(found)
 
 
 def ship_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", most: int = 65_536) -> str:

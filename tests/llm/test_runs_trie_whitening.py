@@ -239,3 +239,18 @@ def test_queries_on_tables(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((i, n, m, hashlib.sha256(t.encode()).hexdigest()) for i, n, m, t in plain_lines(docs))
     assert sorted(tuple(r) for r in queries.op11_line_dedup(spark, SF).collect()) == want
+
+
+# Words of the lexicon
+
+
+def test_frequent_words_are_short_and_fill_the_lexicon(spark):
+    from allelon.llm import lexicon
+
+    long = "w" * 1_000_000
+    docs = spark.createDataFrame([(" ".join(["aa"] * 50 + ["bb"] * 3 + ["cc", "dd", "ee"]) + f" {long} {long}",), (None,), ("",)], "text string")
+    every = lexicon.frequent_words(docs)
+    assert {"aa", "bb", "cc", "dd", "ee"} <= {w.strip("▁</w> ") for w in every} and max(map(len, every)) <= 64
+    # Words of one level beyond the bound: those that sort first.
+    ordered = [lexicon.frequent_words(docs, most=k) for k in range(1, len(every) + 1)]
+    assert [len(w) for w in ordered] == [*range(1, len(every) + 1)] and all(set(a) < set(b) for a, b in zip(ordered, ordered[1:], strict=False))
