@@ -30,8 +30,12 @@ def geo_merged(master: DataFrame, report: DataFrame, id_col: str = "Genome ID",
 
 
 def geo_long(merged: DataFrame, id_col: str = "Genome ID") -> DataFrame:
-    """Distinct genomes of each location and mutation."""
-    return merged.groupBy("geographic_location_clean", "Mutation").agg(F.countDistinct(F.col(f"`{id_col}`")).alias("mutation_frequency"))
+    """Distinct genomes of each location and mutation.
+
+    Rows come partitioned by genome from the join, so the distinct ones need no exchange, and their counts are combined before the only one.
+    """
+    own = merged.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), "geographic_location_clean", "Mutation").distinct()
+    return own.groupBy("geographic_location_clean", "Mutation").agg(F.count("*").alias("mutation_frequency"))
 
 
 def geo_matrix(long: DataFrame, columns: list[str], name: str = "Mutation") -> DataFrame:

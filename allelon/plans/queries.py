@@ -60,7 +60,7 @@ def node_weights(spark, sf):
 
 @query
 def node_sizes(spark, sf):
-    own = networks.scaled(node_weights(spark, sf), "weight", 100.0, 1000.0, "size")
+    own = networks.scaled(store(node_weights(spark, sf), "node-weights"), "weight", 100.0, 1000.0, "size")
     return own.select("node", "weight", F.round("size", 6).alias("size"))
 
 
