@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal, localcontext
 from functools import lru_cache
 
 import numpy as np
@@ -15,17 +16,32 @@ from pyspark.sql.types import IntegerType
 from allelon.llm.common import hidden, shown
 from allelon.storage import store
 
+PI = Decimal("3.14159265358979323846264338327950288419716939937510")
+
+
+def _log_factorial(n: int) -> Decimal:
+    """Natural log of n! to some 40 digits, by Stirling's series; small ones exactly."""
+    if n < 64:
+        return Decimal(math.factorial(n)).ln()
+    x = Decimal(n)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
+    return x * x.ln() - x + (2 * PI * x).ln() / 2 + series
+
+
+def log_choose(n: int, k: int) -> Decimal:
+    """Log of the binomial coefficient. In floats the difference of such large logs would keep few digits."""
+    with localcontext() as c:
+        c.prec = 50
+        return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
+
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
     """How many of ``n`` draws without replacement are good; numpy's own where its limits allow, else inversion from the mode."""
     if good + bad < 1_000_000_000:
         return int(rng.hypergeometric(good, bad, n))
     low, high = max(0, n - bad), min(n, good)
-    lg = math.lgamma
     mode = min(high, max(low, (n + 1) * (good + 1) // (good + bad + 2)))
-    peak = math.exp(
-        lg(good + 1) - lg(mode + 1) - lg(good - mode + 1) + lg(bad + 1) - lg(n - mode + 1) - lg(bad - n + mode + 1) - lg(good + bad + 1) + lg(n + 1) + lg(good + bad - n + 1)
-    )
+    peak = float((log_choose(good, mode) + log_choose(bad, n - mode) - log_choose(good + bad, n)).exp())
     left = rng.random() - peak
     up = down = mode
     p_up = p_down = peak

@@ -254,3 +254,25 @@ def test_frequent_words_are_short_and_fill_the_lexicon(spark):
     # Words of one level beyond the bound: those that sort first.
     ordered = [lexicon.frequent_words(docs, most=k) for k in range(1, len(every) + 1)]
     assert [len(w) for w in ordered] == [*range(1, len(every) + 1)] and all(set(a) < set(b) for a, b in zip(ordered, ordered[1:], strict=False))
+
+
+# Large draws
+
+
+def test_logs_of_large_binomials():
+    import math
+    from decimal import Decimal
+
+    from allelon.llm import sharding
+
+    for n, k in ((10, 3), (63, 1), (64, 32), (200, 77), (5000, 1234), (20_000, 10_000)):
+        want = Decimal(math.comb(n, k)).ln()
+        assert abs(sharding.log_choose(n, k) - want) < Decimal("1e-17")
+    assert sharding.log_choose(10**12, 0) == 0
+    # The share of even splits of 2 x 10^12 rows, from the same series in closed form: about 1 / sqrt(pi n / 4) for draws of half.
+    n = 10**12
+    peak = float((sharding.log_choose(n, n // 2) * 2 - sharding.log_choose(2 * n, n)).exp())
+    assert abs(peak * math.sqrt(math.pi * n / 4) - 1) < 1e-9
+    rng = np.random.default_rng(1)
+    draws = [sharding._hypergeometric(rng, n, n, 10**6) for _ in range(200)]
+    assert abs(np.mean(draws) - 5e5) < 5 * 500 / 200**0.5 and 350 < np.std(draws) < 650
