@@ -103,7 +103,8 @@ class Words:
             who, word, total = who[a], word[a] * len(RESIDUES) + b, new[a, b]
         order = np.argsort(word, kind="stable")
         self.ref, self.place = ref[who[order]], place[who[order]]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=N_WORDS))]).astype(np.int32)
+        count = np.bincount(word, minlength=N_WORDS)
+        self.known, self.starts = count > 0, np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
 
     def seeds(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place of the word's first base, reference, place in it) of all seeds on one strand, in order of the base."""
@@ -119,11 +120,11 @@ class Words:
                 good &= known[3 * j : 3 * j + n]
                 word = word * len(RESIDUES) + r[3 * j : 3 * j + n]
             word[~good] = 0
-            count = self.starts[word + 1] - self.starts[word]
-            count[~good] = 0
-            at = np.flatnonzero(count)
-            size = count[at].astype(np.int64)
-            source = np.repeat(self.starts[word[at]] - np.concatenate([[0], np.cumsum(size)[:-1]]) if len(at) else size, size) + np.arange(size.sum())
+            good &= self.known[word]  # a small table first
+            at = np.flatnonzero(good)
+            word = word[at]
+            size = (self.starts[word + 1] - self.starts[word]).astype(np.int64)
+            source = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(size)[:-1]]) if len(at) else size, size) + np.arange(size.sum())
             found.append((np.repeat(at + low, size), self.ref[source], self.place[source]))
         return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
 
@@ -312,6 +313,10 @@ class Scorer:
                 step = max(1, cells // width)
                 for part in (own[i : i + step] for i in range(0, len(own), step)):
                     for turn in (False, True):
+                        if turn:  # a window that has to grow anyway isn't run from its other end
+                            part = [k for k in part if not (taller[k] or wider[k])]
+                        if not part:
+                            continue
                         top, side, end = self._run([waiting[k] for k in part], [windows[k] for k in part], turn)
                         score[part] = np.maximum(score[part], top)
                         wider[part] |= side

@@ -29,7 +29,7 @@ def report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def letters() -> Column:
-    return F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", "")
+    return F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+", "")
 
 
 def _dna() -> Column:
