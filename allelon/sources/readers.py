@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,39 +17,108 @@ from pyspark.sql.types import StructType
 
 from allelon import schemas
 from allelon.functions.scoring import RESIDUES
+from allelon.storage import store
+
+
+def _split(spark: SparkSession, path: str) -> list[tuple[str, str, list[str]]]:
+    """(file system, folder or file, expressions for the names below it) of a path or glob, as Hadoop understands it."""
+    hadoop, out = spark._jvm.org.apache.hadoop.fs, []
+    for own in hadoop.GlobExpander.expand(path):
+        top = hadoop.Path(own)
+        uri = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toUri()
+        names = uri.getPath().split("/")
+        plain = next((k for k, n in enumerate(names) if re.search(r"[*?\[{\\]", n)), len(names))
+        rest = [str(hadoop.GlobPattern(n).compiled().toString()) for n in names[plain:]]
+        out.append((f"{uri.getScheme()}://{uri.getAuthority() or ''}/", "/".join(names[:plain]) or "/", rest))
+    return out
+
+
+def _entries(system: fs.FileSystem, path: str) -> Iterator[tuple[str, bool, int]]:
+    """(name, whether it is a folder, size) of all in a folder; a local one is never held whole."""
+    if isinstance(system, fs.LocalFileSystem):
+        with os.scandir(path) as found:
+            yield from ((e.name, e.is_dir(), 0 if e.is_dir() else e.stat().st_size) for e in found)
+    else:
+        yield from ((i.base_name, i.type == fs.FileType.Directory, max(0, i.size or 0)) for i in system.get_file_info(fs.FileSelector(path)))
+
+
+_LISTED = "system string, path string, rest array<string>, folder boolean, size long"
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(system, path, size) of the files of a file, directory or glob, also of those of no bytes, listed by tasks: no name comes to the driver.
+
+    Of a directory, its own files and those of folders named key=value count, at any depth; names that start with _ or a dot don't. There is a job for each
+    level of folders, which are dealt to tasks. A path without a file or folder is an error.
+    """
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("system", pa.string()), ("path", pa.string()), ("rest", pa.list_(pa.string())), ("folder", pa.bool_()), ("size", pa.int64())])
+        for batch in batches:
+            for row in batch.to_pylist():
+                system, own, rest = fs.FileSystem.from_uri(row["system"])[0], row["path"], row["rest"]
+                info = system.get_file_info(own)
+                if info.type == fs.FileType.File:
+                    yield pa.RecordBatch.from_pylist([{**row, "folder": False, "size": info.size}] if not rest else [], schema)
+                if info.type != fs.FileType.Directory:
+                    continue
+                first, more = (re.compile(rest[0]), rest[1:]) if rest else (None, [])
+                out = []
+                for name, folder, size in _entries(system, own):
+                    hidden = name.startswith((".", "_")) and "=" not in name
+                    wanted = first.fullmatch(name) and (folder or not more) if first else not folder or "=" in name
+                    if wanted and not hidden:
+                        out.append({"system": row["system"], "path": f"{own.rstrip('/')}/{name}", "rest": more, "folder": folder, "size": size})
+                    if len(out) == 10_000:
+                        yield pa.RecordBatch.from_pylist(out, schema)
+                        out = []
+                yield pa.RecordBatch.from_pylist(out, schema)
+
+    tops = _split(spark, path)
+    if not any(rest or _exists(spark, f"{system}{own.lstrip('/')}") for system, own, rest in tops):
+        raise AnalysisException(f"no such path: {path}")
+    level, found = spark.createDataFrame([(*t, True, 0) for t in tops], _LISTED), None
+    while (n := level.count()) > 0:
+        own = store(level.repartition(min(n, 2 * spark.sparkContext.defaultParallelism)).mapInArrow(look, _LISTED), "listed")
+        found = own if found is None else found.unionByName(own)
+        level = own.where("folder")
+    if all(rest for _, _, rest in tops) and found.isEmpty():
+        raise AnalysisException(f"no such path: {path}")
+    return found.where("NOT folder").select("system", "path", "size")
 
 
 def empty_files(spark: SparkSession, path: str) -> list[str]:
-    """Paths of the files of no bytes that a directory or glob lists, which Spark's sources leave out. Few, as a rule; the rest isn't brought here."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(path)
-    system = top.getFileSystem(conf)
-
-    def listed(status) -> list[tuple[str, str, str]]:
-        # One text for the whole listing instead of a call for each file.
-        return re.findall(r"path=(.*?); isDirectory=(true|false)(?:; length=(\d+))?", jvm.org.apache.commons.lang3.ArrayUtils.toString(status)) if status is not None else []
-
-    found, out = listed(system.globStatus(top)), []
-    while found:
-        more = []
-        for own, folder, size in found:
-            if own.rsplit("/", 1)[-1].startswith(("_", ".")):
-                continue
-            if folder == "true":
-                inner = listed(system.listStatus(jvm.org.apache.hadoop.fs.Path(own)))
-                more += [x for x in inner if x[1] == "false"]
-            elif size == "0":
-                out.append(own)
-        found = more
-    return out
+    """Paths of the files of no bytes, for a look at a few files; no reader needs it."""
+    return [r["path"] for r in list_files(spark, path).where("size = 0").collect()]
+
+
+#: Tasks at most of one job over files, bytes of files that a task reads, and bytes that opening a file counts as.
+MOST_TASKS, TASK_BYTES, OPEN_BYTES = 20_000, 64 << 20, 16 << 10
+
+
+def _whole(spark: SparkSession, path: str, ending: str = "") -> DataFrame:
+    """(value, file_name, file_size) of each file whose name has the ending, also of those of no bytes. Tasks list the files and open them, however many there are."""
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, systems = pa.schema([("value", pa.binary()), ("file_name", pa.string()), ("file_size", pa.int64())]), {}
+        for batch in batches:
+            out, held = [], 0
+            for row in batch.to_pylist():
+                system = systems.setdefault(row["system"], None) or fs.FileSystem.from_uri(row["system"])[0]
+                systems[row["system"]] = system
+                with system.open_input_stream(row["path"]) as f:  # decompressed by the name's ending
+                    out.append({"value": f.read(), "file_name": row["path"].rsplit("/", 1)[-1], "file_size": row["size"]})
+                held += len(out[-1]["value"]) + 200
+                if held > 4 << 20:
+                    yield pa.RecordBatch.from_pylist(out, kinds)
+                    out, held = [], 0
+            yield pa.RecordBatch.from_pylist(out, kinds)
 
-def _whole(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each file, also for those of no bytes."""
-    rows = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"))
-    if empty := empty_files(spark, path):
-        rows = rows.unionByName(spark.createDataFrame([("", p.rsplit("/", 1)[-1], 0) for p in empty], "value string, file_name string, file_size long"))
-    return rows
+    files = list_files(spark, path).where(F.endswith("path", F.lit(ending)))
+    count, size = files.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n = max(min(count, spark.sparkContext.defaultParallelism), -(-(size + count * OPEN_BYTES) // TASK_BYTES), 1)
+    rows = files.repartition(min(n, MOST_TASKS), "path").mapInArrow(read, "value binary, file_name string, file_size long")
+    return rows.withColumn("value", F.col("value").cast("string"))  # the bytes as they are
 
 
 def read_contigs(spark: SparkSession, path: str) -> DataFrame:
@@ -73,13 +146,13 @@ def read_long_fasta(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s+", "").alias("seq"))
 
 
-def read_sequences(spark: SparkSession, path: str) -> DataFrame:
+def read_sequences(spark: SparkSession, path: str, ending: str = "") -> DataFrame:
     """One sequence for each file: one FASTA record, or raw text. ``error`` is set for files of no bytes or of white space only, and for several records."""
     text = F.col("value")
     fasta = F.ltrim(text).startswith(">")
     seq = F.upper(F.regexp_replace(F.when(fasta, F.regexp_replace(text, r"^\s*>[^\r\n]*", "")).otherwise(text), r"\s+", ""))
     several = fasta & text.rlike(r"(?s)\n>.*")
-    return _whole(spark, path).select(
+    return _whole(spark, path, ending).select(
         "file_name",
         F.regexp_replace("file_name", r"\.[^.]*$", "").alias("name"),
         F.when(~several & (seq != ""), seq).alias("seq"),
@@ -95,7 +168,7 @@ def read_proteins(spark: SparkSession, path: str) -> DataFrame:
 
 def read_references(spark: SparkSession, path: str) -> DataFrame:
     """(gene, seq) of Gene_WT.faa files below a directory."""
-    return read_sequences(spark, f"{path}/*_WT.faa").where("seq IS NOT NULL").select(F.regexp_replace("name", "_WT$", "").alias("gene"), "seq")
+    return read_sequences(spark, path, "_WT.faa").where("seq IS NOT NULL").select(F.regexp_replace("name", "_WT$", "").alias("gene"), "seq")
 
 
 def read_gene_list(spark: SparkSession, path: str, comments: bool = True, lower: bool = True) -> DataFrame:
@@ -108,7 +181,7 @@ def read_gene_list(spark: SparkSession, path: str, comments: bool = True, lower:
 
 def _json_or_empty(spark: SparkSession, path: str, kind: str) -> DataFrame:
     try:
-        return spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("m"))
+        return _whole(spark, path).select(F.from_json("value", kind).alias("m"))
     except AnalysisException:  # no such file
         return spark.createDataFrame([], f"m {kind}")
 

@@ -1,16 +1,18 @@
 """Skewed, long, empty and repeated inputs of the mutation operators, against plain versions."""
 
+import gzip
 import random
 import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from allelon.functions.scoring import RESIDUES
 from allelon.functions.sequence import codons, protein_table11, reverse_complement, subsequence
 from allelon.operators import alignment, assembly, hits, networks, search, structures, variants
-from allelon.sources import readers
+from allelon.sources import readers, writers
 
 BACK = {a: c for c, a in codons().items()}
 
@@ -269,3 +271,21 @@ def test_a_name_of_too_many_mutations(spark):
     assert network_scores(df, "acc", "Mutation", ["k"], most=5).count() == 2
     with pytest.raises(ValueError, match="network a has 5"):
         network_scores(df, "acc", "Mutation", ["k"], most=4)
+
+
+def test_files_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Files in folders by key are read with those beside them, each once and its bytes as they are; Spark's own listing on the driver isn't asked."""
+    writers.write_files(spark.createDataFrame([(f"n{k}.fna", f">c\nAC{'G' * k}\n") for k in range(40)] + [("e.fna", None)], "name string, text string"), str(tmp_path / "a"))
+    writers.write_files(spark.createDataFrame([("flat.fna", ">c\nA\n")], "name string, text string"), str(tmp_path / "a"), folders=0)
+    for name in ("old/deep.fna", "part=_/x y+%20{é}.fna", "part=_/.hid"):
+        (tmp_path / "a" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "a" / name).write_text(">c\nT\n")
+    (tmp_path / "a" / "z.fna.gz").write_bytes(gzip.compress(b">c\nTT\n"))
+    monkeypatch.setattr(type(spark.read), "text", lambda *a, **k: pytest.fail("listed on the driver"))
+    got = sorted((r["genome_id"], r["seq"]) for r in readers.read_contigs(spark, str(tmp_path / "a")).collect())
+    assert got == sorted([(f"n{k}", f"AC{'G' * k}") for k in range(40)] + [("e", ""), ("flat", "A"), ("x y+%20{é}", "T"), ("z.fna", "TT")])
+    assert len(list((tmp_path / "a").glob("n*.fna"))) == 0
+    assert sorted(r["seq"] for r in readers.read_contigs(spark, f"{tmp_path}/[a]/{{flat,z}}*").collect()) == ["A", "TT"]
+    assert [r["gene"] for r in readers.read_resistance_db(spark, str(tmp_path / "a")).collect()] == []
+    with pytest.raises(AnalysisException):
+        readers.read_contigs(spark, f"{tmp_path}/none")
