@@ -36,6 +36,11 @@ def _files(df: DataFrame, name: str, text: str, folder: str) -> str:
     return path
 
 
+def _spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a few columns over all cores: a small table is one task's, but may name very many files."""
+    return df.select(*columns).repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _table(df: DataFrame, folder: str, **options) -> str:
     path = new_path(df.sparkSession, folder)
     df.write.csv(path, **options)
@@ -149,13 +154,13 @@ def resistance_files(spark, sf):
     """Known mutations in a file for each part, of which some aren't JSON."""
     text = """CASE WHEN p_partkey % 50 = 0 THEN '{' ELSE concat('{"g', cast(p_partkey % 7 AS string), '": [{"mutation": "A', cast(p_partkey AS string),
         'V", "phenotype": "Efflux", "pdb": "1ABC"}, {"mutation": "S', cast(p_partkey AS string), 'L", "phenotype": null}]}') END"""
-    return readers.read_resistance_db(spark, _files(X.table(spark, sf, "part"), "concat('p', cast(p_partkey AS string), '.json')", text, "resistance"))
+    return readers.read_resistance_db(spark, _files(_spread(X.table(spark, sf, "part"), "p_partkey"), "concat('p', cast(p_partkey AS string), '.json')", text, "resistance"))
 
 
 @query("SELECT 'gene' || s_suppkey AS gene, 'drug' || s_suppkey % 3 AS drug FROM supplier")
 def drug_files(spark, sf):
     text = """concat('{"_note": "x", "GENE', cast(s_suppkey AS string), '": "drug', cast(s_suppkey % 3 AS string), '"}')"""
-    return readers.read_drug_map(spark, _files(X.table(spark, sf, "supplier"), "concat(cast(s_suppkey AS string), '.json')", text, "drugs"))
+    return readers.read_drug_map(spark, _files(_spread(X.table(spark, sf, "supplier"), "s_suppkey"), "concat(cast(s_suppkey AS string), '.json')", text, "drugs"))
 
 
 # Hits
@@ -285,7 +290,7 @@ def atom_files(spark, sf):
 def docking_logs(spark, sf):
     """A log for each user, some without a result line."""
     text = "concat('mode | affinity\\n 1 none\\n', CASE WHEN user_id % 5 = 0 THEN '' ELSE concat('   1   ', cast(wt_affinity AS string), '  0.0\\n   1 -99\\n') END, '   2  -1.5\\n')"
-    return readers.read_docking_logs(spark, _files(X.affinities(spark, sf), "concat('u', cast(user_id AS string), '.log')", text, "logs"))
+    return readers.read_docking_logs(spark, _files(_spread(X.affinities(spark, sf), "user_id", "wt_affinity"), "concat('u', cast(user_id AS string), '.log')", text, "logs"))
 
 
 # Genomes
