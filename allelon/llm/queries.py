@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from allelon.llm import langid, lexicon, linededup, packing, quality, rules, sharding, simhash, tokens, topk, trie, warc, whitening
 from allelon.llm.common import crc_fold, read_table
+from allelon.storage import store
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,7 +50,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = quality.predict(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+    rows = store(quality.feature_rows(docs), "quality-features")  # texts are read once
+    found = quality.predict_rows(rows, quality.fit_rows(rows, read_table(spark, sf_dir, "labels")))
     return found.select(
         "doc_id", F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
     )
