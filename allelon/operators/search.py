@@ -78,7 +78,9 @@ class Words:
     def __init__(self, refs: list[str], least: int = LEAST):
         score = matrix()[: len(RESIDUES), : len(RESIDUES)].astype(np.int16)
         own, ref, place = [], [], []
-        codes = [coded(known_letters(r)) for r in refs]
+        codes = self.codes = [coded(known_letters(r)) for r in refs]
+        # A residue scores most with itself alone, so a reference of such residues has its best score only where it stands as it is.
+        self.plain = np.array([len(c) >= 2 * K and bool((c < len(RESIDUES)).all()) for c in codes], bool)
         gap = np.full(ABOUT + K, WALL)
         self.letters = np.concatenate([gap, *(x for c in codes for x in (c, gap))])
         self.begin = np.cumsum([len(gap), *(len(c) + len(gap) for c in codes)])
@@ -106,19 +108,18 @@ class Words:
         count = np.bincount(word, minlength=N_WORDS)
         self.known, self.starts = count > 0, np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
 
-    def seeds(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the word's first base, reference, place in it) of all seeds on one strand, in order of the base."""
+    def seeds(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the word's first base, reference, place in it) of all seeds on one strand, in order of the base; given is the residue that starts at each base."""
         found = []
-        for low in range(0, max(0, len(own) - 3 * K + 1), TOGETHER):
-            b = own[low : low + TOGETHER + 3 * K - 1].astype(np.int16)
-            codon = b[:-2] * 25 + b[1:-1] * 5 + b[2:]
-            r = _residue_numbers()[codon]
+        for low in range(0, max(0, len(codes) - 3 * (K - 1)), TOGETHER):
+            r = codes[low : low + TOGETHER + 3 * (K - 1)]
             n = len(r) - 3 * (K - 1)
             known = r < len(RESIDUES)
             good, word = known[:n].copy(), r[:n].astype(np.int32)
             for j in range(1, K):
                 good &= known[3 * j : 3 * j + n]
-                word = word * len(RESIDUES) + r[3 * j : 3 * j + n]
+                word *= len(RESIDUES)
+                word += r[3 * j : 3 * j + n]
             word[~good] = 0
             good &= self.known[word]  # a small table first
             at = np.flatnonzero(good)
@@ -128,24 +129,31 @@ class Words:
             found.append((np.repeat(at + low, size), self.ref[source], self.place[source]))
         return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
 
-    def _ungapped(self, own: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray, ref: np.ndarray, place: np.ndarray, together: int = 1 << 11) -> np.ndarray:
-        """The best score without gaps of stretches of each seed's diagonal that take in the seed, whose first base is given with its contig's bounds."""
-        score = np.pad(matrix(), ((0, 1), (0, 1)), constant_values=-1e4).astype(np.float32)
-        steps = np.arange(-ABOUT, ABOUT + K)
+    def _ungapped(self, codes: np.ndarray, first: np.ndarray, ref: np.ndarray, place: np.ndarray, together: int = 1 << 10) -> np.ndarray:
+        """The best score without gaps of stretches of each seed's diagonal that take in the seed, whose first base is given. Walls in ``codes`` part the contigs."""
+        score = np.pad(matrix(), ((0, 1), (0, 1)), constant_values=-1e4).astype(np.float32).reshape(-1)
+        steps, side = np.arange(-ABOUT, ABOUT + K), np.full(3 * (ABOUT + K), WALL, np.uint8)
+        rows = np.concatenate([side, codes, side]).astype(np.int16) * np.int16(WALL + 1)
+        first, place = first + len(side), self.begin[ref] + place
         out = np.zeros(len(first), np.float32)
         for i in range(0, len(first), together):
             k = slice(i, i + together)
-            p = first[k, None] + 3 * steps
-            known = (p >= low[k, None]) & (p + 2 < high[k, None])
-            p[~known] = low[k].min()
-            codon = own[p].astype(np.int16) * 25 + own[np.minimum(p + 1, len(own) - 1)] * np.int16(5) + own[np.minimum(p + 2, len(own) - 1)]
-            pair = score[np.where(known, _residue_numbers()[codon], WALL), self.letters[self.begin[ref[k]][:, None] + place[k, None] + steps]]
+            pair = score[rows[first[k, None] + 3 * steps] + self.letters[place[k, None] + steps]]
             word, left, right = pair[:, ABOUT : ABOUT + K].sum(1), pair[:, :ABOUT][:, ::-1], pair[:, ABOUT + K :]
             out[k] = word + sum(np.maximum(np.cumsum(x, axis=1).max(1), 0) for x in (left, right))
         return out
 
-    def candidates(self, contigs: list[np.ndarray], apart: int = APART) -> list[tuple[int, int, int, int, int, int, int]]:
-        """(contig, frame, reference, lowest and highest diagonal, first place in the reference, one after the last) of one strand of several contigs.
+    def _whole(self, own: np.ndarray, last: np.ndarray, begin: np.ndarray, ref: np.ndarray) -> np.ndarray:
+        """Whether the reference stands before the end of each seed, whose first base is given with its contig's."""
+        out = np.zeros(len(last), bool)
+        for k, (base, low, r) in enumerate(zip(last.tolist(), begin.tolist(), ref.tolist(), strict=True)):
+            start = base - 3 * (len(self.codes[r]) - K)
+            out[k] = start >= low and np.array_equal(residues(own[start : base + 3 * K], 0), self.codes[r])
+        return out
+
+    def candidates(self, contigs: list[np.ndarray], apart: int = APART) -> tuple[list[tuple[int, ...]], list[tuple[int, int, int, int]]]:
+        """(contig, frame, reference, lowest and highest diagonal, first place in the reference, one after the last) of one strand of several contigs,
+        and (contig, frame, reference, first residue) of those among them that are a whole reference as it is.
 
         A diagonal is a place in the frame less one in the reference. An unknown base parts the contigs, so no word lies in two.
         """
@@ -153,27 +161,36 @@ class Words:
         own = np.concatenate([x for c in contigs for x in (c, gap)])
         sizes = np.array([len(c) for c in contigs])
         starts = np.cumsum(sizes + 1) - sizes - 1
-        base, ref, place = self.seeds(own)
+        b = own.astype(np.uint8)
+        codes = _residue_numbers()[b[:-2] * np.uint8(25) + b[1:-1] * np.uint8(5) + b[2:]] if len(b) > 2 else np.empty(0, np.uint8)
+        base, ref, place = self.seeds(codes)
         if not len(base):
-            return []
+            return [], []
         contig = np.searchsorted(starts, base, "right") - 1
         within = base - starts[contig]
-        frame, at = within % 3, within // 3
+        at = within // 3
+        frame = within - 3 * at
         diagonal = at - place
         # One number a diagonal of a contig's frame and reference, with room for places.
         low, room = int(diagonal.min()), int(at.max()) + apart + 1
         wide = int(diagonal.max()) - low + 1
-        group = (contig * len(self.begin) + ref) * 3 + frame
-        number = (group * wide + (diagonal - low)) * room + at
-        order = np.argsort(number, kind="stable")
-        number = number[order]
+        number = np.sort((((contig * len(self.begin) + ref) * 3 + frame) * wide + (diagonal - low)) * room + at)
+        near = number[1:][np.diff(number) <= apart]
         # The first seed on the diagonal within reach lies a word's length or more before.
-        second = number - number[np.searchsorted(number, number - apart)] >= K
-        hit = order[second]
-        begin = starts[contig[hit]]
-        hit = hit[self._ungapped(own, base[hit], begin, begin + sizes[contig[hit]], ref[hit], place[hit]) >= TRIGGER]
+        near = near[near - number[np.searchsorted(number, near - apart)] >= K]
+        group, at = near // room, near % room
+        group, diagonal = group // wide, group % wide + low
+        frame, ref, contig, place = group % 3, group // 3 % len(self.begin), group // 3 // len(self.begin), at - diagonal
+        base = starts[contig] + 3 * at + frame
+        ends = (starts + sizes)[:, None] - [2, 1, 0]
+        codes[ends[(ends >= 0) & (ends < len(codes))]] = WALL  # no stretch leaves its contig
+        hit = np.flatnonzero(self._ungapped(codes, base, ref, place) >= TRIGGER)
         if not len(hit):
-            return []
+            return [], []
+        size = (self.begin[1:] - self.begin[:-1] - ABOUT - K)[ref[hit]]
+        last = hit[self.plain[ref[hit]] & (place[hit] == size - K)]
+        last = last[self._whole(own, base[last], starts[contig[last]], ref[last])]
+        whole = list(zip(contig[last].tolist(), frame[last].tolist(), ref[last].tolist(), diagonal[last].tolist(), strict=True))
         group, diagonal, place = group[hit], diagonal[hit], place[hit]
         order = np.lexsort((diagonal, group))
         group, diagonal, place = group[order], diagonal[order], place[order]
@@ -185,7 +202,7 @@ class Words:
         low, high = np.minimum.reduceat(diagonal, first), np.maximum.reduceat(diagonal, first)
         group = group[first]
         columns = (group // 3 // len(self.begin), group % 3, group // 3 % len(self.begin), low, high, place[first], place[last] + K)
-        return list(zip(*(c.tolist() for c in columns), strict=True))
+        return list(zip(*(c.tolist() for c in columns), strict=True)), whole
 
 
 def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,34 +215,39 @@ def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.n
     lanes, rows = a.shape
     width = b.shape[1] - rows + 1
     score = np.pad(matrix(), ((0, 1), (0, 1)), constant_values=-1e4).astype(np.float32).reshape(-1)
-    letters, rest = a * (WALL + 1), np.ascontiguousarray(b)
-    place = np.arange(width, dtype=np.float32) * MORE
+    # A row of an array is a diagonal (or a place) of all lanes, so that steps from one to the next are on whole blocks.
+    letters, rest = np.ascontiguousarray(a.T) * (WALL + 1), np.ascontiguousarray(b.T)
+    place = np.repeat(np.arange(width, dtype=np.float32) * MORE, lanes).reshape(width, lanes)
     back = place[1:] - MORE + FIRST
-    d = np.arange(width)[None, :]
-    inside = (d >= boxes[:, 2, None]) & (d < boxes[:, 3, None])
+    d = np.arange(width)[:, None]
+    inside = (d >= boxes[:, 2]) & (d < boxes[:, 3])
     first, last = int(boxes[:, 0].min()), int(boxes[:, 1].max())
-    best, touched = np.zeros((lanes, width), np.float32), np.full((lanes, width), -1e6, np.float32)
-    down, down_touched, reach, pair, at = np.full_like(touched, -1e6), np.full_like(touched, -1e6), np.empty_like(touched), np.empty_like(touched), np.empty(touched.shape, np.intp)
+    best, touched = np.zeros((width, lanes), np.float32), np.full((width, lanes), -1e6, np.float32)
+    down, down_touched, reach, other, pair, at = np.full_like(touched, -1e6), np.full_like(touched, -1e6), np.empty_like(touched), np.empty_like(touched), np.empty_like(touched), np.empty(touched.shape, np.intp)
     top, side, ends = np.zeros(lanes, np.float32), np.zeros(lanes, bool), np.zeros(lanes, bool)
     lane, own_top = np.arange(lanes), np.zeros(lanes, np.float32)
 
     def step(own: np.ndarray, gap: np.ndarray) -> None:
         """The next row of a table but for gaps across: a pair, or a gap down, which comes from the next diagonal."""
-        np.subtract(gap[:, 1:], MORE, out=gap[:, :-1])
-        gap[:, -1] = -1e6
-        np.subtract(own[:, 1:], FIRST, out=reach[:, 1:])
-        np.maximum(gap[:, :-1], reach[:, 1:], out=gap[:, :-1])
+        np.subtract(gap[1:], MORE, out=gap[:-1])
+        gap[-1] = -1e6
+        np.subtract(own[1:], FIRST, out=reach[1:])
+        np.maximum(gap[:-1], reach[1:], out=gap[:-1])
         np.add(own, pair, out=own)
         np.maximum(own, gap, out=own)
 
     def across(own: np.ndarray) -> None:
-        np.add(own, place, out=reach)
-        np.maximum.accumulate(reach, axis=1, out=reach)
-        np.subtract(reach[:, :-1], back, out=reach[:, :-1])
-        np.maximum(own[:, 1:], reach[:, :-1], out=own[:, 1:])
+        """Gaps across start at any diagonal before: a running maximum, by steps that double."""
+        most, free, k = np.add(own, place, out=reach), other, 1
+        while k < width - 1:
+            np.maximum(most[k:], most[:-k], out=free[k:])
+            free[:k] = most[:k]
+            most, free, k = free, most, 2 * k
+        np.subtract(most[:-1], back, out=free[:-1])
+        np.maximum(own[1:], free[:-1], out=own[1:])
 
     for r in range(rows):
-        np.add(rest[:, r : r + width], letters[:, r, None], out=at)
+        np.add(rest[r : r + width], letters[r], out=at)
         np.take(score, at, out=pair, mode="clip")
         if r < last:  # below all boxes only what has touched one counts
             step(best, down)
@@ -233,24 +255,27 @@ def window_scores(a: np.ndarray, b: np.ndarray, boxes: np.ndarray) -> tuple[np.n
         if r >= first:
             step(touched, down_touched)
             if r < last and (live := (boxes[:, 0] <= r) & (r < boxes[:, 1])).any():
-                np.copyto(touched, best, where=inside & live[:, None])
+                np.copyto(touched, best, where=inside & live)
             across(touched)
-            most = touched.max(1)
+            most = touched.max(0)
             np.maximum(own_top, most, out=own_top)
             floor = np.maximum(own_top - DROP, 0)
-            side[lane] |= np.maximum(touched[:, 0], touched[:, -1]) > floor
+            side[lane] |= np.maximum(touched[0], touched[-1]) > floor
             alive = (most > floor) | (r < boxes[lane, 1])
-            touched[~alive] = down_touched[~alive] = -1e6
+            if not alive.all():
+                np.copyto(touched, -1e6, where=~alive)
+                np.copyto(down_touched, -1e6, where=~alive)
             if r >= last and np.count_nonzero(alive) < 0.6 * len(alive):
                 top[lane] = own_top
-                lane, own_top, touched, down_touched, letters, rest = (x[alive] for x in (lane, own_top, touched, down_touched, letters, rest))
-                reach, pair, at = reach[: len(lane)], pair[: len(lane)], at[: len(lane)]
+                lane, own_top = lane[alive], own_top[alive]
                 if not len(lane):
                     break
+                touched, down_touched, letters, rest, place, back = (np.ascontiguousarray(x[:, alive]) for x in (touched, down_touched, letters, rest, place, back))
+                reach, other, pair, at = np.empty_like(touched), np.empty_like(touched), np.empty_like(touched), np.empty(touched.shape, np.intp)
         if r < last:
             across(best)
     top[lane] = own_top
-    ends[lane] = touched.max(1) > np.maximum(own_top - DROP, 0) if len(lane) else False
+    ends[lane] = touched.max(0) > np.maximum(own_top - DROP, 0) if len(lane) else False
     return top.astype(np.int64), side, ends
 
 
@@ -262,12 +287,17 @@ def _rounded(size: int, unit: int) -> int:
     return n
 
 
+def best_scores(refs: list[str]) -> list[int]:
+    """What each reference can score at most."""
+    return [int(np.maximum(matrix().max(1), 0)[coded(known_letters(r))].sum()) for r in refs]
+
+
 class Scorer:
     """Scores candidates of many contigs together; what a genome has already found of a reference leaves out what can't be better."""
 
     def __init__(self, refs: list[str]):
         self.refs = [coded(known_letters(r)) for r in refs]
-        self.most = [int(np.maximum(matrix().max(1), 0)[r].sum()) for r in self.refs]
+        self.most = best_scores(refs)
         self.best: dict[tuple, int] = {}
 
     def _window(self, candidate: tuple, rows: int, band: int) -> tuple[int, int, int, int]:
@@ -351,11 +381,13 @@ def _parts(refs: DataFrame, residues_of_part: int) -> list[list[tuple[str, str]]
         yield sorted((r["gene"], r["seq"]) for r in own.select("gene", "seq").collect())
 
 
-def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, least: int = LEAST, broadcast_residues: int = 1 << 16) -> DataFrame:
+def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], genome: str, least: int = LEAST, broadcast_residues: int = 1 << 16,
+    wanted: DataFrame | None = None) -> DataFrame:
     """(keys, frame, gene, score, seq): the best local alignment of each reference protein (gene, seq) in each genome (BLOSUM62, gap 11 and 1).
 
     ``contigs`` has ``keys``, among them ``genome``, and seq. What is searched are the candidates of the seeds (see above), which are found
-    and scored where the contig is, so that no protein moves. A contig may be of any length. Of equal scores the first contig
+    where the contig is; contigs that have some are stored with them. A genome that has the whole reference as it is somewhere can't have a better alignment, so
+    none of its other candidates is scored. With ``wanted`` (genome, gene) only those pairs are scored and returned. A contig may be of any length. Of equal scores the first contig
     and frame count; frames 3 to 5 are of the other strand. seq is the contig's part of the alignment without gaps. References are broadcast as a word table in parts of
     about ``broadcast_residues`` residues, which is some 140 places a residue; more references take a pass over the contigs for each part.
     A word with an unknown residue (X) or a stop is no seed. Genomes without a candidate have no row for the gene; contigs with a null key aren't searched.
@@ -363,14 +395,45 @@ def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], geno
     spark = contigs.sparkSession
     kinds = ", ".join(f"`{c}` {contigs.schema[c].dataType.simpleString()}" for c in keys)
     own = contigs.dropna(subset=[*keys, "seq"]).select(*keys, "seq")
-    found = None
+    at, found = keys.index(genome), None
     for genes in _parts(refs, broadcast_residues):
         names = [g for g, _ in genes]
         table = spark.sparkContext.broadcast((Words([s for _, s in genes], least), [s for _, s in genes]))
 
-        def search(batches: Iterator[pd.DataFrame], names=names, table=table) -> Iterator[pd.DataFrame]:
-            words, proteins = table.value
-            scorer, waiting, rows, size, at, letters = Scorer(proteins), [], [], 0, keys.index(genome), np.array(list(LETTERS))
+        def find(batches: Iterator[pd.DataFrame], table=table) -> Iterator[pd.DataFrame]:
+            """Contigs with their candidates (six numbers each), and whole references."""
+            words, done = table.value[0], set()
+
+            def look(held: list[tuple]) -> pd.DataFrame:
+                boxes, out = {}, []
+                for strand in (0, 3):
+                    some, whole = words.candidates([turned(b) if strand else b for _, b, _ in held])
+                    for k, frame, ref, low in whole:
+                        done.add((held[k][0][at], ref))
+                        out.append((*held[k][0], None, None, strand + frame, ref, low))
+                    for k, frame, *box in some:
+                        boxes.setdefault(k, []).append((strand + frame, *box))
+                for k, some in boxes.items():
+                    if left := [x for box in some if (held[k][0][at], box[1]) not in done for x in box]:
+                        out.append((*held[k][0], held[k][2], left, None, None, None))
+                if len(done) > 1 << 20:
+                    done.clear()  # it only saves room
+                return pd.DataFrame(out, columns=[*keys, "seq", "boxes", "frame", "ref", "low"]).astype({"frame": "Int32", "ref": "Int32", "low": "Int64"})
+
+            for pdf in batches:
+                held, n = [], 0
+                for own_keys, seq in zip(pdf[keys].itertuples(index=False, name=None), pdf["seq"], strict=True):
+                    held.append((own_keys, bases(seq), seq))
+                    n += len(seq) + 1
+                    if n >= TOGETHER:
+                        yield look(held)
+                        held, n = [], 0
+                if held:
+                    yield look(held)
+
+        def score(batches: Iterator[pd.DataFrame], names=names, table=table) -> Iterator[pd.DataFrame]:
+            proteins = table.value[1]
+            scorer, waiting, rows, size, letters = Scorer(proteins), [], [], 0, np.array(list(LETTERS))
 
             def flush() -> pd.DataFrame:
                 out = [(*rows[r], f, names[g], s, low, "".join(letters[residues(own, f % 3, low, high)])) for r, f, g, s, low, high, own in scorer.score(waiting)]
@@ -378,35 +441,39 @@ def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], geno
                 rows.clear()
                 return pd.DataFrame(out, columns=[*keys, "frame", "gene", "score", "low", "part"])
 
-            def look(contigs: list[tuple]) -> None:
-                """The candidates of contigs (keys, bases), both strands."""
-                nonlocal size
-                seen = {}
-                for strand, own in ((0, [b for _, b in contigs]), (3, [turned(b) for _, b in contigs])):
-                    for k, frame, ref, *box in words.candidates(own):
-                        if k not in seen:
-                            seen[k] = len(rows)
-                            rows.append(contigs[k][0])
-                            size += 2 * len(own[k])
-                        waiting.append((seen[k], contigs[k][0][at], own[k], strand + frame, ref, *box))
-
             for pdf in batches:
-                held, n = [], 0
-                for own_keys, seq in zip(pdf[keys].itertuples(index=False, name=None), pdf["seq"], strict=True):
-                    held.append((own_keys, bases(seq)))
-                    n += len(seq) + 1
-                    if n >= TOGETHER:
-                        look(held)
-                        held, n = [], 0
+                for own_keys, seq, boxes, done, asked in zip(pdf[keys].itertuples(index=False, name=None), pdf["seq"], pdf["boxes"], pdf["done"], pdf["asked"], strict=True):
+                    boxes = np.asarray(boxes).reshape(-1, 6)
+                    boxes = boxes if done is None else boxes[~np.isin(boxes[:, 1], done)]
+                    boxes = boxes if asked is None else boxes[np.isin(boxes[:, 1], asked)]
+                    if not len(boxes):
+                        continue
+                    strands = [bases(seq)]
+                    if (boxes[:, 0] > 2).any():
+                        strands.append(turned(strands[0]))
+                    waiting += [(len(rows), own_keys[at], strands[box[0] // 3], *box) for box in boxes.tolist()]
+                    rows.append(own_keys)
+                    size += 2 * len(seq)
                     if size > WAITING or len(waiting) > 1 << 14:
                         yield flush()
                         size = 0
-                if held:
-                    look(held)
             yield flush()
 
-        part = own.mapInPandas(search, f"{kinds}, frame int, gene string, score long, low long, part string")
+        first = store(own.mapInPandas(find, f"{kinds}, seq string, boxes array<int>, frame int, ref int, low long"), "search-candidates")
+        whole = first.where("ref IS NOT NULL")
+        done = store(whole.groupBy(genome).agg(F.collect_set("ref").alias("done")), "search-whole")
+        listed = spark.createDataFrame([(k, g, int(s), known_letters(p)) for k, ((g, p), s) in enumerate(zip(genes, best_scores([p for _, p in genes]), strict=True))],
+            "ref int, gene string, score long, part string")
+        rest = first.where("seq IS NOT NULL").select(*keys, "seq", "boxes").join(done, genome, "left")
+        if wanted is None:
+            rest = rest.withColumn("asked", F.lit(None).cast("array<int>"))
+        else:
+            asked = wanted.join(F.broadcast(listed), "gene").groupBy(genome).agg(F.collect_set("ref").alias("asked"))
+            rest = rest.join(store(asked, "search-asked"), genome)
+        rest = rest.select(*keys, "seq", "boxes", "done", "asked")
+        part = rest.mapInPandas(score, f"{kinds}, frame int, gene string, score long, low long, part string")
         order = F.struct((-F.col("score")).alias("by"), *(c for c in keys if c != genome), "frame", "low", "part")
+        part = part.unionByName(whole.join(F.broadcast(listed), "ref").select(*keys, "frame", "gene", "score", "low", "part"))
         part = store(part.groupBy(genome, "gene").agg(F.min(order).alias("b")).select(genome, "gene", "b.*"), "search-best")
         found = part if found is None else found.unionByName(part)
 
@@ -415,5 +482,6 @@ def translated_search(contigs: DataFrame, refs: DataFrame, keys: list[str], geno
             got = [local_align(ref, part) for ref, part in zip(pdf["ref"], pdf["part"], strict=True)]
             yield pdf[[*keys, "frame", "gene"]].assign(score=[float(s) for s, _ in got], seq=[p for _, p in got])
 
+    found = found if wanted is None else found.join(wanted.select(genome, "gene"), [genome, "gene"], "left_semi")
     whole = found.join(refs.select("gene", F.col("seq").alias("ref")), "gene").select(*keys, "frame", "gene", "ref", "part")
     return whole.mapInPandas(align, f"{kinds}, frame int, gene string, score double, seq string")

@@ -113,3 +113,20 @@ def test_query_searches_whole_proteins(spark, monkeypatch):
     text |= {f"gene{r['doc_id']}": r["text"] for r in derived.table(spark, sf, "documents").where("doc_id IN (1, 2, 4)").collect()}
     bases = lambda t: "".join("ACGT"[(ord(c) - 97) % 4] if c < "y" else "N" for c in t.lower() if "a" <= c <= "z")
     assert {r["gene"]: r["seq"] for r in refs.collect()} == {g: next(six(bases(t)))[1] for g, t in text.items()} and not more
+
+
+def test_whole_references_and_wanted_pairs(spark):
+    """A whole reference is told by its seeds, on both strands and not across contigs; only the wanted pairs are scored, with the results of the whole search."""
+    from allelon.operators import search as S
+
+    rng = random.Random(13)
+    refs = [(f"p{k}", "".join(rng.choices(RESIDUES, k=k))) for k in (10, 60, 90)] + [("x", "X" + "".join(rng.choices(RESIDUES, k=50)))]
+    turned = lambda s: s[::-1].translate(str.maketrans(*complement_letters()))
+    words, around = S.Words([r for _, r in refs]), ["".join(rng.choices("ACGT", k=n)) for n in (7, 41)]
+    whole = [around[0] + dna(refs[1][1]) + around[1], around[1] + dna(refs[2][1]), dna(refs[2][1])[:120], dna(refs[2][1])[120:], "", "GCG" + dna(refs[3][1][1:])]
+    assert sorted(words.candidates([S.bases(s) for s in whole])[1]) == [(0, 1, 1, 2), (1, 2, 2, 13)]
+    contigs = [("g", "a", whole[0]), ("g", "b", turned(whole[0])), ("g", "c", dna(refs[1][1][:50])), ("h", "d", turned(whole[1])), ("h", "e", dna(refs[1][1][:40] + refs[2][1][:30])), ("i", "f", whole[5])]
+    full, pairs = search(spark, contigs, refs), [("g", "p60"), ("h", "p60"), ("h", "none"), ("i", "p60"), ("k", "x")]
+    assert full["g", "p60"][1:3] == ("a", 1) and full["h", "p90"][2] == 5 and all(v == brute(contigs, refs)[k] for k, v in full.items() if v[0] > 60)
+    wanted = spark.createDataFrame(pairs, "genome_id string, gene string")
+    assert search(spark, contigs, refs, wanted=wanted) == {k: v for k, v in full.items() if k in pairs}
