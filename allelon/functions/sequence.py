@@ -1,10 +1,13 @@
-"""Sequence expressions: reverse complement, translation, sub-sequences. All stay in the JVM."""
+"""Sequence expressions: reverse complement, translation, sub-sequences. All but the translation, which works on Arrow batches, stay in the JVM."""
 
 from __future__ import annotations
 
 from functools import lru_cache
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,17 +50,69 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, a, b))
 
 
+@lru_cache(maxsize=2)
+def _codon_table(ambiguous: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """(letter to number, codon number to residue, how many numbers there are) of capitals; the last number stands for all other letters."""
+    table, letters = (wide_codons(), "".join(IUPAC)) if ambiguous else (codons(), CODE_BASES)
+    n = len(letters) + 1
+    number, out = np.full(128, n - 1, np.uint16), np.full(n**3, ord("X"), np.uint8)
+    for i, c in enumerate(letters):
+        number[ord(c)] = i
+    for codon, residue in table.items():
+        a, b, c = (letters.index(x) for x in codon)
+        out[(a * n + b) * n + c] = ord(residue)
+    return number, out, n
+
+
+def _residues(letters: np.ndarray, ambiguous: bool) -> np.ndarray:
+    """The residue of the codon that starts at each letter (below 128)."""
+    number, table, n = _codon_table(ambiguous)
+    b = number[letters]
+    return table[(b[:-2] * np.uint16(n) + b[1:-1]) * np.uint16(n) + b[2:]] if len(b) > 2 else np.empty(0, np.uint8)
+
+
+def proteins(seqs: pa.Array, ambiguous: bool = False, together: int = 1 << 21) -> pa.Array:
+    """The proteins of DNA in capitals, frame 0. Letters that aren't ASCII count as one letter each."""
+    n = len(seqs)
+    wide = np.flatnonzero(pc.fill_null(pc.not_equal(pc.utf8_length(seqs), pc.binary_length(seqs)), False).to_numpy(zero_copy_only=False))
+    if len(wide):
+        plain = lambda s: "".join(c if c < "\x80" else "?" for c in s)
+        odd = set(wide.tolist())
+        seqs = pa.array([plain(s) if k in odd else s for k, s in enumerate(seqs.to_pylist())], pa.string())
+    ends = pc.fill_null(pc.binary_length(seqs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.concatenate([[0], np.cumsum(ends // 3)])
+    if not out[-1]:
+        return pc.if_else(pc.is_valid(seqs), pa.scalar(""), pa.scalar(None, pa.string()))
+    starts = np.frombuffer(seqs.buffers()[1], np.int32)[seqs.offset : seqs.offset + n].astype(np.int64)
+    text, own, k = np.frombuffer(seqs.buffers()[2], np.uint8), np.empty(out[-1], np.uint8), 0
+    while k < n:  # some rows at once, one longer row alone
+        to = max(k + 1, int(np.searchsorted(starts, starts[k] + together)))
+        found = _residues(text[starts[k] : starts[to - 1] + ends[to - 1]], ambiguous)
+        for i in range(k, to):
+            at = starts[i] - starts[k]
+            own[out[i] : out[i + 1]] = found[at : at + 3 * (out[i + 1] - out[i]) : 3]
+        k = to
+    got = pa.StringArray.from_buffers(n, pa.py_buffer(out.astype(np.int32)), pa.py_buffer(own))
+    return pc.if_else(pc.is_valid(seqs), got, pa.scalar(None, pa.string())) if seqs.null_count else got
+
+
+def _proteins(seqs: pa.Array) -> pa.Array:
+    return proteins(seqs)
+
+
+def _wide_proteins(seqs: pa.Array) -> pa.Array:
+    return proteins(seqs, True)
+
+
 def translate_dna(seq: Column, frame: int = 0, ambiguous: bool = False) -> Column:
     """Protein of a frame (0, 1, 2): unknown codons give X, a partial last codon is dropped.
 
     With ``ambiguous``, IUPAC codons are resolved where all that they stand for agree.
     """
-    table = wide_codons() if ambiguous else codons()
-    lookup = F.create_map(*(F.lit(x) for kv in table.items() for x in kv))
-    s = F.upper(F.regexp_replace(F.substring(seq, frame + 1, 2**31 - 1), "[Uu]", "T") if ambiguous else F.substring(seq, frame + 1, 2**31 - 1))
-    # One pass over the text: a substring for each codon would walk it from the start each time.
-    parts = F.transform(F.regexp_extract_all(s, F.lit("(?s)(...)"), F.lit(1)), lambda c: F.coalesce(F.try_element_at(lookup, c), F.lit("X")))
-    return F.array_join(parts, "")
+    own = F.substring(seq, frame + 1, 2**31 - 1)
+    own = F.upper(F.regexp_replace(own, "[Uu]", "T") if ambiguous else own)
+    # A function named here goes to the workers by its name.
+    return F.arrow_udf(_wide_proteins if ambiguous else _proteins, "string")(own)
 
 
 def protein_table11(seq: Column) -> Column:

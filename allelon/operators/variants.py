@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from allelon.operators.alignment import identities_and_substitutions
+from allelon.storage import store
 
 
 def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 80.0) -> DataFrame:
@@ -19,7 +23,8 @@ def align_proteins(proteins: DataFrame, refs: DataFrame, min_identity: float = 8
     equal to the reference aren't aligned at all. The references are a table of one row a gene; Spark broadcasts it
     where it is small.
     """
-    named = proteins.where("seq IS NOT NULL AND seq <> ''").withColumn("__key", F.md5("seq"))
+    # Stored, as they are read twice and may be dear to derive.
+    named = store(proteins.where("seq IS NOT NULL AND seq <> ''").select("accession", "gene", "seq", F.md5("seq").alias("__key")), "proteins")
     # A sequence moves once, to where its copies meet; its digest stands for it from then on.
     distinct = named.groupBy("gene", "__key").agg(F.first("seq").alias("seq")).join(refs.select("gene", F.col("seq").alias("ref")), "gene")
     distinct = distinct.where(F.least(F.length("seq"), F.length("ref")) * 100.0 >= F.lit(min_identity) * F.length("ref"))
@@ -43,6 +48,57 @@ def call_variants(proteins: DataFrame, refs: DataFrame, min_identity: float = 80
     return align_proteins(proteins, refs, min_identity).select("accession", "gene", F.explode("mutations").alias("Mutation"))
 
 
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all letters as numbers, where each text starts and the last one ends); a null text is empty."""
+    texts = pc.fill_null(texts, "")
+    if len(texts) and pc.all(pc.equal(pc.utf8_length(texts), pc.binary_length(texts))).as_py():
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0] : at[-1]], at - at[0]
+    own = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts.to_pylist()]
+    return np.concatenate([np.empty(0, np.uint32), *own]), np.concatenate([[0], np.cumsum([len(x) for x in own], dtype=np.int64)])
+
+
+def _strings(letters: np.ndarray) -> pa.Array:
+    """A string of one letter for each number."""
+    if letters.dtype == np.uint8 or not len(letters) or letters.max() < 128:
+        return pa.StringArray.from_buffers(len(letters), pa.py_buffer(np.arange(len(letters) + 1, dtype=np.int32)), pa.py_buffer(letters.astype(np.uint8)))
+    return pa.array([chr(x) for x in letters.tolist()], pa.string())
+
+
+def residue_changes(aligned: DataFrame, keys: list[str], ref: str, query: str, together: int = 1 << 19) -> DataFrame:
+    """(keys, wt, position, mut): the substitutions of ``residue_positions``, a row for each, of aligned strings in the columns ``ref`` and ``query``.
+
+    Strings are compared ``together`` letters at a time, so that a row of any length takes bounded room beside itself.
+    """
+    kinds = ", ".join(f"`{c}` {aligned.schema[c].dataType.simpleString()}" for c in keys)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gap = ord("-")
+        for batch in batches:
+            (x, a), (y, b) = _letters(batch.column(len(keys))), _letters(batch.column(len(keys) + 1))
+            # Where lengths differ, the shorter one counts.
+            if not np.array_equal(a, b):
+                size = np.minimum(np.diff(a), np.diff(b))
+                x, y = (np.concatenate([z[i : i + n] for i, n in zip(at[:-1].tolist(), size.tolist(), strict=True)]) for z, at in ((x, a), (y, b)))
+                a = np.concatenate([[0], np.cumsum(size)])
+            counted = 0  # residues of ref before this part, in all rows of the batch
+            before = np.zeros(len(a) - 1, np.int64)  # and before each row
+            for low in range(0, len(x), together):
+                p, q = x[low : low + together], y[low : low + together]
+                own = p != gap
+                place = np.cumsum(own)
+                begun = np.flatnonzero((a[:-1] >= low) & (a[:-1] < low + len(p)))
+                before[begun] = counted + np.concatenate([[0], place])[a[:-1][begun] - low]
+                at = np.flatnonzero(own & (p != q) & (q != gap))
+                row = np.searchsorted(a, at + low, "right") - 1
+                columns = [batch.column(k).take(pa.array(row)) for k in range(len(keys))]
+                position = (place[at] + counted - before[row]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*columns, _strings(p[at]), pa.array(position), _strings(q[at])], names=[*keys, "wt", "position", "mut"])
+                counted += int(place[-1])
+
+    return aligned.select(*keys, ref, query).mapInArrow(compare, f"{kinds}, wt string, position int, mut string")
+
+
 def unreferenced(proteins: DataFrame, refs: DataFrame) -> DataFrame:
     """Proteins without a reference."""
     return proteins.join(refs, "gene", "left_anti")

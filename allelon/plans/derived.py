@@ -119,10 +119,9 @@ def changed_proteins(spark: SparkSession, sf: str) -> DataFrame:
     return rows.selectExpr("doc_id", "cast(doc_id AS string) AS accession", "gene", seq, "other", *(f"substring(ref, p{k}, 1) AS w{k}" for k in (1, 2)), "p1", "p2", "a1", "a2")
 
 
-def known_variants(spark: SparkSession, sf: str) -> DataFrame:
-    """A table of known mutations: the first change of every seventh document."""
-    rows = changed_proteins(spark, sf).where("NOT other AND doc_id % 7 = 0")
-    return rows.selectExpr("gene", "concat(w1, cast(p1 AS string), a1) AS mutation",
+def known_variants(changed: DataFrame) -> DataFrame:
+    """A table of known mutations: the first change of every seventh document of ``changed_proteins``."""
+    return changed.where("NOT other AND doc_id % 7 = 0").selectExpr("gene", "concat(w1, cast(p1 AS string), a1) AS mutation",
         "CASE WHEN doc_id % 2 = 0 THEN concat('Known by ', accession) END AS phenotype", "accession AS pdb", "doc_id AS ord")
 
 
