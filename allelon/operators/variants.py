@@ -147,6 +147,12 @@ def variant_report(proteins: DataFrame, refs: DataFrame, db: DataFrame, drugs: D
     return interpret_mutations(called, db, drugs, predictions)
 
 
+def distinct_rows(rows: DataFrame, together: int = 1 << 18) -> DataFrame:
+    """The different rows, dealt by all columns into parts of about ``together`` rows before they are compared, so that no task's table of rows grows with the whole."""
+    count, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, -(-count // together), min(cores, count // 10_000)), *rows.columns).distinct()
+
+
 def mutation_summary(report: DataFrame) -> DataFrame:
     """Totals of a report in one row; rows of unknown significance are told by their status text."""
     status = F.col("Status")

@@ -287,3 +287,13 @@ def test_one_gap_equals_whole_tables(monkeypatch):
     sure = sum(int(x[0].sum()) for x in seen), sum(len(x[0]) for x in seen)
     monkeypatch.setattr(alignment, "_one_gap", lambda *x: tuple(v if i else v & False for i, v in enumerate(known(*x))))
     assert fast == [alignment.global_aligns(r, q) for r, q in cases] and 0.5 * sure[1] < sure[0] < sure[1]
+
+
+def test_different_rows_in_bounded_parts(spark):
+    """No task compares more rows than a few times the bound, and they are dealt before they are compared."""
+    own = spark.range(0, 60_000, 1, 3).selectExpr("id % 20000 AS a", "IF(id % 7 = 0, NULL, cast(id % 5 AS string)) AS b")
+    found = variants.distinct_rows(own, together=5_000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange") :]
+    sizes = [len(p) for p in found.rdd.glom().collect()]
+    assert len(sizes) == 12 and max(sizes) < 10_000 and sorted(map(str, found.collect())) == sorted(set(map(str, own.collect())))
