@@ -106,11 +106,12 @@ class Words:
         order = np.argsort(word, kind="stable")
         self.ref, self.place = ref[who[order]], place[who[order]]
         count = np.bincount(word, minlength=N_WORDS)
+        self.shifts, self.most = {}, max(map(len, codes), default=0)
         self.known, self.starts = count > 0, np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
 
-    def seeds(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place of the word's first base, reference, place in it) of all seeds on one strand, in order of the base; given is the residue that starts at each base."""
-        found = []
+    def words(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first base, word) of the words that some place has, in order of the base; given is the residue that starts at each base."""
+        bases, found = [], []
         for low in range(0, max(0, len(codes) - 3 * (K - 1)), TOGETHER):
             r = codes[low : low + TOGETHER + 3 * (K - 1)]
             n = len(r) - 3 * (K - 1)
@@ -120,14 +121,20 @@ class Words:
                 good &= known[3 * j : 3 * j + n]
                 word *= len(RESIDUES)
                 word += r[3 * j : 3 * j + n]
-            word[~good] = 0
-            good &= self.known[word]  # a small table first
             at = np.flatnonzero(good)
             word = word[at]
-            size = (self.starts[word + 1] - self.starts[word]).astype(np.int64)
-            source = np.repeat(self.starts[word] - np.concatenate([[0], np.cumsum(size)[:-1]]) if len(at) else size, size) + np.arange(size.sum())
-            found.append((np.repeat(at + low, size), self.ref[source], self.place[source]))
-        return tuple(np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3))
+            some = self.known[word]  # a small table first
+            bases.append(at[some] + low)
+            found.append(word[some])
+        return np.concatenate([np.empty(0, np.int64), *bases]), np.concatenate([np.empty(0, np.int32), *found])
+
+    def _shifts(self, wide: int, room: int) -> np.ndarray:
+        """What a place adds to the number of a seed (see candidates), kept for the last sizes."""
+        if (wide, room) not in self.shifts:
+            if len(self.shifts) > 2:
+                self.shifts.clear()
+            self.shifts[wide, room] = (self.ref.astype(np.int64) * (3 * wide) - self.place) * room
+        return self.shifts[wide, room]
 
     def _ungapped(self, codes: np.ndarray, first: np.ndarray, ref: np.ndarray, place: np.ndarray, together: int = 1 << 10) -> np.ndarray:
         """The best score without gaps of stretches of each seed's diagonal that take in the seed, whose first base is given. Walls in ``codes`` part the contigs."""
@@ -163,18 +170,23 @@ class Words:
         starts = np.cumsum(sizes + 1) - sizes - 1
         b = own.astype(np.uint8)
         codes = _residue_numbers()[b[:-2] * np.uint8(25) + b[1:-1] * np.uint8(5) + b[2:]] if len(b) > 2 else np.empty(0, np.uint8)
-        base, ref, place = self.seeds(codes)
+        base, word = self.words(codes)
         if not len(base):
             return [], []
         contig = np.searchsorted(starts, base, "right") - 1
         within = base - starts[contig]
         at = within // 3
         frame = within - 3 * at
-        diagonal = at - place
-        # One number a diagonal of a contig's frame and reference, with room for places.
-        low, room = int(diagonal.min()), int(at.max()) + apart + 1
-        wide = int(diagonal.max()) - low + 1
-        number = np.sort((((contig * len(self.begin) + ref) * 3 + frame) * wide + (diagonal - low)) * room + at)
+        # One number a diagonal of a contig's frame and reference, with room for places. Round sizes keep what the places add, where they fit.
+        most = int(at.max())
+        low, wide, room = -self.most, most + self.most + 1, most + apart + 1
+        if len(contigs) * len(self.begin) * 12 * wide * room < 1 << 60:
+            wide, room = 1 << wide.bit_length(), 1 << room.bit_length()
+        size = (self.starts[word + 1] - self.starts[word]).astype(np.int64)
+        ends = np.cumsum(size)
+        source = np.repeat(self.starts[word] - ends + size, size) + np.arange(ends[-1])
+        number = np.repeat(((contig * (3 * len(self.begin)) + frame) * wide + (at - low)) * room + at, size) + self._shifts(wide, room)[source]
+        number.sort()
         near = number[1:][np.diff(number) <= apart]
         # The first seed on the diagonal within reach lies a word's length or more before.
         near = near[near - number[np.searchsorted(number, near - apart)] >= K]
