@@ -263,6 +263,49 @@ def test_fit_uses_all_rows_and_pairs(spark, monkeypatch):
     assert own.cut == pytest.approx(np.quantile(z @ own.weights, (~good[used]).mean()), abs=1e-9) and own.scale == pytest.approx((z @ own.weights).std() / 2)
 
 
+def test_fit_ends_where_bins_are_dealt_anew(spark, monkeypatch):
+    """Features that nearly repeat each other and few bad rows: bins that are dealt anew move the weights for ever, but no longer the loss."""
+    rng = np.random.default_rng(5)
+    n, k = 4_000, 8
+    monkeypatch.setattr(quality, "N_FEATURES", k)
+    x = rng.normal(size=(n, k))
+    x[:, 4:] = x[:, :4] + rng.normal(size=(n, 4)) * 0.01
+    good = x[:, 0] + 0.1 * rng.normal(size=n) > -1.2
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, x array<double>")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality int")
+    used, passes, sums = np.array([zlib.crc32(str(i).encode()) % 4 != 2 for i in range(n)]), [], quality._sums
+    monkeypatch.setattr(quality, "_sums", lambda *a: passes.append(1) or sums(*a))
+    own = quality.fit_rows(rows, labels)
+    z = np.clip((x[used] - own.mean) / own.spread, -8, 8)
+    a, b = z[good[used]], z[~good[used]]
+    p = 1 / (1 + np.exp(-((a @ own.weights)[:, None] - (b @ own.weights)[None, :])))
+    left = (a.T @ (1 - p).sum(1) - b.T @ (1 - p).sum(0)) / p.size - 1e-3 * own.weights
+    assert np.abs(left).max() < 1e-4 and len(passes) <= 17
+
+
+def test_sums_meet_in_few_tasks(spark):
+    """A Newton step starts no Python for each partition of the session's shuffles."""
+    rows = spark.createDataFrame([(i % 2, [float(i)] * quality.N_FEATURES) for i in range(40)], "label int, x array<double>")
+    model = quality.Ranking(*(np.full(quality.N_FEATURES, v) for v in (0.0, 1.0, 0.1)))
+    held = {"spark.sql.shuffle.partitions": "67", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, sc = {k: spark.conf.get(k) for k in held}, spark.sparkContext
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        sc.setJobGroup("sums-of-few-tasks", "")
+        label, count, total, square = quality._sums(rows, model, 1 / 16)
+    finally:
+        sc._jsc.clearJobGroup()
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    jobs = sc.statusTracker().getJobIdsForGroup("sums-of-few-tasks")
+    stages = {s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds}
+    tasks = [i.numTasks for i in map(sc.statusTracker().getStageInfo, stages) if i]
+    assert tasks and max(tasks) <= max(sc.defaultParallelism, rows.rdd.getNumPartitions())
+    assert count.sum() == 40 and list(label) == sorted(label) and total[:, 0].sum() == pytest.approx(sum(min(i, 8) for i in range(40)))
+    assert square.shape[1:] == (quality.N_FEATURES, quality.N_FEATURES)
+
+
 def test_scores_equal_plain_features(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.fit(docs, labels)
