@@ -36,9 +36,10 @@ def _dna() -> Column:
     return F.translate(letters(), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTNN")
 
 
-def contigs(spark: SparkSession, sf: str) -> DataFrame:
-    """A contig for each document, an assembly for each source."""
-    return table(spark, sf, "documents").select(
+def contigs(spark: SparkSession, sf: str, parts: int = 0) -> DataFrame:
+    """A contig for each document, an assembly for each source. With ``parts``, documents are dealt into so many by their ids first, as a row group is one task's whatever its size."""
+    docs = table(spark, sf, "documents")
+    return (docs.repartition(parts, "doc_id") if parts else docs).select(
         F.col("source").alias("genome_id"), F.concat("source", F.lit(".fna")).alias("file_name"), F.lit(0).cast("long").alias("file_size"), F.col("doc_id").alias("contig_ord"),
         F.col("doc_id").cast("string").alias("contig_id"), F.concat(F.lit("contig "), F.col("doc_id").cast("string")).alias("header"),
         _dna().alias("seq"), F.length(letters()).cast("long").alias("seq_len"),

@@ -41,6 +41,11 @@ def _spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
+def _contigs(spark: SparkSession, sf: str) -> DataFrame:
+    """Contigs over all cores, whatever the documents' row groups: deriving them and writing a file for each is the most of a query's work."""
+    return X.contigs(spark, sf, 8 * spark.sparkContext.defaultParallelism)
+
+
 def _table(df: DataFrame, folder: str, **options) -> str:
     path = new_path(df.sparkSession, folder)
     df.write.csv(path, **options)
@@ -59,7 +64,7 @@ UNION ALL SELECT 'd' || doc_id, 0, NULL, NULL, 4, sha256('ACGT') FROM c WHERE do
 )
 def fasta_files(spark, sf):
     """An assembly file of two contigs for each document, some with text before the first header."""
-    rows = X.contigs(spark, sf).selectExpr("contig_id AS id", "contig_ord", "seq", "length(seq) div 2 AS h")
+    rows = _contigs(spark, sf).selectExpr("contig_id AS id", "contig_ord", "seq", "length(seq) div 2 AS h")
     text = """concat(CASE WHEN contig_ord % 5 = 0 THEN 'ACGT\\n' ELSE '' END, '>a', id, ' first\\n', substring(seq, 1, h), '\\n>b', id, '\\r\\n',
         substring(seq, h + 1, 10), '\\r\\n', substring(seq, h + 11, 2147483647), '\\n')"""
     found = readers.read_contigs(spark, _files(rows, "concat('d', id, '.fna')", text, "fasta"))
@@ -68,7 +73,7 @@ def fasta_files(spark, sf):
 
 def _sequence_files(spark, sf) -> str:
     """A protein file for each document: FASTA, plain text in lower case, two records, nothing (no bytes, or white space), or a name without a gene."""
-    rows = X.contigs(spark, sf).select("contig_id", "contig_ord", (F.col("contig_ord") % 6).alias("k"), F.translate(translate_dna(F.col("seq")), "X*", "GQ").alias("p"))
+    rows = _contigs(spark, sf).select("contig_id", "contig_ord", (F.col("contig_ord") % 6).alias("k"), F.translate(translate_dna(F.col("seq")), "X*", "GQ").alias("p"))
     text = """CASE k WHEN 1 THEN concat(' ', lower(substring(p, 1, 7)), '\\n ', lower(substring(p, 8, 2147483647))) WHEN 2 THEN concat('>a\\n', p,
     '\\n>b\\nMK\\n') WHEN 3 THEN CASE WHEN contig_ord % 12 = 3 THEN '' ELSE ' \n' END
         ELSE concat('>x y\\n', substring(p, 1, 60), '\\n', substring(p, 61, 2147483647), '\\n') END"""
@@ -95,7 +100,7 @@ SELECT 'd' || doc_id AS genome_id, bp AS total_bp, cast(bp > 0 AS bigint) AS con
 def assembly_files(spark, sf):
     """Quality of an assembly file for each document, of which every ninth has no bytes; with the files' sizes."""
     text = "CASE WHEN contig_ord % 9 = 4 THEN '' ELSE concat('>c\\n', seq, '\\n') END"
-    own = store(readers.read_contigs(spark, _files(X.contigs(spark, sf), "concat('d', contig_id, '.fna')", text, "assemblies")), "read-contigs")
+    own = store(readers.read_contigs(spark, _files(_contigs(spark, sf), "concat('d', contig_id, '.fna')", text, "assemblies")), "read-contigs")
     qc = assembly.assembly_qc(own, **FILE_LIMITS).drop("file_name", "flags")
     return qc.join(assembly.genome_metadata(own).select("genome_id", "file_size"), "genome_id")
 

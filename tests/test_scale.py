@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from allelon.functions.scoring import RESIDUES
 from allelon.functions.sequence import codons, protein_table11, reverse_complement, subsequence
 from allelon.operators import alignment, assembly, hits, networks, search, structures, variants
+from allelon.plans import files
 from allelon.sources import readers, writers
 
 BACK = {a: c for c, a in codons().items()}
@@ -44,6 +45,25 @@ def test_nan_counts_as_the_least(spark):
     assert [r["scaled"] for r in networks.scaled(df.where("isnan(v)"), "v", 0.0, 1.0).collect()] == [0.5]
 
 
+# Files
+
+
+@pytest.mark.parametrize("query", ["sequence_files", "protein_files", "fasta_files", "assembly_files"])
+def test_one_row_group_is_written_by_all_cores(spark, monkeypatch, query):
+    """The documents at hand are one row group: contigs are derived and their files written by many tasks."""
+    class Seen(Exception):
+        pass
+
+    def write_files(df, path):
+        raise Seen(df.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+
+    monkeypatch.setattr(writers, "write_files", write_files)
+    with pytest.raises(Seen) as found:
+        files.QUERIES[query](spark, "/root/testdata/sf0.001")
+    own = [r["count"] for r in found.value.args[0]]
+    assert len(own) > 2 * spark.sparkContext.defaultParallelism and max(own) < sum(own) / 8
+
+
 # Files of no bytes
 
 
